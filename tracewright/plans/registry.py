@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracewright.operators.schema_drift import drift, unified
 from tracewright.operators.timestamps import normalise_timestamps
 from tracewright.sources import table
 
 FLAGSHIP = "error_taxonomy_recovery"
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return drift(table(spark, d, "session_files"))
+
+
+def p2_unified(spark: SparkSession, d: str) -> DataFrame:
+    return unified(table(spark, d, "session_files"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -21,7 +30,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p7_found": p7_found}
+    return {f.__name__: f for f in (p2_found, p2_unified, p7_found)}
 
 
 def oracle_sql() -> dict[str, str]:
