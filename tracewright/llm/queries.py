@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import conversations, overlap, packing, tokenizer
+from tracewright.llm import conversations, overlap, packing, pairs, tokenizer
 from tracewright.sources import table
 
 
@@ -39,6 +39,10 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(_overlaps(spark, d), table(spark, d, "trajectories"), "traj_id", "split", "source")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defective_sides(table(spark, d, "dpo_pairs"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_column(table(spark, d, "documents"), "doc_id", "text")
 
@@ -60,7 +64,7 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p8_ids, p9_containers, p9_fill)
+    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p5_found, p8_ids, p9_containers, p9_fill)
     return {f.__name__: f for f in own}
 
 
