@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import conversations, overlap, packing, pairs, tokenizer
+from tracewright.llm import conversations, overlap, packing, pairs, tokenizer, truncation
 from tracewright.sources import table
 
 
@@ -43,6 +43,31 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.defective_sides(table(spark, d, "dpo_pairs"))
 
 
+def _texts(spark: SparkSession, d: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """The columns of `fields` (name to table and row number) as rows of `field_name`, `row_id`, `source`, `text`."""
+    parts = []
+    for name in sorted({t for t, _ in fields.values()}):
+        own = {f: row for f, (t, row) in fields.items() if t == name}
+        rows = table(spark, d, name)
+        pairs_ = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(r).cast("bigint").alias("r"), F.col(f).alias("t")) for f, r in own.items()]))
+        parts.append(rows.select("source", pairs_.alias("x")).select(F.col("x.f").alias("field_name"), F.col("x.r").alias("row_id"), "source", F.col("x.t").alias("text")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.filter("text is not null")
+
+
+_CUT_FIELDS = {"user_input": ("trajectories", "traj_id"), "content": ("steps", "step_row"), "output": ("steps", "step_row")}
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_values(truncation.judged(_texts(spark, d, _CUT_FIELDS)))
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.cut_report(truncation.judged(_texts(spark, d, _CUT_FIELDS)))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenizer.encode_column(table(spark, d, "documents"), "doc_id", "text")
 
@@ -64,7 +89,7 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p5_found, p8_ids, p9_containers, p9_fill)
+    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill)
     return {f.__name__: f for f in own}
 
 
