@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import conversations, overlap, packing, pairs, tokenizer, truncation
+from tracewright.llm import conversations, overlap, packing, pairs, personal, tokenizer, truncation
 from tracewright.sources import table
 
 
@@ -39,6 +39,18 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(_overlaps(spark, d), table(spark, d, "trajectories"), "traj_id", "split", "source")
 
 
+_PERSONAL_FIELDS = {"user_input": ("trajectories", "traj_id"), "input_params": ("steps", "step_row"), "output": ("steps", "step_row")}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = personal.find(_texts(spark, d, _PERSONAL_FIELDS))
+    return found.select("field_name", "row_id", "kind", "span_text").distinct()
+
+
+def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redact(_texts(spark, d, _PERSONAL_FIELDS))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.defective_sides(table(spark, d, "dpo_pairs"))
 
@@ -89,7 +101,7 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill)
+    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p4_found, p4_redacted, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill)
     return {f.__name__: f for f in own}
 
 
