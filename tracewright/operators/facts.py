@@ -19,6 +19,8 @@ BUSINESS = [
     "error", "latency_ms",
 ]
 TASK_NOTE = "[任务理解]"
+# Fixed value: wordings of a plan.
+PLANNING = r"(?i)(\d+[.、)）]|步骤|第[一二三四五六七八九十\d]+步|plan|step \d|first|then|next|finally)"
 
 
 def session_name(c: Column) -> Column:
@@ -55,15 +57,18 @@ def step_facts(steps: DataFrame) -> DataFrame:
         F.length(F.coalesce(content, F.lit(""))).alias("chars"),
         S.recovery_signal(kind, content, F.col("output"), F.col("error")).alias("recovers"),
         F.when(result & (st == "error"), error_class(shown, PIPELINE_ERRORS, "other_error")).alias("error_class"),
+        F.when(result & (st == "error"), error_class(F.concat_ws(" ", "error", "output"), PIPELINE_ERRORS, "other_error")).alias("error_bucket"),
         F.when(result & (st == "error"), error_class(shown, TAXONOMY_ERRORS, "other")).alias("error_kind"),
         announces_retry(content).alias("announces"),
         F.coalesce(content.startswith(TASK_NOTE), F.lit(False)).alias("task_note"),
         F.coalesce(content.rlike(r"(?i)error|失败|exception"), F.lit(False)).alias("speaks_error"),
-        F.when(kind == "tool_call", F.get(params, F.lit("path"))).alias("path"),
-        F.when(kind == "tool_call", F.get(params, F.lit("action"))).alias("action"),
-        F.when(kind == "tool_call", F.coalesce(F.get(params, F.lit("command")), F.lit(""))).alias("command"),
+        F.when(kind == "tool_call", F.try_element_at(params, F.lit("path"))).alias("path"),
+        F.when(kind == "tool_call", F.try_element_at(params, F.lit("action"))).alias("action"),
+        F.when(kind == "tool_call", F.coalesce(F.try_element_at(params, F.lit("command")), F.lit(""))).alias("command"),
         F.when(kind == "tool_call", params_key(params)).alias("params"),
         F.nullif("call_id", F.lit("")).alias("call"),
+        (F.coalesce(content, F.lit("")) != "").alias("says"),
+        F.coalesce(content.rlike(PLANNING), F.lit(False)).alias("plans"),
     )
     cols = [c for c in facts.columns if c not in ("sid", "step_id", "_mark", "row")]
     once = facts.groupBy("sid", "step_id", "_mark").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in cols]).drop("_mark")

@@ -3,14 +3,231 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tracewright.functions import steps as S
+from tracewright.functions.text import contains_any, is_blank
+from tracewright.operators import assembly, evalset, facts, pairing, render, scoring, sequence, specialist, taxonomy
 from tracewright.operators.schema_drift import drift, unified
 from tracewright.operators.timestamps import normalise_timestamps
+from tracewright.plans import oracles
 from tracewright.sources import table
 
 FLAGSHIP = "error_taxonomy_recovery"
 
 
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    return facts.step_facts(table(spark, d, "steps"))
+
+
+def _scored(spark: SparkSession, d: str, own: DataFrame | None = None) -> DataFrame:
+    own = _facts(spark, d) if own is None else own
+    return scoring.scored(facts.session_rows(table(spark, d, "trajectories")), facts.session_stats(own))
+
+
+def _placed(spark: SparkSession, d: str) -> DataFrame:
+    return render.placed_steps(table(spark, d, "steps"))
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return assembly.event_rows(table(spark, d, "raw_events"))
+
+
+def error_taxonomy_recovery(spark, d):
+    return taxonomy.recovery_by_class(_facts(spark, d))
+
+
+def error_taxonomy_tools(spark, d):
+    return taxonomy.taxonomy(taxonomy.error_events(_facts(spark, d)))
+
+
+def error_samples(spark, d):
+    own = _facts(spark, d)
+    return taxonomy.samples(taxonomy.error_events(own), own)
+
+
+def fault_injection_targets(spark, d):
+    return taxonomy.injection_targets(error_taxonomy_tools(spark, d))
+
+
+def step_type_normalise(spark, d):
+    return table(spark, d, "steps").groupBy(S.step_type(F.col("step_type")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+def status_normalise(spark, d):
+    resolved = S.resolved_status(F.col("status"), F.col("output"), F.col("error"))
+    return table(spark, d, "steps").groupBy("status", S.status(F.col("status")).alias("written"), resolved.alias("resolved")).agg(F.count("*").alias("n"))
+
+
+def outcome_normalise(spark, d):
+    return table(spark, d, "trajectories").groupBy("session_outcome", S.outcome(F.col("session_outcome")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+def error_text_inference(spark, d):
+    return table(spark, d, "steps").groupBy("source").agg(
+        F.count_if(contains_any(F.col("output"), S.ERROR_TEXTS)).alias("by_text"), F.count_if(~is_blank(F.col("error"))).alias("by_field"), F.count("*").alias("n")
+    )
+
+
+def call_pairing_check(spark, d):
+    own = _facts(spark, d).filter(F.col("kind").isin("tool_call", "tool_result") & F.col("call").isNotNull())
+    per = own.groupBy("sid", F.col("call").alias("call_id")).agg(F.max(F.col("kind") == "tool_call").alias("called"), F.max(F.col("kind") == "tool_result").alias("answered"))
+    return per.filter("called <> answered")
+
+
+def step_continuity_check(spark, d):
+    per = _facts(spark, d).groupBy("sid").agg(
+        F.count("*").alias("steps"), F.min("step_id").alias("first_id"), F.max("step_id").alias("last_id"), F.max(F.col("step_id") != F.col("pos")).alias("bad")
+    )
+    return per.filter("bad").drop("bad")
+
+
+def session_stats(spark, d):
+    s = facts.session_stats(_facts(spark, d))
+    return s.select(
+        "sid", "steps", "tool_calls", "tool_results", "error_steps", "thoughts", "recoveries", "switches", "violates",
+        F.array_join("tools", ",").alias("tools"), F.array_join("skills", ",").alias("skills"),
+    )
+
+
+def value_score(spark, d):
+    return _scored(spark, d).select("sid", "complexity", "recovery_value", "planning", "compliance", "total")
+
+
+def outcome_inference(spark, d):
+    return _scored(spark, d).groupBy(S.outcome(F.col("session_outcome")).alias("written"), "outcome").agg(F.count("*").alias("n"))
+
+
+def training_use_buckets(spark, d):
+    return scoring.routed(_scored(spark, d)).select("sid", "use", "bucket", "review")
+
+
+def retry_kind(spark, d):
+    return sequence.retries(_facts(spark, d)).select("sid", "pos", "error_class", "failed_tool", "recovery_kind", "resolved", "retry_loop", "intent_only")
+
+
+def diverge_point(spark, d):
+    return sequence.diverge_points(sequence.retries(_facts(spark, d))).select("sid", "pos", "error_class", "recovery_kind", "priority")
+
+
+def item_resolved(spark, d):
+    return sequence.items_resolved(_facts(spark, d))
+
+
+def fingerprint_clusters(spark, d):
+    c = pairing.candidates(_scored(spark, d))
+    return c.groupBy("fp").agg(F.count("*").alias("sessions"), F.count_if(F.col("outcome").isin("success", "likely_success")).alias("good"))
+
+
+def pair_error_state(spark, d):
+    own = _facts(spark, d)
+    return pairing.error_state_pairs(pairing.candidates(_scored(spark, d, own)), sequence.diverge_points(sequence.retries(own)), sequence.items_resolved(own))
+
+
+def pair_quality(spark, d):
+    own = _facts(spark, d)
+    c = pairing.candidates(_scored(spark, d, own))
+    return pairing.quality_pairs(c, pairing.error_state_pairs(c, sequence.diverge_points(sequence.retries(own)), sequence.items_resolved(own)))
+
+
+def pair_dedup(spark, d):
+    pairs = table(spark, d, "dpo_pairs").withColumn("grp", F.concat(F.left("failure_session", F.lit(8)), F.lit(":"), F.col("error_type")))
+    once = pairing.first_of_each(pairs, ["chosen", "rejected", "pair_quality"], "pair_no").select("pair_no", "pair_quality", "grp")
+    order = F.when(F.col("pair_quality") == "high", 0).when(F.col("pair_quality") == "medium", 1).otherwise(2)
+    return pairing.capped_groups(once, "grp", [order, F.col("pair_no")])
+
+
+def export_counts(spark, d):
+    pairs = table(spark, d, "dpo_pairs")
+    both = pairing.export_main(pairs).withColumn("export", F.lit("main")).unionByName(pairing.export_extended(pairs).withColumn("export", F.lit("extended")))
+    return both.groupBy("export", "pair_type", "pair_quality").agg(F.count("*").alias("n"))
+
+
+def pair_distribution(spark, d):
+    return table(spark, d, "dpo_pairs").rollup("pair_type", "pair_quality", "error_type").agg(F.count("*").alias("n"))
+
+
+def strata(spark, d):
+    return evalset.strata(_scored(spark, d)).groupBy("stratum").agg(F.count("*").alias("n"))
+
+
+def stratified_sample(spark, d):
+    return evalset.stratified(evalset.strata(_scored(spark, d)).filter("use <> 'low_value'")).select("stratum", "sid", "rank")
+
+
+def label_queue(spark, d):
+    return evalset.label_queue(_scored(spark, d))
+
+
+def eval_criteria(spark, d):
+    return evalset.criteria(_scored(spark, d))
+
+
+def tool_call_pairs(spark, d):
+    own = _facts(spark, d)
+    return specialist.tool_call_pairs(own, _scored(spark, d, own))
+
+
+def long_plan(spark, d):
+    own = _facts(spark, d)
+    return specialist.long_plans(own, _scored(spark, d, own))
+
+
+def graceful_abort(spark, d):
+    return specialist.graceful_aborts(_placed(spark, d), _scored(spark, d))
+
+
+def subagent_collab(spark, d):
+    own = _facts(spark, d)
+    return specialist.subagent_work(own, _scored(spark, d, own))
+
+
+def retry_sequences(spark, d):
+    own = _facts(spark, d)
+    instants = normalise_timestamps(table(spark, d, "trajectories"), "created_at", "traj_id", "source", table(spark, d, "sources"))
+    return specialist.retry_sequences(_scored(spark, d, own), instants.toDF("traj_id", "us"), specialist.first_errors(own))
+
+
+def sft_messages(spark, d):
+    return render.messages(_placed(spark, d))
+
+
+def budgeted_render(spark, d):
+    return render.budgeted(_placed(spark, d))
+
+
+def event_sessions(spark, d):
+    return assembly.session_attributes(_events(spark, d)).select("sid", "agent", "model_version", "provider", "final_status", "rounds", "events")
+
+
+def thinking_split(spark, d):
+    rows = _events(spark, d).filter("type = 'model.completed'").withColumn("t", F.try_element_at("texts", F.lit(-1))).filter("t is not null")
+    return rows.select("sid", "no", assembly.thinking(F.col("t")).alias("thinking"), assembly.spoken(F.col("t")).alias("spoken"))
+
+
+def artifact_match(spark, d):
+    return assembly.match_artifacts(_events(spark, d))
+
+
+def event_assembly(spark, d):
+    return assembly.assembled_steps(_events(spark, d))
+
+
+def event_outcomes(spark, d):
+    rows = _events(spark, d)
+    return assembly.session_outcomes(rows, assembly.assembled_steps(rows))
+
+
+def nth_occurrence_backfill(spark, d):
+    calls = _facts(spark, d).filter("kind = 'tool_call' and tool is not null").select("sid", "pos", "tool", F.lit("{}").alias("params"), "call")
+    filled = assembly.backfilled(calls.drop("call"), calls)
+    return filled.groupBy("sid", "tool").agg(F.count("*").alias("calls"), F.count_if(F.col("nth") == 1).alias("firsts"))
+
+
+def parent_links(spark, d):
+    return assembly.parent_links(table(spark, d, "trajectories"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return drift(table(spark, d, "session_files"))
 
@@ -20,8 +237,6 @@ def p2_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     sources = table(spark, d, "sources")
     created = normalise_timestamps(table(spark, d, "trajectories"), "created_at", "traj_id", "source", sources)
     steps = normalise_timestamps(table(spark, d, "steps"), "ts", "step_row", "source", sources)
@@ -29,9 +244,19 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return name(created, "created_at").unionByName(name(steps, "ts"))
 
 
+_QUERIES = (
+    error_taxonomy_recovery, error_taxonomy_tools, error_samples, fault_injection_targets, step_type_normalise, status_normalise, outcome_normalise,
+    error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
+    diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pair_dedup, export_counts, pair_distribution, strata,
+    stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, sft_messages,
+    budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, parent_links,
+    p2_found, p2_unified, p7_found,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p2_found, p2_unified, p7_found)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
