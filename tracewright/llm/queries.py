@@ -131,5 +131,36 @@ def queries() -> dict:
     return {f.__name__: f for f in own}
 
 
+_P1 = r"""
+WITH ev AS (SELECT DISTINCT CASE WHEN session_id IS NULL OR NOT regexp_matches(session_id, '\S') THEN trace_id ELSE session_id END AS sid, coalesce(seq, source_seq) AS no, event_type, data FROM raw_events),
+e AS (SELECT sid, no, event_type, data, data IS NOT NULL AND NOT json_valid(data) AS bad, CASE WHEN json_valid(data) THEN data END AS d FROM ev WHERE sid IS NOT NULL AND regexp_matches(sid, '\S') AND no IS NOT NULL),
+t AS (SELECT sid, no, event_type, data, bad, CASE WHEN event_type = 'prompt.submitted' AND coalesce(regexp_matches(d ->> '$.prompt', '\S'), false) THEN 'u'
+  WHEN event_type = 'model.completed' AND coalesce(regexp_matches(regexp_replace(d ->> '$.assistantTexts[#-1]', '(?s)<thinking>.*?</thinking>', '', 'g'), '\S'), false) THEN 'a' END AS role FROM e),
+n AS (SELECT sid, no, count(*) > 1 AS clash, bool_or(bad) AS bad, max(role) AS role FROM t GROUP BY sid, no),
+w AS (SELECT sid, no, role, lead(role) OVER (PARTITION BY sid ORDER BY no) AS nxt FROM n WHERE role IS NOT NULL),
+c AS (SELECT n.sid, bool_or(clash OR bad) AS broken, count(role) AS turns, max(no) - min(no) + 1 <> count(*) AS gap, arg_min(role, no) AS first_role FROM n GROUP BY n.sid),
+m AS (SELECT sid, bool_or(role = 'u' AND coalesce(nxt, 'u') = 'u') AS missing FROM w GROUP BY sid),
+x AS (SELECT c.sid, CASE WHEN broken THEN 'broken' WHEN turns = 0 THEN 'empty' WHEN gap OR first_role <> 'u' THEN 'broken' WHEN missing THEN 'missing_reply' END AS defect FROM c LEFT JOIN m USING (sid)),
+s0 AS (SELECT DISTINCT * EXCLUDE (step_row, ingested_at), lower(regexp_replace(step_type, '^\s+|\s+$', '', 'g')) AS k FROM steps WHERE session_id IS NOT NULL AND step_id IS NOT NULL),
+s AS (SELECT *, k IN ('tool_call', 'tool', 'function_call') AS c, k IN ('tool_result', 'tool_response', 'function_result') AS r,
+  k IN ('output', 'response', 'final') AND coalesce(regexp_matches(content, '\S'), false) AS o,
+  coalesce(regexp_matches(concat_ws('', content, tool_name, output, error), '\S'), false) AS worded FROM s0),
+sn AS (SELECT session_id, step_id, count(DISTINCT (coalesce(step_type, chr(1)), coalesce(content, chr(1)), coalesce(call_id, chr(1)), coalesce(output, chr(1)))) > 1 AS clash FROM s GROUP BY ALL),
+sp AS (SELECT session_id, bool_or(hc <> hr) AS unpaired FROM (SELECT session_id, call_id, coalesce(bool_or(c), false) AS hc, coalesce(bool_or(r), false) AS hr FROM s WHERE (c OR r) AND coalesce(regexp_matches(call_id, '\S'), false) GROUP BY ALL) GROUP BY 1),
+sc AS (SELECT session_id, bool_or(clash) AS clash, min(step_id) <> 1 OR max(step_id) <> count(*) AS gap FROM sn GROUP BY 1),
+sw AS (SELECT session_id, bool_or(worded) AS worded, max(step_id) FILTER (r) AS lr, max(step_id) FILTER (o) AS lo FROM s GROUP BY 1),
+y AS (SELECT session_id, CASE WHEN clash THEN 'broken' WHEN NOT worded THEN 'empty' WHEN gap OR coalesce(unpaired, false) THEN 'broken' WHEN lo IS NULL OR lo <= coalesce(lr, -1) THEN 'missing_reply' END AS defect
+  FROM sc JOIN sw USING (session_id) LEFT JOIN sp USING (session_id))
+SELECT 'raw_events' AS stored_in, sid AS session_id, defect FROM x WHERE defect IS NOT NULL UNION ALL SELECT 'steps', session_id, defect FROM y WHERE defect IS NOT NULL"""
+_P3 = r"""
+WITH r AS (SELECT traj_id, split = 'train' AS tr, nullif(lower(regexp_replace(session_id, '^\s+|\s+$', '', 'g')), '') AS sid,
+  regexp_extract_all(lower(coalesce(user_input, '')), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{3005}-\x{3007}\x{3040}-\x{30ff}\x{f900}-\x{faff}]|[a-z0-9\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{2c1}]+') AS ws FROM trajectories WHERE split IN ('train', 'dev', 'test')),
+w AS (SELECT traj_id, tr, len(ws) AS n, x, row_number() OVER (PARTITION BY traj_id, x) AS k FROM (SELECT traj_id, tr, ws, unnest(ws) AS x FROM r WHERE len(ws) >= 8)),
+c AS (SELECT a.traj_id AS ta, b.traj_id AS tb, count(*) AS common, any_value(greatest(a.n, b.n)) AS longer FROM w a JOIN w b ON a.x = b.x AND a.k = b.k WHERE a.tr AND NOT b.tr GROUP BY 1, 2),
+p AS (SELECT ta, tb FROM c WHERE common * 10 >= longer * 8 UNION SELECT a.traj_id, b.traj_id FROM r a JOIN r b ON a.sid = b.sid WHERE a.tr AND NOT b.tr)
+SELECT DISTINCT least(ta, tb) AS traj_id_a, greatest(ta, tb) AS traj_id_b FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express on whole tables; the others are tested against brute force, round trips and held-out rows."""
+    return {"p1_found": _P1, "p3_found": _P3}
