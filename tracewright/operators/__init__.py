@@ -1 +1 @@
-
+"""Order, facts, scores, pairs and reports of agent sessions as DataFrame functions."""

@@ -198,7 +198,7 @@ def normalise_timestamps(
     `row_id` is a number that follows the order of arrival. Null, empty and stand-in values give no row; a row
     without a known source is read in UTC; repeated values give one row per row number, and a repeated row number
     one row per row; an empty table gives an empty result; other columns of `df` play no part, whatever their names.
-    Records are ordered per source in blocks of at most `costs.block` row numbers, each preceded by `costs.context` records of the block before, so that a source
+    Records are ordered per source in blocks of at most `costs.block` row numbers, each with `costs.context` row numbers of the blocks on either side, so that a source
     that holds any share of the rows is spread over many tasks.
     """
     costs = costs or Costs()
@@ -211,8 +211,9 @@ def normalise_timestamps(
     parsed = rows.filter(F.col("_v").rlike(r"\d{4}")).join(dim, F.col("_s") == F.col("_src"), "left")
     parsed = parsed.select("row", "_s", readings(F.col("_v"), F.col("_tz"), F.col("_loc"), lo_us, hi_us).alias("options"))
     block = F.expr(f"row div {costs.block}")
-    last = F.pmod("row", F.lit(costs.block)) >= costs.block - costs.context
-    spread = parsed.withColumn("_at", F.explode(F.when(last, F.array(block, block + 1)).otherwise(F.array(block))))
+    place = F.pmod("row", F.lit(costs.block))
+    into = F.array_compact(F.array(block, F.when(place >= costs.block - costs.context, block + 1), F.when(place < costs.context, block - 1)))
+    spread = parsed.withColumn("_at", F.explode(into))
     own = (F.expr(f"row div {costs.block}") == F.col("_at")).alias("own")
     ordered = spread.groupBy("_s", "_at").agg(F.array_sort(F.collect_list(F.struct("row", own, "options"))).alias("recs"))
     chosen = ordered.select(F.explode(F.arrays_zip(F.col("recs"), _viterbi(F.col("recs"), costs).alias("us"))).alias("z"))

@@ -1 +1 @@
-
+"""Streaming forms of operators that make sense on unbounded input."""
