@@ -41,7 +41,7 @@ def numbered(ws: list[str]) -> list[int]:
     out = []
     for w in ws:
         seen[w] = k = seen.get(w, 0) + 1
-        out.append(xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), k) - (1 << 63))
+        out.append(xxhash.xxh3_64_intdigest(f"{w}\0{k}".encode("utf-8", "surrogatepass")) - (1 << 63))
     return out
 
 
