@@ -195,7 +195,8 @@ def limits(described: DataFrame) -> DataFrame:
 
 #: Counts that an unseen ending is thought to have, among whole and among cut values; sources and other texts that an open
 #: ending must recur in to be a whole one, else its count weighs little.
-_WHOLE, _CUT, _SOURCES, _TEXTS, _RARE = 0.001, 0.9, 3, 3, 0.005
+_WHOLE, _CUT, _SOURCES, _TEXTS, _RARE = 0.001, 0.9, 3, 3, 0.002
+_RATE = 0.002
 # Endings that no whole text has, and endings whose form is closed.
 _OPEN = ("json open", "fence open", "path open")
 _CLOSED = ("stop", "stop space", "json", "fence", "markup", "signed")
@@ -227,8 +228,9 @@ def judged(values: DataFrame) -> DataFrame:
     rates = once.groupBy("field_name", "source").agg(F.count_if(~at).alias("own_all"), F.count_if(~at & open_end).alias("own_open"))
     # Forms that cannot be whole measure the rate of cuts in transfer, by their share among values cut at a limit.
     share = F.when(F.col("cut_all") > 20, F.greatest(F.col("cut_open") / F.col("cut_all"), F.lit(0.05))).otherwise(0.25)
-    field_rate = (F.col("whole_open") / share + 1) / (F.col("whole_all") + 500)
-    rate = F.least(F.lit(0.2), (F.col("own_open") / share + 200 * field_rate) / (F.col("own_all") + 200))
+    # The fewer of the cuts show such a form, the less its absence says: gamma priors of the field's and the source's rate.
+    field_rate = (F.col("whole_open") + 0.5) / (share * F.col("whole_all") + 0.5 / _RATE)
+    rate = F.least(F.lit(0.2), (F.col("own_open") + 1) / (share * F.col("own_all") + 1 / field_rate))
     rates = rates.join(fields, "field_name").select("field_name", "source", "cut_all", "whole_all", rate.alias("rate"), field_rate.alias("field_rate"))
     scored = placed.join(rates, ["field_name", "source"]).join(ends.filter("cut_n + whole_n > 1"), ["field_name", "ending"], "left")
     closed = F.col("ending").isin(*_CLOSED)
@@ -236,7 +238,7 @@ def judged(values: DataFrame) -> DataFrame:
     others = F.greatest(F.coalesce("whole_n", F.lit(0)) - F.when(~at & ~closed, 1).otherwise(0), F.lit(0))
     recurs = (F.coalesce("sources", F.lit(0)) >= _SOURCES) & (others >= _TEXTS)
     # Of an ending's values away from the limit, those that cuts in transfer account for are not whole.
-    stray = 2 * F.col("field_rate") * F.col("whole_all") * cut_n / F.col("cut_all")
+    stray = 3 * F.col("field_rate") * F.col("whole_all") * cut_n / F.col("cut_all")
     whole_n = F.when(recurs, F.greatest(others - stray, F.lit(0))).otherwise(others * _RARE)
     p_cut = F.when(closed, (cut_n + 0.5) / (F.col("cut_all") + 50)).otherwise((cut_n + _CUT) / F.col("cut_all"))
     p_whole = F.when(closed, (others + 5) / (F.col("whole_all") + 5)).otherwise((whole_n + _WHOLE) / F.col("whole_all"))
