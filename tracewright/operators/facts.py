@@ -13,6 +13,7 @@ from tracewright.functions import steps as S
 from tracewright.functions.errors import PIPELINE_ERRORS, TAXONOMY_ERRORS, announces_retry, error_class
 from tracewright.functions.text import fingerprint, strip, truthy_coalesce
 from tracewright.operators.ordered import changes, with_position
+from tracewright.sources.tables import cut_lineage
 
 BUSINESS = [
     "session_key", "source", "step_id", "step_type", "ts", "content", "tool_name", "skill_context", "input_params", "call_id", "status", "output",
@@ -72,7 +73,8 @@ def step_facts(steps: DataFrame) -> DataFrame:
     )
     cols = [c for c in facts.columns if c not in ("sid", "step_id", "_mark", "row")]
     once = facts.groupBy("sid", "step_id", "_mark").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in cols]).drop("_mark")
-    return with_position(once, "sid", "step_id", "row")
+    # Texts are read once; positions and all that follows read the narrow rows.
+    return with_position(cut_lineage(once), "sid", "step_id", "row")
 
 
 def params_key(params: Column) -> Column:

@@ -11,13 +11,14 @@ from tracewright.operators import assembly, evalset, facts, pairing, render, sco
 from tracewright.operators.schema_drift import drift, unified
 from tracewright.operators.timestamps import normalise_timestamps
 from tracewright.plans import oracles
-from tracewright.sources import table
+from tracewright.sources import cut_lineage, table
 
 FLAGSHIP = "error_taxonomy_recovery"
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    return facts.step_facts(table(spark, d, "steps"))
+    """The facts, written once, since most queries read them in several branches."""
+    return cut_lineage(facts.step_facts(table(spark, d, "steps")))
 
 
 def _scored(spark: SparkSession, d: str, own: DataFrame | None = None) -> DataFrame:
@@ -30,7 +31,7 @@ def _placed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    return assembly.event_rows(table(spark, d, "raw_events"))
+    return cut_lineage(assembly.event_rows(table(spark, d, "raw_events")))
 
 
 def error_taxonomy_recovery(spark, d):
