@@ -9,6 +9,7 @@ source's locale, for a change of form from one record to the next and for a larg
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,21 +54,16 @@ class Costs:
     context: int = 16
 
 
-def _int(v: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(v, pattern, group).try_cast("int")
-
-
-def _micros(frac: Column) -> Column:
-    """The first six digits of a written fraction, unwritten ones zero."""
-    return F.coalesce(F.rpad(F.left(frac, F.lit(6)), 6, "0").try_cast("bigint"), F.lit(0))
-
-
-def _wall(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column, frac: Column) -> Column:
-    """Microseconds of a wall time read as if in UTC; null where there is no such date or time."""
-    sec = F.coalesce(s, F.lit(0))
-    date = F.try_make_timestamp(y, mo, d, F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
-    ok = h.between(0, 23) & mi.between(0, 59) & sec.between(0, 60)
-    return F.when(ok, F.unix_micros(date) + ((h * 60 + mi) * 60 + sec).cast("bigint") * 1_000_000 + _micros(frac))
+# Each form's pattern and the groups of year, month, day, hour, minute, second, fraction, half of day and zone (0: none).
+_FORMS = {
+    20: (_ISO, (1, 2, 3, 4, 5, 6, 7, 0, 8)),
+    30: (_NUMERIC, (3, 2, 1, 4, 5, 6, 7, 8, 9)),
+    40: (_CJK, (1, 2, 3, 4, 5, 6, 7, 0, 8)),
+    50: (_MAIL, (3, 2, 1, 4, 5, 6, 7, 0, 8)),
+    60: (_COMPACT, (1, 2, 3, 4, 5, 6, 7, 0, 8)),
+}
+_UNIX = r"^\d{9,20}([.,]\d+)?$"
+_PARTS = ("y", "mo", "d", "h", "mi", "s", "frac", "half", "zone")
 
 
 def _offset_minutes(zone: Column, host: Column) -> Column:
@@ -76,78 +72,82 @@ def _offset_minutes(zone: Column, host: Column) -> Column:
     hours = F.substring(digits, 2, 2).try_cast("int")
     rest = F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0))
     signed = (hours * 60 + rest) * F.when(digits.startswith("-"), -1).otherwise(1)
-    names = F.create_map(*[F.lit(x) for kv in ZONE_MINUTES.items() for x in kv])
-    named = F.try_element_at(names, F.upper(zone))
+    by_minutes: dict[int, list[str]] = {}
+    for name, minutes in ZONE_MINUTES.items():
+        by_minutes.setdefault(minutes, []).append(name)
+    named = F.when(F.lit(False), F.lit(0))
+    for minutes, names in by_minutes.items():
+        named = named.when(F.upper(zone).isin(names), minutes)
     for name, readings in SHARED_ABBREVIATIONS.items():
         by_host = F.coalesce(*[F.when(F.coalesce(host, F.lit("")).startswith(p), m) for p, m in readings])
-        named = F.when(F.upper(zone) == name, by_host).otherwise(named)
+        named = named.when(F.upper(zone) == name, by_host)
     return F.when(zone.rlike(r"^[+-]"), signed).when(zone != "", named)
 
 
-def _instant(wall: Column, zone: Column, host: Column) -> Column:
+def _wall(y: str, mo: str, d: str) -> Column:
+    """Microseconds of the wall time of a row's parts read as if in UTC; null where there is no such date or time."""
+    date = F.try_make_timestamp(F.col(y), F.col(mo), F.col(d), F.lit(0), F.lit(0), F.lit(0), F.lit("UTC"))
+    ok = F.col("h").between(0, 23) & F.col("mi").between(0, 59) & F.col("s").between(0, 60)
+    return F.when(ok, F.unix_micros(date) + ((F.col("h") * 60 + F.col("mi")) * 60 + F.col("s")).cast("bigint") * 1_000_000 + F.col("us"))
+
+
+def _instant(wall: str) -> Column:
     """UTC microseconds of a wall time with its written zone, else in the host's zone, the earlier of two."""
-    offset = _offset_minutes(zone, host)
-    in_host = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(wall), F.coalesce(host, F.lit("UTC"))))
-    return F.when(zone == "", in_host).otherwise(wall - offset.cast("bigint") * 60_000_000)
+    in_host = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(wall), F.coalesce("tz", F.lit("UTC"))))
+    return F.when(F.col("zone") == "", in_host).otherwise(F.col(wall) - F.col("offset").cast("bigint") * 60_000_000)
 
 
-def readings(value: Column, host: Column, locale: Column, first_us: int, end_us: int) -> Column:
-    """The array of valid readings of `value`: `cost`, `us`, `form`; empty where it names no instant in range.
+def with_readings(rows: DataFrame, first_us: int, end_us: int) -> DataFrame:
+    """`rows` (`row`, `src`, `v`, `tz`, `loc`) as `row`, `src` and `options`, the array of valid readings (`cost`, `us`, `form`) of `v`.
 
-    Null, blank and stand-in texts, impossible dates and unknown zones give the empty array.
+    It is empty where `v` names no instant in range: stand-in texts, impossible dates, unknown zones. Each step is a
+    projection of its own, so that every part is taken from the text once.
     """
-    v = F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
-
-    def reading(form: int, us: Column, cost: Column | float = 0.0) -> Column:
+    v = F.col("v")
+    known = rows.select("row", "src", F.regexp_replace(v, r"(?U)^\s+|\s+$", "").alias("v"), "tz", "loc")
+    form = F.when(v.rlike(_UNIX) & ~v.rlike(r"^20\d{12}$"), 10)
+    for code, (pattern, _) in _FORMS.items():
+        form = form.when(v.rlike(pattern), code)
+    known = known.withColumn("form", form)
+
+    def part(k: int) -> Column:
+        out = F.when(F.lit(False), F.lit(""))
+        for code, (pattern, groups) in _FORMS.items():
+            if groups[k]:
+                out = out.when(F.col("form") == code, F.regexp_extract(v, pattern, groups[k]))
+        return F.coalesce(out, F.lit(""))
+
+    cut = known.select("row", "src", "v", "tz", "loc", "form", *[part(k).alias(p) for k, p in enumerate(_PARTS)])
+    month = F.when(F.col("form") == 50, ((F.instr(F.lit(MONTHS.lower()), F.lower("mo")) + 2) / 3).cast("int")).otherwise(F.col("mo").try_cast("int"))
+    hour, half = F.col("h").try_cast("int"), F.lower(F.left("half", F.lit(1)))
+    hour = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), 0).otherwise(hour)
+    micros = F.coalesce(F.rpad(F.left("frac", F.lit(6)), 6, "0").try_cast("bigint"), F.lit(0))
+    number = F.when(F.col("form") == 10, F.regexp_replace("v", ",", ".").try_cast("decimal(38,9)"))
+    parts = cut.select(
+        "row", "src", "tz", "loc", "form", "zone", F.col("y").try_cast("int").alias("y"), month.alias("mo"), F.col("d").try_cast("int").alias("d"), hour.alias("h"),
+        F.col("mi").try_cast("int").alias("mi"), F.coalesce(F.col("s").try_cast("int"), F.lit(0)).alias("s"), micros.alias("us"), number.alias("number"),
+        _offset_minutes(F.col("zone"), F.col("tz")).alias("offset"),
+    )
+    swapped = F.when(F.col("form") == 30, _wall("y", "d", "mo"))
+    walls = parts.select("row", "src", "tz", "loc", "form", "zone", "offset", "number", _wall("y", "mo", "d").alias("wall"), swapped.alias("swapped"))
+    instants = walls.select("row", "src", "loc", "form", "number", _instant("wall").alias("a"), _instant("swapped").alias("b"))
+
+    def reading(code: Column, us: Column, cost: Column | float) -> Column:
         cost = cost if isinstance(cost, Column) else F.lit(cost)
-        return F.struct(cost.cast("double").alias("cost"), us.try_cast("bigint").alias("us"), F.lit(form).alias("form"))
-
-    exact = F.regexp_replace(v, ",", ".").try_cast("decimal(38,9)")
-    unix = [
-        reading(10 + k, F.floor(exact * F.lit(10 ** (6 - k)).cast("decimal(7,0)")) if k <= 6 else F.floor(exact / 1000))
-        for k in (0, 3, 6, 9)
+        return F.struct(cost.cast("double").alias("cost"), us.try_cast("bigint").alias("us"), code.cast("int").alias("form"))
+
+    # Of the units of a Unix time at most one falls into the range; the range is far from its own thousandfold.
+    unix = [reading(F.lit(10 + k), F.floor(F.col("number") * F.lit(10 ** (6 - k))) if k <= 6 else F.floor(F.col("number") / 1000), 0.0) for k in (0, 3, 6, 9)]
+    month_first, against = F.col("loc").isin(MONTH_FIRST), Costs().locale
+    both = [
+        reading(F.lit(30), F.col("a"), F.when(month_first, against).otherwise(0.0)),
+        reading(F.lit(31), F.col("b"), F.when(month_first | F.col("loc").isNull(), 0.0).otherwise(against)),
     ]
-
-    def fields(p: str, order: tuple[int, ...], zone: int) -> Column:
-        y, mo, d, h, mi, s, fr = order
-        wall = _wall(_int(v, p, y), _int(v, p, mo), _int(v, p, d), _int(v, p, h), _int(v, p, mi), _int(v, p, s), F.regexp_extract(v, p, fr))
-        return _instant(wall, F.regexp_extract(v, p, zone), host)
-
-    month = (F.instr(F.lit(MONTHS.lower()), F.lower(F.regexp_extract(v, _MAIL, 2))) + 2) / 3
-    mail_wall = _wall(
-        _int(v, _MAIL, 3), month.cast("int"), _int(v, _MAIL, 1), _int(v, _MAIL, 4), _int(v, _MAIL, 5), _int(v, _MAIL, 6), F.regexp_extract(v, _MAIL, 7)
-    )
-    hour, half = _int(v, _NUMERIC, 4), F.lower(F.left(F.regexp_extract(v, _NUMERIC, 8), F.lit(1)))
-    hour = F.when((half == "p") & (hour < 12), hour + 12).when((half == "a") & (hour == 12), 0).otherwise(hour)
-    numeric = lambda mo, d: _instant(
-        _wall(_int(v, _NUMERIC, 3), _int(v, _NUMERIC, mo), _int(v, _NUMERIC, d), hour, _int(v, _NUMERIC, 5), _int(v, _NUMERIC, 6), F.regexp_extract(v, _NUMERIC, 7)),
-        F.regexp_extract(v, _NUMERIC, 9),
-        host,
-    )
-    month_first = locale.isin(MONTH_FIRST)
-    against = Costs().locale
-    found = (
-        F.when(v.rlike(r"^\d{9,20}([.,]\d+)?$") & ~v.rlike(r"^20\d{12}$"), F.array(*unix))
-        .when(v.rlike(_ISO), F.array(reading(20, fields(_ISO, (1, 2, 3, 4, 5, 6, 7), 8))))
-        .when(
-            v.rlike(_NUMERIC),
-            F.array(
-                reading(30, numeric(2, 1), F.when(month_first, against).otherwise(0.0)),
-                reading(31, numeric(1, 2), F.when(month_first | locale.isNull(), 0.0).otherwise(against)),
-            ),
-        )
-        .when(v.rlike(_CJK), F.array(reading(40, fields(_CJK, (1, 2, 3, 4, 5, 6, 7), 8))))
-        .when(v.rlike(_MAIL), F.array(reading(50, _instant(mail_wall, F.regexp_extract(v, _MAIL, 8), host))))
-        .when(v.rlike(_COMPACT), F.array(reading(60, fields(_COMPACT, (1, 2, 3, 4, 5, 6, 7), 8))))
-    )
-    kept = F.filter(found, lambda r: (r["us"] >= first_us) & (r["us"] < end_us))
+    found = F.when(F.col("form") == 10, F.array(*unix)).when(F.col("form") == 30, F.array(*both)).otherwise(F.array(reading(F.col("form"), F.col("a"), 0.0)))
+    kept = instants.select("row", "src", F.filter(found, lambda r: (r["us"] >= first_us) & (r["us"] < end_us)).alias("k"))
     # Two orders of one date that name the same instant (05/05) are one reading.
-    kept = F.when((F.size(kept) == 2) & (F.get(kept, 0)["us"] == F.get(kept, 1)["us"]), F.slice(F.array_sort(kept), 1, 1)).otherwise(kept)
-    return F.coalesce(kept, F.array().cast(kept_type()))
-
-
-def kept_type() -> str:
-    return "array<struct<cost:double,us:bigint,form:int>>"
+    same = (F.size("k") == 2) & (F.get("k", F.lit(0))["us"] == F.get("k", F.lit(1))["us"])
+    return kept.select("row", "src", F.when(same, F.slice(F.array_sort("k"), 1, 1)).otherwise(F.col("k")).alias("options"))
 
 
 def _viterbi(records: Column, costs: Costs) -> Column:
@@ -202,19 +202,16 @@ def normalise_timestamps(
     that holds any share of the rows is spread over many tasks.
     """
     costs = costs or Costs()
-    lo = F.unix_micros(F.lit(f"{first} 00:00:00+00:00").cast("timestamp"))
-    hi = F.unix_micros(F.lit(f"{end} 00:00:00+00:00").cast("timestamp"))
-    spark = df.sparkSession
-    lo_us, hi_us = spark.range(1).select(lo, hi).first()
-    dim = sources.select(F.col("source").alias("_src"), F.col("host_tz").alias("_tz"), F.col("locale").alias("_loc")).dropDuplicates(["_src"])
-    rows = df.select(F.col(row_id).cast("bigint").alias("row"), F.col(source).alias("_s"), F.col(value).cast("string").alias("_v"))
-    parsed = rows.filter(F.col("_v").rlike(r"\d{4}")).join(dim, F.col("_s") == F.col("_src"), "left")
-    parsed = parsed.select("row", "_s", readings(F.col("_v"), F.col("_tz"), F.col("_loc"), lo_us, hi_us).alias("options"))
+    lo_us, hi_us = (int(datetime.fromisoformat(f"{t}T00:00:00+00:00").timestamp()) * 1_000_000 for t in (first, end))
+    dim = sources.groupBy(F.col("source").alias("_src")).agg(F.min("host_tz").alias("tz"), F.min("locale").alias("loc"))
+    rows = df.select(F.col(row_id).cast("bigint").alias("row"), F.col(source).alias("src"), F.col(value).cast("string").alias("v"))
+    rows = rows.filter(F.col("v").rlike(r"\d{4}")).join(dim, F.col("src") == F.col("_src"), "left").drop("_src")
+    parsed = with_readings(rows, lo_us, hi_us)
     block = F.expr(f"row div {costs.block}")
     place = F.pmod("row", F.lit(costs.block))
     into = F.array_compact(F.array(block, F.when(place >= costs.block - costs.context, block + 1), F.when(place < costs.context, block - 1)))
     spread = parsed.withColumn("_at", F.explode(into))
     own = (F.expr(f"row div {costs.block}") == F.col("_at")).alias("own")
-    ordered = spread.groupBy("_s", "_at").agg(F.array_sort(F.collect_list(F.struct("row", own, "options"))).alias("recs"))
+    ordered = spread.groupBy("src", "_at").agg(F.array_sort(F.collect_list(F.struct("row", own, "options"))).alias("recs"))
     chosen = ordered.select(F.explode(F.arrays_zip(F.col("recs"), _viterbi(F.col("recs"), costs).alias("us"))).alias("z"))
     return chosen.filter("z.recs.own and z.us is not null").select(F.col("z.recs.row").alias("row_id"), F.col("z.us").alias("epoch_us"))
