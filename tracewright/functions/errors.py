@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import contains_any
+from tracewright.functions.text import contains_any, holds_any
 
 # The classes of the pipeline and of pairing, first match wins.
 PIPELINE_ERRORS = {
@@ -41,6 +41,10 @@ INTENT_PATTERNS = [
 ]
 
 
+# One of these is in every text that INTENT_PATTERNS match.
+INTENT_MARKS = ["重试", "再试", "retry", "try again", "失败", "failed", "error", "继续", "proceed", "continue", "终止", "中止", "结束", "aborted", "terminated"]
+
+
 def error_class(text: Column, table: dict[str, list[str]], default: str) -> Column:
     """The first class of `table` whose wording `text` contains, else `default`."""
     out = F.when(F.lit(False), F.lit(""))
@@ -49,5 +53,7 @@ def error_class(text: Column, table: dict[str, list[str]], default: str) -> Colu
     return out.otherwise(default)
 
 
-def announces_retry(text: Column) -> Column:
-    return F.coalesce(text.rlike("(?i)" + "|".join(INTENT_PATTERNS)), F.lit(False))
+def announces_retry(text: Column, lowered: Column | None = None) -> Column:
+    """True where `text` announces another attempt or gives up; the patterns run only where one of their marks is present."""
+    marked = holds_any(F.lower(text) if lowered is None else lowered, INTENT_MARKS)
+    return F.coalesce(F.when(marked, text.rlike("(?i)" + "|".join(INTENT_PATTERNS))), F.lit(False))

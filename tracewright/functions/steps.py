@@ -82,11 +82,14 @@ def outcome(c: Column) -> Column:
     return _lookup(c, OUTCOMES, "unknown")
 
 
-def resolved_status(raw: Column, output: Column, error: Column) -> Column:
-    """The status of a result: a written error stays; a missing, unknown or clean one is checked against the texts."""
+def resolved_status(raw: Column, output: Column, error: Column, shows_error: Column | None = None) -> Column:
+    """The status of a result: a written error stays; a missing, unknown or clean one is checked against the texts.
+
+    `shows_error` may say whether the output holds one of ERROR_TEXTS, where the caller knows it already.
+    """
     written = status(raw)
     unsure = raw.isNull() | (written == "pending") | ((written == "success") & (F.coalesce(error, F.lit("")) == ""))
-    bad = ~is_blank(error) | contains_any(output, ERROR_TEXTS)
+    bad = ~is_blank(error) | (contains_any(output, ERROR_TEXTS) if shows_error is None else shows_error)
     return F.when(unsure & bad, "error").otherwise(written)
 
 

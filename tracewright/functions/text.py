@@ -34,6 +34,12 @@ def contains_any(c: Column, needles: list[str]) -> Column:
     return F.coalesce(F.lower(c).rlike(quoted), F.lit(False))
 
 
+def holds_any(lowered: Column, needles: list[str]) -> Column:
+    """`contains_any` for a column that is in lower case already: plain searches, faster than one pattern."""
+    short = [n for n in needles if not any(m != n and m in n for m in needles)]
+    return F.coalesce(reduce(lambda a, b: a | b, [lowered.contains(n) for n in short]), F.lit(False))
+
+
 def quantise(c: Column, digits: int = 4) -> Column:
     """`c` rounded half up on its double value, the same in every engine."""
     scale = float(10**digits)

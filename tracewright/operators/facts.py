@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import steps as S
 from tracewright.functions.errors import PIPELINE_ERRORS, TAXONOMY_ERRORS, announces_retry, error_class
-from tracewright.functions.text import fingerprint, strip, truthy_coalesce
+from tracewright.functions.text import fingerprint, holds_any, strip, truthy_coalesce
 from tracewright.operators.ordered import changes, with_position
 from tracewright.sources.tables import cut_lineage
 
@@ -43,33 +43,41 @@ def step_rows(steps: DataFrame) -> DataFrame:
 
 
 def step_facts(steps: DataFrame) -> DataFrame:
-    """One narrow row per step: `sid`, `pos` (1-based), `step_id`, `row`, `kind`, `st` (results only) and flags of its texts."""
+    """One narrow row per step: `sid`, `pos` (1-based), `step_id`, `row`, `kind`, `st` (results only) and flags of its texts.
+
+    Lower-case texts, then kinds and statuses, then classes are projections of their own, so that nothing is computed twice.
+    """
     named = steps.withColumn("sid", session_name(F.col("session_id"))).filter("sid is not null and step_id is not null")
-    kind = S.step_type(F.col("step_type"))
     content = F.col("content")
-    shown = truthy_coalesce(F.col("error"), F.col("output"))
-    result = kind == "tool_result"
-    st = F.when(result, S.resolved_status(F.col("status"), F.col("output"), F.col("error")))
-    params = F.from_json("input_params", "map<string,string>")
-    facts = named.select(
+    lowered = named.select(
         "sid", F.col("step_id").cast("bigint").alias("step_id"), F.col("step_row").alias("row"), fingerprint(*[F.col(c) for c in BUSINESS]).alias("_mark"),
-        kind.alias("kind"), st.alias("st"),
+        S.step_type(F.col("step_type")).alias("kind"), "content", "tool_name", "skill_context", "input_params", "call_id", "status", "output", "error",
+        F.lower("content").alias("lc"), F.lower(F.when(F.col("output") != "", F.col("output"))).alias("lo"),
+    )
+    result, call = F.col("kind") == "tool_result", F.col("kind") == "tool_call"
+    st = F.when(result, S.resolved_status(F.col("status"), F.col("output"), F.col("error"), holds_any(F.col("lo"), S.ERROR_TEXTS)))
+    # The text that tells of a recovery is the content, of a result without one its error and output.
+    both = F.lower(F.concat(F.coalesce("error", F.lit("")), F.coalesce("output", F.lit(""))))
+    told = F.when(F.coalesce(content, F.lit("")) != "", F.col("lc")).when(result, both)
+    judged = lowered.withColumn("st", st).withColumn("told", told).withColumn("params", F.when(call, F.from_json("input_params", "map<string,string>")))
+    shown = truthy_coalesce(F.col("error"), F.col("output"))
+    failed = F.col("st") == "error"
+    param = lambda k: F.try_element_at("params", F.lit(k))
+    facts = judged.select(
+        "sid", "step_id", "row", "_mark", "kind", "st",
         F.nullif("tool_name", F.lit("")).alias("tool"), F.nullif("skill_context", F.lit("")).alias("skill"),
         F.length(F.coalesce(content, F.lit(""))).alias("chars"),
-        S.recovery_signal(kind, content, F.col("output"), F.col("error")).alias("recovers"),
-        F.when(result & (st == "error"), error_class(shown, PIPELINE_ERRORS, "other_error")).alias("error_class"),
-        F.when(result & (st == "error"), error_class(F.concat_ws(" ", "error", "output"), PIPELINE_ERRORS, "other_error")).alias("error_bucket"),
-        F.when(result & (st == "error"), error_class(shown, TAXONOMY_ERRORS, "other")).alias("error_kind"),
-        announces_retry(content).alias("announces"),
+        holds_any(F.col("told"), S.RECOVERY_TEXTS).alias("recovers"),
+        F.when(failed, error_class(shown, PIPELINE_ERRORS, "other_error")).alias("error_class"),
+        F.when(failed, error_class(F.concat_ws(" ", "error", "output"), PIPELINE_ERRORS, "other_error")).alias("error_bucket"),
+        F.when(failed, error_class(shown, TAXONOMY_ERRORS, "other")).alias("error_kind"),
+        announces_retry(content, F.col("lc")).alias("announces"),
         F.coalesce(content.startswith(TASK_NOTE), F.lit(False)).alias("task_note"),
-        F.coalesce(content.rlike(r"(?i)error|失败|exception"), F.lit(False)).alias("speaks_error"),
-        F.when(kind == "tool_call", F.try_element_at(params, F.lit("path"))).alias("path"),
-        F.when(kind == "tool_call", F.try_element_at(params, F.lit("action"))).alias("action"),
-        F.when(kind == "tool_call", F.coalesce(F.try_element_at(params, F.lit("command")), F.lit(""))).alias("command"),
-        F.when(kind == "tool_call", params_key(params)).alias("params"),
+        holds_any(F.col("lc"), ["error", "失败", "exception"]).alias("speaks_error"),
+        param("path").alias("path"), F.when(call, F.coalesce(param("command"), F.lit(""))).alias("command"), params_key(F.col("params")).alias("params"),
         F.nullif("call_id", F.lit("")).alias("call"),
         (F.coalesce(content, F.lit("")) != "").alias("says"),
-        F.coalesce(content.rlike(PLANNING), F.lit(False)).alias("plans"),
+        F.coalesce(F.when(F.col("kind") == "reasoning", content.rlike(PLANNING)), F.lit(False)).alias("plans"),
     )
     cols = [c for c in facts.columns if c not in ("sid", "step_id", "_mark", "row")]
     once = facts.groupBy("sid", "step_id", "_mark").agg(F.min("row").alias("row"), *[F.first(c).alias(c) for c in cols]).drop("_mark")
