@@ -1,5 +1,5 @@
 """Readers of tables, event logs, companion logs and plain-text logs."""
 
-from tracewright.sources.tables import cut_lineage, table
+from tracewright.sources.tables import cut_lineage, lookup, table
 
-__all__ = ["cut_lineage", "table"]
+__all__ = ["cut_lineage", "lookup", "table"]

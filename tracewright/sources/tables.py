@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,3 +24,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracewright-")
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+#: Rows up to which a lookup table is broadcast; beyond it is joined by shuffle.
+BROADCAST_ROWS = 100_000
+
+
+def lookup(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, written once and counted, with a broadcast hint if it has at most `most` rows.
+
+    For tables of groups joined back to the rows they were counted from: keys that hold a large share of the rows then never meet in one task.
+    """
+    cut = cut_lineage(df)
+    return F.broadcast(cut) if cut.count() <= most else cut
