@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.pairs import EXTENSIONS, Stack
-from tracewright.sources import cut_lineage
+from tracewright.sources import cut_lineage, lookup
 
 # Marks that programs leave where they cut.
 _MARK = regex.compile(
@@ -210,14 +210,14 @@ def judged(values: DataFrame) -> DataFrame:
     (limits, counts of endings, rates of cuts in transfer) covers all values.
     """
     seen = cut_lineage(describe(values.withColumn("source", F.coalesce("source", F.lit("")))))
-    found = limits(seen)
+    found = lookup(limits(seen))
     own = F.when(F.col("unit") == "chars", F.col("chars")).otherwise(F.col("bytes"))
     at_limit = F.coalesce((own == F.col("limit")) | (F.col("marked") & (own <= F.col("limit")) & (own > F.col("limit") - 4)), F.lit(False))
     placed = seen.join(found, ["field_name", "source"], "left").select(
         "field_name", "row_id", "source", "marked", "ending", "digest", at_limit.alias("at_limit"), F.coalesce("censored", F.lit(0.0)).alias("censored")
     )
     placed = cut_lineage(placed)
-    once = placed.groupBy("field_name", "source", "ending", "digest").agg(F.max("at_limit").alias("at_limit"))
+    once = cut_lineage(placed.groupBy("field_name", "source", "ending", "digest").agg(F.max("at_limit").alias("at_limit")))
     at, open_end = F.col("at_limit"), F.col("ending").isin(*_OPEN)
     ends = once.groupBy("field_name", "ending").agg(
         F.count_if(at).alias("cut_n"), F.count_if(~at).alias("whole_n"), F.count_distinct(F.when(~at, F.col("source"))).alias("sources")
@@ -232,7 +232,7 @@ def judged(values: DataFrame) -> DataFrame:
     field_rate = (F.col("whole_open") + 0.5) / (share * F.col("whole_all") + 0.5 / _RATE)
     rate = F.least(F.lit(0.2), (F.col("own_open") + 1) / (share * F.col("own_all") + 1 / field_rate))
     rates = rates.join(fields, "field_name").select("field_name", "source", "cut_all", "whole_all", rate.alias("rate"), field_rate.alias("field_rate"))
-    scored = placed.join(rates, ["field_name", "source"]).join(ends.filter("cut_n + whole_n > 1"), ["field_name", "ending"], "left")
+    scored = placed.join(lookup(rates), ["field_name", "source"]).join(lookup(ends.filter("cut_n + whole_n > 1")), ["field_name", "ending"], "left")
     closed = F.col("ending").isin(*_CLOSED)
     cut_n = F.greatest(F.coalesce("cut_n", F.lit(0)) - F.when(at & ~closed, 1).otherwise(0), F.lit(0))
     others = F.greatest(F.coalesce("whole_n", F.lit(0)) - F.when(~at & ~closed, 1).otherwise(0), F.lit(0))
