@@ -29,19 +29,6 @@ def session_name(c: Column) -> Column:
     return F.nullif(F.lower(strip(c)), F.lit(""))
 
 
-def step_rows(steps: DataFrame) -> DataFrame:
-    """Every step once, with `sid`, `row` and normal `kind` and `st` beside its columns.
-
-    Rows that differ only in `step_row` and `ingested_at` are one step, the first row's; rows without session or number have no place.
-    """
-    named = steps.withColumn("sid", session_name(F.col("session_id"))).filter("sid is not null and step_id is not null")
-    mark = fingerprint(*[F.col(c) for c in BUSINESS])
-    kept = named.withColumn("_mark", mark).groupBy("sid", "step_id", "_mark").agg(
-        F.min("step_row").alias("row"), *[F.first(c).alias(c) for c in BUSINESS if c != "step_id"]
-    )
-    return kept.drop("_mark").withColumn("kind", S.step_type(F.col("step_type"))).withColumn("st", S.resolved_status(F.col("status"), F.col("output"), F.col("error")))
-
-
 def step_facts(steps: DataFrame) -> DataFrame:
     """One narrow row per step: `sid`, `pos` (1-based), `step_id`, `row`, `kind`, `st` (results only) and flags of its texts.
 

@@ -1,18 +1,39 @@
-"""Steps as messages and as budgeted assistant text."""
+"""Steps as messages and as budgeted assistant text.
+
+Positions and message numbers are found on narrow rows; the texts join them by row number and are shuffled twice, to the
+row and to the message.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import truthy_coalesce
-from tracewright.operators.facts import TASK_NOTE, step_rows
+from tracewright.functions import steps as S
+from tracewright.functions.text import fingerprint, truthy_coalesce
+from tracewright.operators.facts import BUSINESS, TASK_NOTE, session_name
 from tracewright.operators.ordered import with_position, with_running_sum
+from tracewright.sources.tables import cut_lineage
+
+
+def placed_rows(steps: DataFrame) -> DataFrame:
+    """Every step once as a narrow row: `sid`, `pos`, `row` (of the first delivery), `kind`, `shown` (whether it has a piece)."""
+    named = steps.withColumn("sid", session_name(F.col("session_id"))).filter("sid is not null and step_id is not null")
+    kind = S.step_type(F.col("step_type"))
+    content = F.coalesce("content", F.lit(""))
+    shown = kind.isin("tool_call", "tool_result") | ((kind == "output") & (content != "")) | ((kind == "reasoning") & (content != "") & ~content.startswith(TASK_NOTE))
+    narrow = named.select(
+        "sid", F.col("step_id").cast("bigint").alias("step_id"), F.col("step_row").alias("row"), kind.alias("kind"), shown.alias("shown"),
+        fingerprint(*[F.col(c) for c in BUSINESS]).alias("_mark"),
+    )
+    once = narrow.groupBy("sid", "step_id", "_mark").agg(F.min("row").alias("row"), F.first("kind").alias("kind"), F.first("shown").alias("shown")).drop("_mark")
+    return cut_lineage(with_position(once, "sid", "step_id", "row"))
 
 
-def placed_steps(steps: DataFrame) -> DataFrame:
-    """`step_rows` with `pos`."""
-    return with_position(step_rows(steps), "sid", "step_id", "row")
+def _pieces(steps: DataFrame, most: int) -> DataFrame:
+    """`row`, `piece` of every step row that has one; a row number that comes twice counts once."""
+    own = steps.withColumn("kind", S.step_type(F.col("step_type"))).withColumn("st", S.resolved_status(F.col("status"), F.col("output"), F.col("error")))
+    return own.select(F.col("step_row").alias("row"), piece(most).alias("piece")).filter("piece is not null").dropDuplicates(["row"])
 
 
 def piece(most: int) -> Column:
@@ -32,25 +53,23 @@ def piece(most: int) -> Column:
     )
 
 
-def messages(placed: DataFrame, most: int = 3000) -> DataFrame:
+def messages(steps: DataFrame, most: int = 3000) -> DataFrame:
     """`sid`, `msg_no`, `role`, `content`: a result is a tool message, the pieces between two results one assistant message.
 
     Results are counted by a running sum over runs of positions, so that no session is sorted as a whole.
     """
-    own = placed.withColumn("piece", piece(most)).filter("piece is not null").select("sid", "pos", "kind", "piece")
     result = F.col("kind") == "tool_result"
-    cut = with_running_sum(own, "sid", "pos", F.when(result, 1).otherwise(0), "results")
+    cut = with_running_sum(placed_rows(steps).filter("shown"), "sid", "pos", F.when(result, 1).otherwise(0), "results")
     no = F.col("results") * 2 - F.when(result, 1).otherwise(0)
-    parts = cut.groupBy("sid", no.cast("bigint").alias("msg_no")).agg(
-        F.max(F.when(result, "tool").otherwise("assistant")).alias("role"), F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts")
-    )
+    numbered = cut.select("row", "sid", "pos", no.cast("bigint").alias("msg_no"), F.when(result, "tool").otherwise("assistant").alias("role"))
+    parts = numbered.join(_pieces(steps, most), "row").groupBy("sid", "msg_no", "role").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
     return parts.select("sid", "msg_no", "role", F.array_join(F.transform("parts", lambda x: x["piece"]), "\n").alias("content"))
 
 
-def budgeted(placed: DataFrame, last: int = 12, budget: int = 6000) -> DataFrame:
+def budgeted(steps: DataFrame, last: int = 12, budget: int = 6000) -> DataFrame:
     """`sid`, `text`: the pieces of the first `last` steps as far as their lengths sum to at most `budget`, up to the first that does not fit."""
-    own = placed.filter(F.col("pos") <= last).withColumn("piece", piece(2000)).filter("piece is not null")
-    lists = own.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
+    first = placed_rows(steps).filter((F.col("pos") <= last) & F.col("shown")).select("row", "sid", "pos")
+    lists = first.join(_pieces(steps, 2000), "row").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
     start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("go"), F.array().cast("array<string>").alias("kept"))
 
     def add(state: Column, x: Column) -> Column:
@@ -62,3 +81,10 @@ def budgeted(placed: DataFrame, last: int = 12, budget: int = 6000) -> DataFrame
         )
 
     return lists.select("sid", F.array_join(F.aggregate("parts", start, add)["kept"], "\n").alias("text"))
+
+
+def last_outputs(steps: DataFrame) -> DataFrame:
+    """`sid`, `last_output`: what the last output step of each session that says anything says."""
+    last = placed_rows(steps).filter("kind = 'output' and shown").groupBy("sid").agg(F.max_by("row", "pos").alias("row"))
+    said = steps.select(F.col("step_row").alias("row"), F.col("content").alias("last_output")).dropDuplicates(["row"])
+    return last.join(said, "row").select("sid", "last_output")

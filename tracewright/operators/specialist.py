@@ -68,10 +68,9 @@ def abort_reason(text: Column) -> Column:
     return out.otherwise("other")
 
 
-def graceful_aborts(placed: DataFrame, scored: DataFrame) -> DataFrame:
+def graceful_aborts(last_outputs: DataFrame, scored: DataFrame) -> DataFrame:
     """Sessions with calls and no error whose final output or last output step says that they stop, and why."""
-    last = placed.filter("kind = 'output'").groupBy("sid").agg(F.max_by("content", "pos").alias("last_output"))
-    s = scored.filter("tool_calls > 0 and error_steps = 0").select("sid", "outcome", "final_output", "steps", "tool_calls").join(last, "sid", "left")
+    s = scored.filter("tool_calls > 0 and error_steps = 0").select("sid", "outcome", "final_output", "steps", "tool_calls").join(last_outputs, "sid", "left")
     said = _holds(F.col("final_output"), ABORT_SIGNALS) | _holds(F.col("last_output"), ABORT_SIGNALS)
     text = F.coalesce(F.nullif("final_output", F.lit("")), F.col("last_output"), F.lit(""))
     return s.filter(said).select("sid", "outcome", abort_reason(text).alias("abort_reason"), F.left(F.coalesce("final_output", F.lit("")), F.lit(500)).alias("abort_signal"), "steps", "tool_calls")

@@ -26,10 +26,6 @@ def _scored(spark: SparkSession, d: str, own: DataFrame | None = None) -> DataFr
     return scoring.scored(facts.session_rows(table(spark, d, "trajectories")), facts.session_stats(own))
 
 
-def _placed(spark: SparkSession, d: str) -> DataFrame:
-    return render.placed_steps(table(spark, d, "steps"))
-
-
 def _events(spark: SparkSession, d: str) -> DataFrame:
     return cut_lineage(assembly.event_rows(table(spark, d, "raw_events")))
 
@@ -175,7 +171,7 @@ def long_plan(spark, d):
 
 
 def graceful_abort(spark, d):
-    return specialist.graceful_aborts(_placed(spark, d), _scored(spark, d))
+    return specialist.graceful_aborts(render.last_outputs(table(spark, d, "steps")), _scored(spark, d))
 
 
 def subagent_collab(spark, d):
@@ -190,11 +186,11 @@ def retry_sequences(spark, d):
 
 
 def sft_messages(spark, d):
-    return render.messages(_placed(spark, d))
+    return render.messages(table(spark, d, "steps"))
 
 
 def budgeted_render(spark, d):
-    return render.budgeted(_placed(spark, d))
+    return render.budgeted(table(spark, d, "steps"))
 
 
 def event_sessions(spark, d):
