@@ -59,7 +59,7 @@ def event_rows(events: DataFrame) -> DataFrame:
     return rows.groupBy("sid", "no").agg(F.min_by(F.struct(*cols), "row").alias("e")).select("sid", "no", "e.*")
 
 
-def session_attributes(rows: DataFrame) -> DataFrame:
+def session_attributes(rows: DataFrame, unnamed: str = "unnamed") -> DataFrame:
     """Per session what its first and last events say: agent, model, provider, first prompt, last output, final status, rounds."""
     at = lambda c, when=None: F.col(c) if when is None else F.when(when, F.col(c))
     prompts = F.col("type").isin("context.compiled", "prompt.submitted") & (F.coalesce("prompt", F.lit("")) != "")
@@ -78,7 +78,7 @@ def session_attributes(rows: DataFrame) -> DataFrame:
     named = F.when(F.col("key").startswith("agent:"), F.split_part("key", F.lit(":"), F.lit(2)))
     out = spoken(F.col("last_text"))
     return s.select(
-        "sid", F.coalesce(named, F.nullif("first_agent", F.lit("")), F.lit("openclaw")).alias("agent"), "model_version", "provider", "created_at",
+        "sid", F.coalesce(named, F.nullif("first_agent", F.lit("")), F.lit(unnamed)).alias("agent"), "model_version", "provider", "created_at",
         user_task(F.col("prompt")).alias("user_input"), F.left(F.when(out != "", out).otherwise(F.col("last_text")), F.lit(10000)).alias("final_output"),
         "final_status", "parent_session_id", "rounds", "events",
     )

@@ -258,7 +258,7 @@ SELECT sid, coalesce(string_agg(piece, chr(10) ORDER BY pos) FILTER (total <= 60
     rows = """er AS (SELECT * FROM (SELECT coalesce(nullif(session_id, ''), nullif(trace_id, '')) AS sid, coalesce(seq, source_seq, 0) AS no, *, CASE WHEN json_valid(data) THEN data END AS d,
   row_number() OVER (PARTITION BY coalesce(nullif(session_id, ''), nullif(trace_id, '')), coalesce(seq, source_seq, 0) ORDER BY event_row) AS rn FROM raw_events) WHERE rn = 1 AND sid IS NOT NULL)"""
     out["event_sessions"] = _with(rows) + """
-SELECT sid, coalesce(CASE WHEN starts_with(k, 'agent:') THEN split_part(k, ':', 2) END, nullif(a, ''), 'openclaw') AS agent, coalesce(nullif(m1, ''), m2) AS model_version, provider, final_status, rounds, events FROM
+SELECT sid, coalesce(CASE WHEN starts_with(k, 'agent:') THEN split_part(k, ':', 2) END, nullif(a, ''), 'unnamed') AS agent, coalesce(nullif(m1, ''), m2) AS model_version, provider, final_status, rounds, events FROM
 (SELECT sid, (arg_min([agent_id], no))[1] AS a, (arg_min([session_key], no))[1] AS k, (arg_min([model_id], no))[1] AS m1, (arg_max([model_id], no))[1] AS m2, (arg_min([provider], no))[1] AS provider,
   arg_max(coalesce(nullif(d ->> '$.finalStatus', ''), nullif(d ->> '$.status', '')), no) FILTER (event_type IN ('trace.artifacts', 'session.ended') AND coalesce(nullif(d ->> '$.finalStatus', ''), nullif(d ->> '$.status', '')) IS NOT NULL) AS final_status,
   count(*) FILTER (event_type IN ('context.compiled', 'prompt.submitted')) AS rounds, count(*) AS events FROM er GROUP BY sid)"""
