@@ -30,7 +30,7 @@ MEMO = 300_000
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # The same for pure ASCII, where the built-in engine is faster; its white space is spelt out, since it has more of it.
 _ASCII = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WIDE = regex.compile(PATTERN.replace(r"[^\s", rf"[^{_SPACE}").replace(r"(?!\S)", rf"(?![^{_SPACE}])").replace(r"\s+", rf"[{_SPACE}]+"))
 
 
