@@ -94,3 +94,19 @@ def test_sessions_by_silence(spark):
     got = {r["row"]: r["session_no"] for r in C.sessionize(rows).collect()}
     assert got == {0: 1, 1: 1, 2: 1, 3: 1, 4: 2, 5: 2, 6: 3, 7: 3}
     assert C.sessionize(rows.filter("false")).count() == 0
+
+
+def test_conversations_of_steps_are_rebuilt(spark):
+    cols = "session_id string, step_id int, step_type string, content string, tool_name string, skill_context string, input_params string, call_id string, output string, error string"
+    rows = [
+        ("S1 ", 4, "final", "done", None, None, None, None, None, None), ("S1 ", 2, "Tool_Call ", None, "read", None, '{"path": "p"}', "c", None, None),
+        ("S1 ", 3, "function_result", None, None, None, None, "c", "ok", None), ("S1 ", 1, "route", "to files", None, "FileSkill", None, None, None, None),
+        ("S1 ", 1, "route", "to files", None, "FileSkill", None, None, None, None), ("bad", 2, "output", "x", None, None, None, None, None, None),
+    ]
+    asked = spark.createDataFrame([(1, "s1", "  "), (3, "S1", "again"), (2, "s1", "do it"), (4, "bad", "hm")], "traj_id bigint, session_id string, user_input string")
+    got = C.rebuilt(events(spark, {"e": [user(), bot("a")]}), spark.createDataFrame(rows, cols), asked)
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("raw_events", "e", 1, "user", "hi"), ("raw_events", "e", 2, "assistant", "a"),
+        ("steps", "S1 ", 1, "user", "do it"), ("steps", "S1 ", 2, "system", "to files"), ("steps", "S1 ", 3, "assistant", 'read {"path": "p"}'),
+        ("steps", "S1 ", 4, "tool", "ok"), ("steps", "S1 ", 5, "assistant", "done"),
+    ]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.steps import step_type
 from tracewright.functions.text import filled, fingerprint, is_blank, strip
+from tracewright.operators.facts import session_name
 
 #: Numbers per run: the most turns that one array holds.
 RUN = 1024
@@ -179,21 +180,57 @@ def left_out(events: DataFrame, steps: DataFrame) -> DataFrame:
     return a.unionByName(b)
 
 
-def rebuilt(events: DataFrame) -> DataFrame:
-    """The turns of every sound conversation: `session_id`, `turn_no` (from 1), `role`, `text`.
+def step_turns(steps: DataFrame, trajectories: DataFrame) -> DataFrame:
+    """Step rows as rows (`conv`, `no`, `role`, `text`), the role inferred from the normal step type, and the request before them as number 0.
+
+    Thoughts, calls and outputs are the assistant's, results the tool's, routes the system's; steps of unknown type, and thoughts, outputs and routes
+    without words, hold no turn. The user's turn is the first request that is not blank among the rows of `trajectories` of that session name.
+    """
+    kind, content = step_type(F.col("step_type")), filled(F.col("content"))
+    role = (
+        F.when(kind == "tool_result", "tool")
+        .when((kind == "skill_route") & F.coalesce(content, filled(F.col("skill_context"))).isNotNull(), "system")
+        .when((kind == "tool_call") | (kind.isin("reasoning", "output") & content.isNotNull()), "assistant")
+    )
+    text = (
+        F.when(kind == "tool_call", F.concat_ws(" ", content, filled(F.col("tool_name")), filled(F.col("input_params"))))
+        .when(kind == "tool_result", F.coalesce(filled(F.col("output")), filled(F.col("error")), content, F.lit("")))
+        .when(kind == "skill_route", F.coalesce(content, filled(F.col("skill_context"))))
+        .otherwise(content)
+    )
+    own = steps.filter("session_id is not null and step_id is not null")
+    turns = own.select(F.col("session_id").alias("conv"), F.col("step_id").cast("bigint").alias("no"), role.alias("role"), text.alias("text"))
+    asked = trajectories.select(session_name(F.col("session_id")).alias("sid"), "traj_id", filled(F.col("user_input")).alias("text")).filter("text is not null")
+    asked = asked.groupBy("sid").agg(F.min_by("text", "traj_id").alias("text"))
+    names = own.select(F.col("session_id").alias("conv")).distinct().withColumn("sid", session_name(F.col("conv")))
+    requests = names.join(asked, "sid").select("conv", F.lit(0).cast("bigint").alias("no"), F.lit("user").alias("role"), "text")
+    return turns.filter("role is not null").unionByName(requests)
+
+
+def rebuilt(events: DataFrame, steps: DataFrame | None = None, trajectories: DataFrame | None = None) -> DataFrame:
+    """The turns of every sound conversation: `stored_in`, `session_id`, `turn_no` (from 1), `role`, `text`.
 
     Turns are system, user, assistant and tool; a turn's number counts the turns before it, first per run of numbers,
-    then over the runs, so no conversation is sorted as a whole.
+    then over the runs, so no conversation is sorted as a whole. With `steps` and `trajectories` the conversations of steps come as well;
+    a session stored in both tables is a conversation in each.
     """
     turns = event_turns(events).filter("conv is not null and no is not null")
-    bad = event_defects(turns)
-    spoken = turns.filter("role is not null").groupBy("conv", "no").agg(F.min("role").alias("role"), F.min("text").alias("text"))
-    spoken = spoken.join(bad, "conv", "left_anti").withColumn("run", F.expr(f"no div {RUN}"))
-    counts = spoken.groupBy("conv", "run").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy("conv").orderBy("run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    inside = F.row_number().over(W.partitionBy("conv", "run").orderBy("no"))
-    numbered = spoken.withColumn("inside", inside).join(before.drop("n"), ["conv", "run"])
-    return numbered.select(F.col("conv").alias("session_id"), (F.col("inside") + F.col("before")).alias("turn_no"), "role", strip(F.col("text")).alias("text"))
+    spoken = _sound(turns.filter("role is not null"), event_defects(turns), "raw_events")
+    if steps is not None:
+        spoken = spoken.unionByName(_sound(step_turns(steps, trajectories), step_defects(steps), "steps"))
+    key = ["stored_in", "conv"]
+    spoken = spoken.withColumn("run", F.expr(f"no div {RUN}"))
+    counts = spoken.groupBy(*key, "run").agg(F.count("*").alias("n"))
+    before = counts.withColumn("before", F.coalesce(F.sum("n").over(W.partitionBy(*key).orderBy("run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.row_number().over(W.partitionBy(*key, "run").orderBy("no"))
+    numbered = spoken.withColumn("inside", inside).join(before.drop("n"), [*key, "run"])
+    return numbered.select("stored_in", F.col("conv").alias("session_id"), (F.col("inside") + F.col("before")).alias("turn_no"), "role", strip(F.col("text")).alias("text"))
+
+
+def _sound(turns: DataFrame, bad: DataFrame, stored_in: str) -> DataFrame:
+    """One row per (conversation, number) of `turns`, without the conversations of `bad`."""
+    once = turns.groupBy("conv", "no").agg(F.min("role").alias("role"), F.min("text").alias("text"))
+    return once.join(bad, "conv", "left_anti").select(F.lit(stored_in).alias("stored_in"), "conv", "no", "role", "text")
 
 
 def calibrated_gap(rows: DataFrame, bins: int = 64) -> int:

@@ -14,7 +14,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
-    return conversations.rebuilt(table(spark, d, "raw_events"))
+    return conversations.rebuilt(table(spark, d, "raw_events"), table(spark, d, "steps"), table(spark, d, "trajectories"))
 
 
 def p1_sessionized(spark: SparkSession, d: str) -> DataFrame:
