@@ -110,3 +110,11 @@ def test_conversations_of_steps_are_rebuilt(spark):
         ("steps", "S1 ", 1, "user", "do it"), ("steps", "S1 ", 2, "system", "to files"), ("steps", "S1 ", 3, "assistant", 'read {"path": "p"}'),
         ("steps", "S1 ", 4, "tool", "ok"), ("steps", "S1 ", 5, "assistant", "done"),
     ]
+
+
+def test_sessions_by_silence_have_roles_and_a_reply(spark):
+    cols = "event_row bigint, session_id string, trace_id string, seq bigint, source_seq bigint, event_type string, data string, ts string, session_key string, ingested_at int"
+    at = [(1, 0, user()), (2, 1, bot("a")), (3, 1, bot("a")), (4, 2, ("session.ended", "{}")), (5, 300, bot("late")), (6, 301, user()), (7, 900, user("again")), (8, 901, bot(" b "))]
+    rows = [(n, None, None, None, None, *e, f"2025-09-{1 + m // 100:02d}T00:{m % 100:02d}:00Z", "c", n) for n, m, e in at]
+    got = C.by_silence(spark.createDataFrame(rows, cols), 3_600_000_000).collect()
+    assert sorted((r["row"], r["session_no"], r["role"], r["text"]) for r in got) == [(1, 1, "user", "hi"), (2, 1, "assistant", "a"), (7, 3, "user", "again"), (8, 3, "assistant", "b")]

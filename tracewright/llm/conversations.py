@@ -1,7 +1,7 @@
 """Conversations rebuilt from message rows: order, roles, and the defects that leave a conversation out.
 
-A conversation is named by its session key; rows that carry none are grouped by channel and cut where the
-silence between two rows exceeds a gap calibrated on all rows (`sessionize`). Every figure that a defect rests
+A conversation is named by its session. Rows can also be grouped by channel, whether they name a session or not, and
+cut where the silence between two rows exceeds a gap calibrated on all rows (`by_silence`). Every figure that a defect rests
 on is decomposable, so rows are first reduced per (conversation, number) and then per (conversation, run of
 numbers), and a conversation of any length is never gathered into one task.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.steps import step_type
 from tracewright.functions.text import filled, fingerprint, is_blank, strip
 from tracewright.operators.facts import session_name
+from tracewright.sources import cut_lineage
 
 #: Numbers per run: the most turns that one array holds.
 RUN = 1024
@@ -37,8 +38,8 @@ def without_thinking(c: Column) -> Column:
     return F.regexp_replace(c, r"(?s)<thinking>.*?</thinking>", "")
 
 
-def event_turns(events: DataFrame) -> DataFrame:
-    """Raw events as rows (`conv`, `no`, `mark`, `bad`, `role`, `text`), the role inferred from type and payload.
+def event_turns(events: DataFrame, *keep: Column) -> DataFrame:
+    """Raw events as rows (`conv`, `no`, `mark`, `bad`, `role`, `text`, and `keep`), the role inferred from type and payload.
 
     `conv` is `session_id`, or `trace_id` where that is blank, or null where both are; `no` is `seq`, or
     `source_seq`; `role` is user, assistant, system, tool or null for rows that hold no turn.
@@ -64,6 +65,7 @@ def event_turns(events: DataFrame) -> DataFrame:
         F.coalesce(~ok, F.lit(False)).alias("bad"),
         role.alias("role"),
         F.coalesce(prompt, answer, metas.cast("string")).alias("text"),
+        *keep,
     )
 
 
@@ -280,3 +282,23 @@ def sessionize(rows: DataFrame, gap_us: int | None = None) -> DataFrame:
     days = days.select("channel", "day", before.alias("earlier"))
     inside = F.sum("opens").over(W.partitionBy("channel", "day").orderBy("us", "row").rowsBetween(W.unboundedPreceding, 0))
     return cut.withColumn("inside", inside).join(days, ["channel", "day"]).select("row", "channel", "us", (F.col("inside") + F.col("earlier")).alias("session_no"))
+
+
+def by_silence(events: DataFrame, gap_us: int | None = None) -> DataFrame:
+    """The turns of the sessions that silence parts: `row`, `channel`, `us`, `session_no`, `role`, `text`.
+
+    All rows take part, those without a session's name too, and a row delivered twice counts once. Sessions without a user turn that an assistant turn
+    follows are left out. Sessions are cut on narrow rows; texts join them by row number.
+    """
+    same = [F.col(c) for c in events.columns if c not in ("event_row", "ingested_at")]
+    us = F.unix_micros(F.expr("try_to_timestamp(ts)"))
+    turns = event_turns(events, F.col("event_row").alias("row"), F.col("session_key").alias("channel"), us.alias("us"), fingerprint(*[c.cast("string") for c in same]).alias("copy"))
+    narrow = turns.groupBy("channel", "copy").agg(F.min("row").alias("row"), F.first("us").alias("us"), F.first("role").alias("role"))
+    narrow = cut_lineage(narrow.select("row", "channel", "us", "role"))
+    placed = sessionize(narrow.drop("role"), gap_us).join(narrow.filter("role is not null").select("row", "role"), "row")
+    at = F.struct("us", "row")
+    asked, replied = F.min(F.when(F.col("role") == "user", at)), F.max(F.when(F.col("role") == "assistant", at))
+    sound = placed.groupBy("channel", "session_no").agg(asked.alias("asked"), replied.alias("replied")).filter("asked < replied").select("channel", "session_no")
+    kept = placed.join(sound, ["channel", "session_no"], "left_semi")
+    texts = turns.filter("role is not null").select("row", strip(F.col("text")).alias("text"))
+    return kept.join(texts, "row").select("row", "channel", "us", "session_no", "role", "text")

@@ -18,13 +18,8 @@ def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_sessionized(spark: SparkSession, d: str) -> DataFrame:
-    """Raw events parted by silence within a channel, the gap calibrated on all rows."""
-    events = table(spark, d, "raw_events")
-    return conversations.sessionize(
-        events.select(
-            F.col("event_row").alias("row"), F.col("session_key").alias("channel"), F.unix_micros(F.expr("try_to_timestamp(ts)")).alias("us")
-        )
-    )
+    """Raw events parted by silence within a channel, the gap calibrated on all rows; sessions without a reply left out."""
+    return conversations.by_silence(table(spark, d, "raw_events"))
 
 
 def _overlaps(spark: SparkSession, d: str) -> DataFrame:
