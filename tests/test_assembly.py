@@ -53,3 +53,17 @@ def test_backfill_by_ordinal(spark):
     uses = spark.createDataFrame([("s", 10, "read", '{"p": 1}', "c1"), ("s", 11, "read", '{"p": 2}', "c2"), ("s", 12, "read", '{"p": 3}', "c3")], "sid string, pos bigint, tool string, params string, call string")
     got = {r["pos"]: (r["params"], r["use_call"]) for r in assembly.backfilled(calls, uses).collect()}
     assert got == {1: ('{"p": 1}', "c1"), 3: ('{"p": 2}', "c2"), 5: ('{"a": 1}', "c3"), 7: ("{}", None)}
+
+
+def test_calls_are_filled_from_artifacts(spark):
+    metas = [{"toolName": "read", "input": {"path": "p"}, "output": "HTTP 429"}, {"tool": "read", "args": {"path": "q"}, "result": "x"}, {"tool": "read", "input": {"n": 0}, "result": "y"}]
+    uses = assembly.tool_uses(assembly.event_rows(events(spark, [(1, "trace.artifacts", {"toolMetas": metas})])))
+    raw = [(1, "read", "c1", '{"path": ""}'), (3, "read", "c2", '{"path": "own"}'), (5, "read", "c3", None), (7, "write", None, "{}")]
+    calls = spark.createDataFrame([("s", p, t, c, x, x) for p, t, c, x in raw], "sid string, pos bigint, tool string, call string, params string, own_params string")
+    results = spark.createDataFrame([("s", 2, "c1", "", "success"), ("s", 4, "c2", "kept", "success"), ("s", 6, "c3", None, "success")], "sid string, pos bigint, call string, output string, status string")
+    got = {r["pos"]: r for r in assembly.filled_calls(calls, results, uses).collect()}
+    cols = ("params", "params_filled", "params_missing", "output", "status", "output_filled", "output_missing")
+    assert {p: tuple(r[c] for c in cols) for p, r in got.items()} == {
+        1: ('{"path":"p"}', True, False, "HTTP 429", "error", True, False), 3: ('{"path": "own"}', False, False, "kept", "success", False, False),
+        5: ("{}", False, True, "y", "success", True, False), 7: ("{}", False, True, None, None, False, True),
+    }

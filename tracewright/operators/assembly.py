@@ -162,12 +162,55 @@ def session_outcomes(rows: DataFrame, steps: DataFrame) -> DataFrame:
     return a.select("sid", "agent", "model_version", "rounds", "steps", "tool_count", "parent_session_id", outcome.alias("outcome"))
 
 
+def no_params(text: Column) -> Column:
+    """Whether the JSON object `text` holds no parameter that says anything; true also for blank and damaged texts."""
+    values = F.map_values(F.try_variant_get(F.try_parse_json(text), "$", "map<string,variant>"))
+    says = F.exists(values, lambda v: ~F.coalesce(F.to_json(v), F.lit("null")).isin('""', "0", "0.0", "false", "null", "[]", "{}"))
+    return ~F.coalesce(says, F.lit(False))
+
+
 def backfilled(calls: DataFrame, uses: DataFrame) -> DataFrame:
-    """`calls` (`sid`, `pos`, `tool`, `params`) with empty parameters taken from the use of the same tool and ordinal in `uses` (`sid`, `pos`, `tool`, `params`, `call`)."""
+    """`calls` (`sid`, `pos`, `tool`, `params`) with empty parameters taken from the use of the same tool and ordinal in `uses` (`sid`, `pos`, `tool`, `params`).
+
+    Other columns of `uses` come along as `use_` and their name, `nth` is the ordinal.
+    """
     numbered = lambda df: with_position(df.withColumn("_t", F.concat_ws("\u0001", "sid", "tool")), "_t", "pos", name="nth")
-    u = numbered(uses).select("_t", "nth", F.col("params").alias("_params"), F.col("call").alias("use_call"))
+    more = [F.col(c).alias(f"use_{c}") for c in uses.columns if c not in ("sid", "pos", "tool", "params")]
+    u = numbered(uses).select("_t", "nth", F.col("params").alias("_params"), *more)
     j = numbered(calls).join(u, ["_t", "nth"], "left")
-    return j.withColumn("params", F.coalesce(filled(F.nullif("params", F.lit("{}"))), F.col("_params"), F.lit("{}"))).drop("_t", "_params")
+    given = F.when(~no_params(F.col("_params")), F.col("_params"))
+    return j.withColumn("params", F.when(no_params(F.col("params")), F.coalesce(given, filled(F.col("params")), F.lit("{}"))).otherwise(F.col("params"))).drop("_t", "_params")
+
+
+def tool_uses(rows: DataFrame) -> DataFrame:
+    """The uses of tools in the artifacts of `event_rows`: `sid` (the session's name), `pos`, `tool`, `params`, `output`, `bad`."""
+    metas = rows.filter("type = 'trace.artifacts' and metas is not null").select(session_name(F.col("sid")).alias("sid"), "no", "row", F.posexplode(F.from_json("metas", "array<string>")).alias("k", "text"))
+    get = lambda p: F.get_json_object("text", p)
+    shown = F.coalesce(truthy_coalesce(get("$.meta"), get("$.output"), get("$.result")), F.lit(""))
+    flagged = F.coalesce(get("$.isError") == "true", F.lit(False)) | F.coalesce(~get("$.error").isin("", "false", "null"), F.lit(False))
+    each = metas.select(
+        "sid", "no", "row", "k", truthy_coalesce(get("$.toolName"), get("$.tool")).alias("tool"), truthy_coalesce(get("$.input"), get("$.args"), get("$.arguments")).alias("params"),
+        filled(shown).alias("output"), (flagged | is_error_result(shown)).alias("bad"),
+    )
+    return with_position(each.filter("sid is not null and tool is not null"), "sid", "no", "row", "k").drop("no", "row", "k")
+
+
+def filled_calls(calls: DataFrame, results: DataFrame, uses: DataFrame) -> DataFrame:
+    """Every call of `calls` (`sid`, `pos`, `tool`, `call`, `params`) with its result of `results` (`sid`, `pos`, `call`, `output`, `status`), filled from `uses`.
+
+    Parameters are filled where they say nothing; a result's output where it is empty, and only then its status becomes error if the use failed.
+    A call id answers the first result that bears it. `params_missing` and `output_missing` name what no use could fill.
+    """
+    first = results.filter("call is not null").groupBy("sid", "call").agg(F.min_by(F.struct("pos", "output", "status"), "pos").alias("r"))
+    own = backfilled(calls, uses).withColumn("was_empty", no_params(F.col("own_params")))
+    j = own.join(first, ["sid", "call"], "left")
+    bare = F.col("r").isNotNull() & (F.coalesce(F.col("r.output"), F.lit("")) == "")
+    return j.select(
+        "sid", "pos", "tool", "call", "nth", "params", (F.col("was_empty") & ~no_params(F.col("params"))).alias("params_filled"), no_params(F.col("params")).alias("params_missing"),
+        F.col("r.pos").alias("result_pos"), F.when(bare, F.col("use_output")).otherwise(F.col("r.output")).alias("output"),
+        F.when(bare & F.coalesce("use_bad", F.lit(False)), "error").otherwise(F.col("r.status")).alias("status"),
+        (bare & F.col("use_output").isNotNull()).alias("output_filled"), (F.col("r").isNull() | (bare & F.col("use_output").isNull())).alias("output_missing"),
+    )
 
 
 def parent_links(trajectories: DataFrame) -> DataFrame:

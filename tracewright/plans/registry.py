@@ -215,10 +215,24 @@ def event_outcomes(spark, d):
     return assembly.session_outcomes(rows, assembly.assembled_steps(rows))
 
 
+def _filled_calls(spark, d):
+    """Calls of steps, filled from the artifacts of raw events; texts of steps join the narrow facts by row number."""
+    steps = table(spark, d, "steps")
+    texts = steps.select(F.col("step_row").alias("row"), "input_params", "output").dropDuplicates(["row"])
+    own = _facts(spark, d).filter("kind in ('tool_call', 'tool_result')").select("sid", "pos", "row", "kind", "tool", "call", "st").join(texts, "row")
+    calls = own.filter("kind = 'tool_call' and tool is not null").select("sid", "pos", "tool", "call", F.col("input_params").alias("params"), F.col("input_params").alias("own_params"))
+    results = own.filter("kind = 'tool_result'").select("sid", "pos", "call", "output", F.col("st").alias("status"))
+    return assembly.filled_calls(calls, results, assembly.tool_uses(_events(spark, d)))
+
+
+def call_backfill(spark, d):
+    """Every call with the parameters, output and status that the uses of its tool in raw events could fill."""
+    return _filled_calls(spark, d)
+
+
 def nth_occurrence_backfill(spark, d):
-    calls = _facts(spark, d).filter("kind = 'tool_call' and tool is not null").select("sid", "pos", "tool", F.lit("{}").alias("params"), "call")
-    filled = assembly.backfilled(calls.drop("call"), calls)
-    return filled.groupBy("sid", "tool").agg(F.count("*").alias("calls"), F.count_if(F.col("nth") == 1).alias("firsts"))
+    """Calls per session and tool of `call_backfill`, which has the filled rows; its SQL sees these counts only."""
+    return _filled_calls(spark, d).groupBy("sid", "tool").agg(F.count("*").alias("calls"), F.count_if(F.col("nth") == 1).alias("firsts"))
 
 
 def parent_links(spark, d):
@@ -246,7 +260,7 @@ _QUERIES = (
     error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
     diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pair_dedup, export_counts, pair_distribution, strata,
     stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, sft_messages,
-    budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, parent_links,
+    budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
     p2_found, p2_unified, p7_found,
 )
 
