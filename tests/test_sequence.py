@@ -93,3 +93,21 @@ def test_abort_reasons(spark):
     texts = ["超出范围", "please confirm, waiting", "do it in a batch", "I must WAIT", "bye"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(specialist.abort_reason(F.col("t"))).collect()]
     assert got == ["scope_exceeded", "needs_confirmation", "data_too_large", "waiting_for_resource", "other"]
+
+
+def test_an_item_is_all_its_parameters(spark):
+    def after(failed, later):
+        return [(CALL, "doc", failed), BAD, ("reasoning", "hm"), (CALL, "browser", later), OK]
+
+    sessions = {
+        "other key": after('{"url": "u"}', '{"url": "u", "path": "x"}'),
+        "other block": after('{"path": "a", "block_id": "1"}', '{"path": "a", "block_id": "2"}'),
+        "both": after('{"path": "a", "block_id": "1"}', '{"block_id": "1", "path": "a"}'),
+        "one lacks": after('{"path": "a", "page_id": "1"}', '{"path": "a"}'),
+        "null is none": after('{"path": "a", "page_id": null}', '{"path": "a"}'),
+        "only null": after('{"file_id": null}', '{"query": "q"}'),
+        "null is not a value": after('{"file_id": null}', '{"file_id": "f"}'),
+        "no item": after('{"query": "q"}', '{"query": "q"}'),
+    }
+    got = {r["sid"] for r in sequence.items_resolved(facts.step_facts(table(spark, sessions))).collect()}
+    assert got == {"other key", "both", "null is none", "only null"}

@@ -20,6 +20,8 @@ BUSINESS = [
     "error", "latency_ms",
 ]
 TASK_NOTE = "[任务理解]"
+# Parameters that name the item a call is about.
+ITEM_KEYS = ("block_id", "doc_token", "url", "path", "file_id", "message_id", "page_id")
 # Fixed value: wordings of a plan.
 PLANNING = r"(?i)(\d+[.、)）]|步骤|第[一二三四五六七八九十\d]+步|plan|step \d|first|then|next|finally)"
 
@@ -61,7 +63,7 @@ def step_facts(steps: DataFrame) -> DataFrame:
         announces_retry(content, F.col("lc")).alias("announces"),
         F.coalesce(content.startswith(TASK_NOTE), F.lit(False)).alias("task_note"),
         holds_any(F.col("lc"), ["error", "失败", "exception"]).alias("speaks_error"),
-        param("path").alias("path"), F.when(call, F.coalesce(param("command"), F.lit(""))).alias("command"), params_key(F.col("params")).alias("params"),
+        F.when(call, item_marks(F.col("params"))).alias("items"), F.when(call, F.coalesce(param("command"), F.lit(""))).alias("command"), params_key(F.col("params")).alias("params"),
         F.nullif("call_id", F.lit("")).alias("call"),
         (F.coalesce(content, F.lit("")) != "").alias("says"),
         F.coalesce(F.when(F.col("kind") == "reasoning", content.rlike(PLANNING)), F.lit(False)).alias("plans"),
@@ -72,6 +74,14 @@ def step_facts(steps: DataFrame) -> DataFrame:
     return with_position(cut_lineage(once), "sid", "step_id", "row")
 
 
+def item_marks(params: Column) -> Column:
+    """What of ITEM_KEYS the parameters hold, in the order of the keys: key and value, or the key alone where its value is null; null where they hold none."""
+    value = lambda k: F.try_element_at(params, F.lit(k))
+    mark = lambda k: F.when(F.map_contains_key(params, F.lit(k)), F.coalesce(F.concat(F.lit(k + "\u0001"), value(k)), F.lit(k)))
+    marks = F.array_compact(F.array(*[mark(k) for k in ITEM_KEYS]))
+    return F.when(F.size(marks) > 0, marks)
+
+
 def params_key(params: Column) -> Column:
     """Parameters in comparable form: sorted `key=value` texts, values cut at 200, call ids left out; null where there are none."""
     pairs = F.filter(F.map_entries(params), lambda e: ~e["key"].isin("call_id", "result_call_id"))

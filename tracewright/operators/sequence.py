@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.operators.facts import ITEM_KEYS
 from tracewright.operators.ordered import look_around
 
 AHEAD = 8
@@ -46,16 +47,22 @@ def retries(facts: DataFrame) -> DataFrame:
 
 
 def items_resolved(facts: DataFrame) -> DataFrame:
-    """`sid`, `pos` of the errors whose call's `path` a later call takes up and whose very next step is a success.
+    """`sid`, `pos` of the errors whose call's item a later call takes up and whose very next step is a success.
 
-    An equi-join on session and path; nothing is compared outside the pairs of equal paths.
+    The item is all of ITEM_KEYS that the failed call holds; the later call must agree on each and may hold more (a null value agrees with a missing one).
+    An equi-join on session and the first mark with a value, between distinct items of a session, and an exact check of the others.
     """
     errors = facts.filter("st = 'error'").select("sid", F.col("pos").alias("pos"), (F.col("pos") - 1).alias("_c"))
-    calls = facts.filter("kind = 'tool_call' and path is not null").select("sid", F.col("pos").alias("_c"), "path")
-    caused = errors.join(calls, ["sid", "_c"]).select("sid", "pos", "path")
+    calls = facts.filter("kind = 'tool_call'").select("sid", F.col("pos").alias("_c"), "items")
+    caused = errors.join(calls.filter("items is not null"), ["sid", "_c"]).select("sid", "pos", "items")
     good = facts.filter("st = 'success'").select("sid", (F.col("pos") - 1).alias("_c"))
-    done = calls.join(good, ["sid", "_c"]).groupBy("sid", "path").agg(F.max("_c").alias("_done"))
-    return caused.join(done, ["sid", "path"]).filter("_done > pos").select("sid", "pos")
+    # Of a later call every key counts: with its value, or alone where it has none.
+    held = lambda k: F.coalesce(F.get(F.filter("items", lambda x: x.startswith(k + "\u0001")), F.lit(0)), F.lit(k))
+    done = calls.join(good, ["sid", "_c"]).groupBy("sid", F.array(*[held(k) for k in ITEM_KEYS]).alias("_all")).agg(F.max("_c").alias("_done"))
+    asked = caused.select("sid", "items").distinct().withColumn("_key", F.coalesce(F.get(F.filter("items", lambda x: x.contains("\u0001")), F.lit(0)), F.get("items", F.lit(0))))
+    met = asked.join(done.withColumn("_key", F.explode("_all")), ["sid", "_key"]).filter(F.size(F.array_except("items", "_all")) == 0)
+    last = met.groupBy("sid", "items").agg(F.max("_done").alias("_done"))
+    return caused.join(last, ["sid", "items"]).filter("_done > pos").select("sid", "pos")
 
 
 def diverge_points(found: DataFrame) -> DataFrame:
