@@ -67,3 +67,12 @@ def test_calls_are_filled_from_artifacts(spark):
         1: ('{"path":"p"}', True, False, "HTTP 429", "error", True, False), 3: ('{"path": "own"}', False, False, "kept", "success", False, False),
         5: ("{}", False, True, "y", "success", True, False), 7: ("{}", False, True, None, None, False, True),
     }
+
+
+def test_different_events_under_one_number_are_all_kept(spark):
+    meta = lambda t: {"toolMetas": [{"toolName": t, "result": "fine"}]}
+    raw = events(spark, [(None, "model.completed", {"assistantTexts": ["x"]}), (None, "model.completed", {"assistantTexts": ["y"]}), (None, "trace.artifacts", meta("a")), (None, "trace.artifacts", meta("b")), (None, "trace.artifacts", meta("b"))])
+    steps = assembly.assembled_steps(assembly.event_rows(raw)).orderBy("step_id").collect()
+    assert [(r["step_type"], r["tool_name"] or r["content"]) for r in steps] == [
+        ("tool_call", "a"), ("tool_result", "a"), ("output", "x"), ("tool_call", "b"), ("tool_result", "b"), ("output", "y")
+    ]

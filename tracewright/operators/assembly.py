@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.steps import ERROR_TEXTS
-from tracewright.functions.text import contains_any, filled, is_blank, strip, truthy_coalesce
+from tracewright.functions.text import contains_any, filled, fingerprint, is_blank, strip, truthy_coalesce
 from tracewright.operators.facts import TASK_NOTE, session_name, session_rows
 from tracewright.operators.ordered import look_around, with_position, with_running_sum
 
@@ -43,18 +43,28 @@ def user_task(prompt: Column) -> Column:
 
 
 def event_rows(events: DataFrame) -> DataFrame:
-    """One row per session and number, the first to arrive, with the parsed payload fields that assembly reads."""
+    """One row per event with the parsed payload fields that assembly reads; `no` is its number, `row` orders equal numbers.
+
+    Only a redelivery, equal in all but row number and time of ingestion, counts once.
+    """
     v = F.try_parse_json("data")
+    same = [F.col(c).cast("string") for c in events.columns if c not in ("event_row", "ingested_at")]
     rows = events.select(
         F.coalesce(F.nullif("session_id", F.lit("")), F.nullif("trace_id", F.lit(""))).alias("sid"),
         F.coalesce("seq", "source_seq", F.lit(0)).cast("bigint").alias("no"),
-        F.col("event_row").alias("row"), F.col("event_type").alias("type"), "ts", "agent_id", "model_id", "provider", "session_key", "parent_session_id",
+        fingerprint(*same).alias("copy"), F.col("event_row").alias("row"), F.col("event_type").alias("type"), "ts", "agent_id", "model_id", "provider", "session_key", "parent_session_id",
         F.try_variant_get(v, "$.prompt", "string").alias("prompt"),
         F.try_variant_get(v, "$.assistantTexts", "array<string>").alias("texts"),
         F.try_variant_get(v, "$.toolMetas", "string").alias("metas"),
         truthy_coalesce(F.try_variant_get(v, "$.finalStatus", "string"), F.try_variant_get(v, "$.status", "string")).alias("final_status"),
         truthy_coalesce(F.try_variant_get(v, "$.parentSessionId", "string"), F.try_variant_get(v, "$.parent_session_id", "string"), F.col("parent_session_id")).alias("parent"),
     ).filter("sid is not null")
+    cols = [c for c in rows.columns if c not in ("sid", "no", "copy")]
+    return rows.groupBy("sid", "no", "copy").agg(F.min_by(F.struct(*cols), "row").alias("e")).select("sid", "no", "e.*")
+
+
+def first_of_number(rows: DataFrame) -> DataFrame:
+    """Of `event_rows` the first to arrive of each session and number, as the SQL of `event_sessions` and `thinking_split` reads them."""
     cols = [c for c in rows.columns if c not in ("sid", "no")]
     return rows.groupBy("sid", "no").agg(F.min_by(F.struct(*cols), "row").alias("e")).select("sid", "no", "e.*")
 
@@ -63,15 +73,16 @@ def session_attributes(rows: DataFrame, unnamed: str = "unnamed") -> DataFrame:
     """Per session what its first and last events say: agent, model, provider, first prompt, last output, final status, rounds."""
     at = lambda c, when=None: F.col(c) if when is None else F.when(when, F.col(c))
     prompts = F.col("type").isin("context.compiled", "prompt.submitted") & (F.coalesce("prompt", F.lit("")) != "")
-    first = lambda c: F.min_by(F.struct(F.col(c).alias("v")), "no")["v"]
+    order = F.struct("no", "row")
+    first = lambda c: F.min_by(F.struct(F.col(c).alias("v")), order)["v"]
     last_text = F.try_element_at("texts", F.lit(-1))
     s = rows.groupBy("sid").agg(
         first("agent_id").alias("first_agent"), first("session_key").alias("key"), first("ts").alias("created_at"), first("provider").alias("provider"),
-        F.coalesce(F.nullif(first("model_id"), F.lit("")), F.max_by(F.struct(F.col("model_id").alias("v")), "no")["v"]).alias("model_version"),
-        F.min_by(at("prompt", prompts), F.when(prompts, F.col("no"))).alias("prompt"),
-        F.max_by(F.struct(last_text.alias("v")), F.when(F.col("type") == "model.completed", F.col("no")))["v"].alias("last_text"),
-        F.max_by("final_status", F.when(F.col("type").isin("trace.artifacts", "session.ended") & F.col("final_status").isNotNull(), F.col("no"))).alias("final_status"),
-        F.max_by(F.struct(F.col("parent").alias("v")), F.when(F.col("type") == "session.started", F.col("no")))["v"].alias("parent_session_id"),
+        F.coalesce(F.nullif(first("model_id"), F.lit("")), F.max_by(F.struct(F.col("model_id").alias("v")), order)["v"]).alias("model_version"),
+        F.min_by(at("prompt", prompts), F.when(prompts, order)).alias("prompt"),
+        F.max_by(F.struct(last_text.alias("v")), F.when(F.col("type") == "model.completed", order))["v"].alias("last_text"),
+        F.max_by("final_status", F.when(F.col("type").isin("trace.artifacts", "session.ended") & F.col("final_status").isNotNull(), order)).alias("final_status"),
+        F.max_by(F.struct(F.col("parent").alias("v")), F.when(F.col("type") == "session.started", order))["v"].alias("parent_session_id"),
         F.count_if(F.col("type").isin("context.compiled", "prompt.submitted")).alias("rounds"),
         F.count("*").alias("events"),
     )
@@ -85,34 +96,36 @@ def session_attributes(rows: DataFrame, unnamed: str = "unnamed") -> DataFrame:
 
 
 def match_artifacts(rows: DataFrame, window: int = 5) -> DataFrame:
-    """`sid`, `artifact_no`, `model_no`: each model turn with texts takes the nearest artifact left within `window` numbers; null where none took it.
+    """`sid`, `artifact_no`, `artifact_row`, `model_no`, `model_row`: each model turn with texts takes the nearest artifact left within `window` numbers; null where none took it.
 
     Turns choose in order and what one takes is gone for the next, so each chain of events is folded in order. A gap of more than
     `window` numbers parts chains, and only numbers are gathered.
     """
-    own = rows.filter("type = 'trace.artifacts' or (type = 'model.completed' and size(texts) > 0)").select("sid", "no", (F.col("type") == "model.completed").alias("model"))
-    placed = with_position(own, "sid", "no")
+    own = rows.filter("type = 'trace.artifacts' or (type = 'model.completed' and size(texts) > 0)").select("sid", "no", "row", (F.col("type") == "model.completed").alias("model"))
+    placed = with_position(own, "sid", "no", "row")
     near = look_around(placed, placed.select("sid", "pos", F.col("no").alias("prior")), "sid", "pos", -1, -1, ["prior"])
     before = F.get("near", F.lit(0))["prior"]
     opens = near.withColumn("opens", (before.isNull() | (F.col("no") - before > window)).cast("int")).drop("near")
     chains = with_running_sum(opens, "sid", "pos", F.col("opens"), "chain").groupBy("sid", "chain").agg(
-        F.array_sort(F.collect_list(F.when(F.col("model"), F.col("no")))).alias("models"), F.array_sort(F.collect_list(F.when(~F.col("model"), F.col("no")))).alias("arts")
+        F.array_sort(F.collect_list(F.when(F.col("model"), F.struct("no", "row")))).alias("models"), F.array_sort(F.collect_list(F.when(~F.col("model"), F.struct("no", "row")))).alias("arts")
     )
-    start = F.struct(F.col("arts").alias("left"), F.array().cast("array<struct<model_no:bigint,artifact_no:bigint>>").alias("taken"))
+    start = F.struct(F.col("arts").alias("left"), F.array().cast("array<struct<model:struct<no:bigint,row:bigint>,artifact:struct<no:bigint,row:bigint>>>").alias("taken"))
 
     def take(state: Column, m: Column) -> Column:
-        close = F.filter(state["left"], lambda a: F.abs(a - m) <= window)
-        best = F.array_min(F.transform(close, lambda a: F.struct(F.abs(a - m).alias("d"), a.alias("a"))))["a"]
+        close = F.filter(state["left"], lambda a: F.abs(a["no"] - m["no"]) <= window)
+        best = F.array_min(F.transform(close, lambda a: F.struct(F.abs(a["no"] - m["no"]).alias("d"), a.alias("a"))))["a"]
         return F.when(best.isNull(), state).otherwise(
             F.struct(
                 F.array_remove(state["left"], best).alias("left"),
-                F.array_append(state["taken"], F.struct(m.alias("model_no"), best.alias("artifact_no"))).alias("taken"),
+                F.array_append(state["taken"], F.struct(m.alias("model"), best.alias("artifact"))).alias("taken"),
             )
         )
 
     folded = chains.select("sid", F.aggregate("models", start, take).alias("r"))
-    taken = folded.select("sid", F.explode("r.taken").alias("t")).select("sid", "t.artifact_no", "t.model_no")
-    return taken.unionByName(folded.select("sid", F.explode("r.left").alias("artifact_no")).withColumn("model_no", F.lit(None).cast("bigint")))
+    taken = folded.select("sid", F.explode("r.taken").alias("t")).select("sid", "t.artifact", "t.model")
+    left = folded.select("sid", F.explode("r.left").alias("artifact")).withColumn("model", F.lit(None).cast("struct<no:bigint,row:bigint>"))
+    named = [F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("artifact", "model") for c in ("no", "row")]
+    return taken.unionByName(left).select("sid", *named)
 
 
 def assembled_steps(rows: DataFrame) -> DataFrame:
@@ -122,33 +135,33 @@ def assembled_steps(rows: DataFrame) -> DataFrame:
     artifacts that no turn took come last.
     """
     attrs = session_attributes(rows).select("sid", "user_input")
-    firsts = rows.filter("type in ('context.compiled', 'prompt.submitted')").groupBy("sid").agg(F.min("no").alias("no"))
+    firsts = rows.filter("type in ('context.compiled', 'prompt.submitted')").groupBy("sid").agg(F.min(F.struct("no", "row")).alias("f")).select("sid", "f.*")
     none = F.lit(None).cast("string")
     big = F.lit(1 << 40)
     note = attrs.join(firsts, "sid").filter("user_input <> ''").select(
-        "sid", F.col("no").alias("at"), F.lit(0).alias("sub"), F.lit("reasoning").alias("step_type"), none.alias("tool_name"),
+        "sid", F.col("no").alias("at"), "row", F.lit(0).alias("sub"), F.lit("reasoning").alias("step_type"), none.alias("tool_name"),
         F.concat(F.lit(TASK_NOTE + " "), F.left("user_input", F.lit(500))).alias("content"), none.alias("status"),
     )
-    turns = rows.filter("type = 'model.completed' and size(texts) > 0").select("sid", F.col("no").alias("at"), F.try_element_at("texts", F.lit(-1)).alias("t"))
+    turns = rows.filter("type = 'model.completed' and size(texts) > 0").select("sid", F.col("no").alias("at"), "row", F.try_element_at("texts", F.lit(-1)).alias("t"))
     said = turns.select(
-        "sid", "at",
+        "sid", "at", "row",
         F.explode(F.array(F.struct(F.lit(0).alias("sub"), F.lit("reasoning").alias("step_type"), thinking(F.col("t")).alias("c")), F.struct(F.lit(1 << 30).alias("sub"), F.lit("output").alias("step_type"), spoken(F.col("t")).alias("c")))).alias("x"),
-    ).filter("x.c <> ''").select("sid", "at", "x.sub", "x.step_type", none.alias("tool_name"), F.left("x.c", F.lit(8000)).alias("content"), none.alias("status"))
-    metas = rows.filter("type = 'trace.artifacts' and metas is not null").select("sid", F.col("no").alias("artifact_no"), F.from_json("metas", "array<string>").alias("m"))
-    placed = match_artifacts(rows).join(metas, ["sid", "artifact_no"])
-    each = placed.select("sid", F.coalesce("model_no", F.col("artifact_no") + big).alias("at"), F.posexplode("m").alias("k", "text"))
+    ).filter("x.c <> ''").select("sid", "at", "row", "x.sub", "x.step_type", none.alias("tool_name"), F.left("x.c", F.lit(8000)).alias("content"), none.alias("status"))
+    metas = rows.filter("type = 'trace.artifacts' and metas is not null").select("sid", F.col("row").alias("artifact_row"), F.from_json("metas", "array<string>").alias("m"))
+    placed = match_artifacts(rows).join(metas, ["sid", "artifact_row"])
+    each = placed.select("sid", F.coalesce("model_no", F.col("artifact_no") + big).alias("at"), F.coalesce("model_row", "artifact_row").alias("row"), F.posexplode("m").alias("k", "text"))
     get = lambda p: F.get_json_object("text", p)
     tool = truthy_coalesce(get("$.toolName"), get("$.tool"))
     shown = F.coalesce(truthy_coalesce(get("$.meta"), get("$.output"), get("$.result")), F.lit(""))
     flagged = F.coalesce(get("$.isError") == "true", F.lit(False)) | F.coalesce(~get("$.error").isin("", "false", "null"), F.lit(False))
-    each = each.select("sid", "at", "k", tool.alias("tool"), shown.alias("shown"), (flagged | is_error_result(shown)).alias("bad")).filter("tool is not null")
-    calls = each.select("sid", "at", (F.col("k") * 2 + 1).alias("sub"), F.lit("tool_call").alias("step_type"), F.col("tool").alias("tool_name"), none.alias("content"), none.alias("status"))
+    each = each.select("sid", "at", "row", "k", tool.alias("tool"), shown.alias("shown"), (flagged | is_error_result(shown)).alias("bad")).filter("tool is not null")
+    calls = each.select("sid", "at", "row", (F.col("k") * 2 + 1).alias("sub"), F.lit("tool_call").alias("step_type"), F.col("tool").alias("tool_name"), none.alias("content"), none.alias("status"))
     results = each.select(
-        "sid", "at", (F.col("k") * 2 + 2).alias("sub"), F.lit("tool_result").alias("step_type"), F.col("tool").alias("tool_name"),
+        "sid", "at", "row", (F.col("k") * 2 + 2).alias("sub"), F.lit("tool_result").alias("step_type"), F.col("tool").alias("tool_name"),
         F.left("shown", F.lit(5000)).alias("content"), F.when(F.col("bad"), "error").otherwise("success").alias("status"),
     )
     steps = note.unionByName(said).unionByName(calls).unionByName(results).withColumn("at", F.col("at").cast("bigint"))
-    return with_position(steps, "sid", "at", "sub", name="step_id").select("sid", "step_id", "step_type", "tool_name", "content", "status")
+    return with_position(steps, "sid", "at", "row", "sub", name="step_id").select("sid", "step_id", "step_type", "tool_name", "content", "status")
 
 
 def session_outcomes(rows: DataFrame, steps: DataFrame) -> DataFrame:

@@ -194,11 +194,11 @@ def budgeted_render(spark, d):
 
 
 def event_sessions(spark, d):
-    return assembly.session_attributes(_events(spark, d)).select("sid", "agent", "model_version", "provider", "final_status", "rounds", "events")
+    return assembly.session_attributes(assembly.first_of_number(_events(spark, d))).select("sid", "agent", "model_version", "provider", "final_status", "rounds", "events")
 
 
 def thinking_split(spark, d):
-    rows = _events(spark, d).filter("type = 'model.completed'").withColumn("t", F.try_element_at("texts", F.lit(-1))).filter("t is not null")
+    rows = assembly.first_of_number(_events(spark, d)).filter("type = 'model.completed'").withColumn("t", F.try_element_at("texts", F.lit(-1))).filter("t is not null")
     return rows.select("sid", "no", assembly.thinking(F.col("t")).alias("thinking"), assembly.spoken(F.col("t")).alias("spoken"))
 
 
