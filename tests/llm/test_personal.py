@@ -53,9 +53,46 @@ def test_edges(spark):
     assert run(spark, []).count() == 0 and run(spark, [None]).count() == 0 and run(spark, [], P.redact).count() == 0
 
 
+def bits(*names):
+    return sum(1 << P.VOTES.index(n) for n in names)
+
+
+ROWS = [
+    ("phone", bits("form", "before"), 200), ("phone", bits("form"), 60), ("phone", bits("not_form", "technical"), 300), ("phone", bits("not_form"), 10),
+    ("person_name", bits("form", "gazetteer", "field"), 30), ("person_name", bits("form", "gazetteer"), 40), ("person_name", bits("gazetteer"), 90),
+    ("person_name", bits("not_form", "common"), 4000), ("person_name", bits("not_form"), 80), ("email", bits("form"), 500), ("email", bits("not_form"), 3),
+]
+
+
 def test_label_model_weighs_labelers():
-    bit = {n: 1 << i for i, n in enumerate(P.VOTES)}
-    rows = [("phone", bit["form"] | bit["before"], "a", 200), ("phone", bit["form"], "a", 60), ("phone", bit["not_form"] | bit["technical"], "b", 300), ("phone", bit["not_form"], "b", 10)]
-    p = P.fit_label_model(rows)
-    assert p["phone", bit["form"] | bit["before"], "a"] > 0.9 and p["phone", bit["form"], "a"] > 0.5
-    assert p["phone", bit["not_form"] | bit["technical"], "b"] < 0.05 and p["phone", bit["not_form"], "b"] < 0.5
+    p = P.fit_label_model(ROWS)
+    assert p["phone", bits("form", "before")] > 0.9 and p["phone", bits("form")] > 0.5
+    assert p["phone", bits("not_form", "technical")] < 0.05 and p["phone", bits("not_form")] < 0.5
+    assert p["email", bits("form")] > 0.5 > p["email", bits("not_form")]
+    assert p["person_name", bits("form", "gazetteer", "field")] >= p["person_name", bits("form", "gazetteer")] >= p["person_name", bits("gazetteer")] > 0.5
+
+
+def test_decisions_do_not_depend_on_the_size_of_the_corpus():
+    sample = [(k, v, f"f{i}", i, i + 1) for k, v, _ in ROWS for i in range(4)]
+    decided = []
+    for times in (1, 10, 1000):
+        counts = {(k, v): n * times for k, v, n in ROWS}
+        c = P.fit_classifier(P.fit_label_model([(k, v, n) for (k, v), n in counts.items()]), counts, sample)
+        decided.append([round(c.probability(*s), 6) for s in sample])
+    assert decided[0] == decided[1] == decided[2]
+
+
+def test_one_more_vote_for_never_lowers_a_probability():
+    counts = {(k, v): n for k, v, n in ROWS}
+    c = P.fit_classifier(P.fit_label_model(ROWS), counts, [(k, v, "x", 1, 2) for k, v, _ in ROWS])
+    for kind in ("phone", "person_name", "email"):
+        for votes in range(1 << len(P.VOTES)):
+            p = c.probability(kind, votes, "x", 1, 2)
+            assert all(c.probability(kind, votes | bits(v), "x", 1, 2) >= p - 1e-9 for v in P.FOR)
+            assert all(c.probability(kind, votes | bits(v), "x", 1, 2) <= p + 1e-9 for v in P.AGAINST)
+
+
+def test_names_that_no_list_has_are_proposed_and_found_by_their_cues(spark):
+    got = spans(spark, ["My name is Xolani Quersted and I own it.", "Regards, Wrenna Oskdale", "The Quersted Oskdale module"])
+    assert got == [[("person_name", "Xolani Quersted")], [("person_name", "Wrenna Oskdale")], []]
+    assert {c[2] for c in P.candidates("about Quersted Oskdale and 123456789012")} >= {"person_name", "phone"}
