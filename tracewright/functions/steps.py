@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import contains_any, is_blank, strip, truthy_coalesce
+from tracewright.functions.text import contains_any, is_blank, strip
 
 # Written step types and the type each stands for.
 STEP_TYPES = {
@@ -45,6 +45,8 @@ ERROR_TEXTS = [
     "限流", "频率限制", "访问过快",
     "异常", "错误", "失败", "出错",
 ]
+# Fixed value: the error text of results whose output alone shows an error.
+INFERRED = "inferred_error_from_text"
 # Texts that mark a thought or result as a recovery.
 RECOVERY_TEXTS = [
     "重试", "错误", "失败", "回退", "纠正", "换一种", "重新",
@@ -93,11 +95,12 @@ def resolved_status(raw: Column, output: Column, error: Column, shows_error: Col
     return F.when(unsure & bad, "error").otherwise(written)
 
 
-def recovery_signal(kind: Column, content: Column, output: Column, error: Column) -> Column:
-    """True where the content, or a result's error and output where it has no content, speaks of another attempt."""
-    both = F.concat(F.coalesce(error, F.lit("")), F.coalesce(output, F.lit("")))
-    text = F.when(F.coalesce(content, F.lit("")) != "", content).when(kind == "tool_result", both)
-    return contains_any(text, RECOVERY_TEXTS)
+def resolved_error(raw: Column, output: Column, error: Column, shows_error: Column | None = None) -> Column:
+    """The error text of a result: what is written, or the mark of an error that only the wording of its output shows."""
+    written = status(raw)
+    unsure = raw.isNull() | written.isin("pending", "success")
+    shows = contains_any(output, ERROR_TEXTS) if shows_error is None else shows_error
+    return F.when((F.coalesce(error, F.lit("")) == "") & unsure & shows, F.lit(INFERRED)).otherwise(error)
 
 
 def owned_by_skill(tool: Column, skill: Column) -> Column:
@@ -109,7 +112,3 @@ def owned_by_skill(tool: Column, skill: Column) -> Column:
     near = (F.abs(F.length(name) - F.length(core)) <= 3) & (F.levenshtein(name, core) <= 2)
     shares = name.contains(core) | ((F.length(name) >= 3) & core.contains(F.left(name, width)))
     return base.isin(UNIVERSAL_TOOLS) | (core == "") | shares | near
-
-
-def truthy(*cs: Column) -> Column:
-    return truthy_coalesce(*cs)

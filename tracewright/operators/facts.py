@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import steps as S
 from tracewright.functions.errors import PIPELINE_ERRORS, TAXONOMY_ERRORS, announces_retry, error_class
+from tracewright.functions.pieces import TASK_NOTE, piece_mark, piece_size
 from tracewright.functions.text import fingerprint, holds_any, strip, truthy_coalesce
 from tracewright.operators.ordered import changes, with_position
 from tracewright.sources.tables import cut_lineage
@@ -19,7 +20,8 @@ BUSINESS = [
     "session_key", "source", "step_id", "step_type", "ts", "content", "tool_name", "skill_context", "input_params", "call_id", "status", "output",
     "error", "latency_ms",
 ]
-TASK_NOTE = "[任务理解]"
+#: Characters of a result that its piece shows.
+PIECE = 2000
 # Parameters that name the item a call is about.
 ITEM_KEYS = ("block_id", "doc_token", "url", "path", "file_id", "message_id", "page_id")
 # Fixed value: wordings of a plan.
@@ -44,11 +46,13 @@ def step_facts(steps: DataFrame) -> DataFrame:
         F.lower("content").alias("lc"), F.lower(F.when(F.col("output") != "", F.col("output"))).alias("lo"),
     )
     result, call = F.col("kind") == "tool_result", F.col("kind") == "tool_call"
-    st = F.when(result, S.resolved_status(F.col("status"), F.col("output"), F.col("error"), holds_any(F.col("lo"), S.ERROR_TEXTS)))
+    shows = holds_any(F.col("lo"), S.ERROR_TEXTS)
+    st = F.when(result, S.resolved_status(F.col("status"), F.col("output"), F.col("error"), shows))
+    told_error = F.when(result, S.resolved_error(F.col("status"), F.col("output"), F.col("error"), shows)).otherwise(F.col("error"))
     # The text that tells of a recovery is the content, of a result without one its error and output.
     both = F.lower(F.concat(F.coalesce("error", F.lit("")), F.coalesce("output", F.lit(""))))
     told = F.when(F.coalesce(content, F.lit("")) != "", F.col("lc")).when(result, both)
-    judged = lowered.withColumn("st", st).withColumn("told", told).withColumn("params", F.when(call, F.from_json("input_params", "map<string,string>")))
+    judged = lowered.withColumn("st", st).withColumn("told", told).withColumn("error", told_error).withColumn("params", F.when(call, F.from_json("input_params", "map<string,string>")))
     shown = truthy_coalesce(F.col("error"), F.col("output"))
     failed = F.col("st") == "error"
     param = lambda k: F.try_element_at("params", F.lit(k))
@@ -57,14 +61,14 @@ def step_facts(steps: DataFrame) -> DataFrame:
         F.nullif("tool_name", F.lit("")).alias("tool"), F.nullif("skill_context", F.lit("")).alias("skill"),
         F.length(F.coalesce(content, F.lit(""))).alias("chars"),
         holds_any(F.col("told"), S.RECOVERY_TEXTS).alias("recovers"),
-        F.when(failed, error_class(shown, PIPELINE_ERRORS, "other_error")).alias("error_class"),
+        F.when(failed & shown.isNull(), "unknown").when(failed, error_class(shown, PIPELINE_ERRORS, "other_error")).alias("error_class"),
         F.when(failed, error_class(F.concat_ws(" ", "error", "output"), PIPELINE_ERRORS, "other_error")).alias("error_bucket"),
         F.when(failed, error_class(shown, TAXONOMY_ERRORS, "other")).alias("error_kind"),
         announces_retry(content, F.col("lc")).alias("announces"),
         F.coalesce(content.startswith(TASK_NOTE), F.lit(False)).alias("task_note"),
         holds_any(F.col("lc"), ["error", "失败", "exception"]).alias("speaks_error"),
-        F.when(call, item_marks(F.col("params"))).alias("items"), F.when(call, F.coalesce(param("command"), F.lit(""))).alias("command"), params_key(F.col("params")).alias("params"),
-        F.nullif("call_id", F.lit("")).alias("call"),
+        F.when(call, item_marks(F.col("params"))).alias("items"), F.when(call, F.coalesce(param("command"), F.lit(""))).alias("command"), F.when(call, F.coalesce(param("action"), F.lit(""))).alias("action"), params_key(F.col("params")).alias("params"),
+        F.nullif("call_id", F.lit("")).alias("call"), piece_size(PIECE).alias("size"), piece_mark(PIECE).alias("mark"),
         (F.coalesce(content, F.lit("")) != "").alias("says"),
         F.coalesce(F.when(F.col("kind") == "reasoning", content.rlike(PLANNING)), F.lit(False)).alias("plans"),
     )
@@ -90,11 +94,22 @@ def params_key(params: Column) -> Column:
 
 
 def session_rows(trajectories: DataFrame) -> DataFrame:
-    """One row per session name, that of the smallest `traj_id`, with the normal `outcome`."""
+    """One row per session name, the one ingested last (of equals that of the largest `traj_id`), with the normal `outcome`.
+
+    A row delivered again replaces what was delivered before; `redeliveries` reports sessions whose rows differ.
+    """
     named = trajectories.withColumn("sid", session_name(F.col("session_id"))).filter("sid is not null")
     cols = [c for c in trajectories.columns if c not in ("session_id", "traj_id")]
-    first = named.groupBy("sid").agg(F.min_by(F.struct("traj_id", *cols), "traj_id").alias("t")).select("sid", "t.*")
-    return first.withColumn("outcome", S.outcome(F.col("session_outcome")))
+    last = named.groupBy("sid").agg(F.max_by(F.struct("traj_id", *cols), F.struct("ingested_at", "traj_id")).alias("t")).select("sid", "t.*")
+    return last.withColumn("outcome", S.outcome(F.col("session_outcome")))
+
+
+def redeliveries(trajectories: DataFrame) -> DataFrame:
+    """`sid`, `rows`, `contents`: sessions of more than one row, and how many of their rows differ in more than number, spelling of the name and time of ingestion."""
+    same = [F.col(c).cast("string") for c in trajectories.columns if c not in ("session_id", "traj_id", "ingested_at")]
+    marked = trajectories.select(session_name(F.col("session_id")).alias("sid"), fingerprint(*same).alias("mark")).filter("sid is not null")
+    per = marked.groupBy("sid", "mark").agg(F.count("*").alias("n")).groupBy("sid").agg(F.sum("n").alias("rows"), F.count("*").alias("contents"))
+    return per.filter("rows > 1")
 
 
 def session_stats(facts: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Preference pairs: task fingerprints, pairs of successes with error states and with lesser successes, and their dedup."""
+"""What pairs rest on: task fingerprints, similarity of tool sets, the pools of a task, and dedup of given pairs."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import fingerprint, quantise
+from tracewright.functions.text import fingerprint
 
 # Domains of tools; other tools belong to "other".
 TOOL_DOMAINS = {
@@ -34,85 +34,15 @@ def jaccard(a: Column, b: Column) -> Column:
 def candidates(scored: DataFrame) -> DataFrame:
     """Sessions worth pairing with their fingerprint: a named tool, a call and more than four steps."""
     fit = scored.filter((F.col("tool_calls") > 0) & (F.col("steps") > 4) & (F.size("tools") > 0))
-    return fit.select("sid", "outcome", "use", "total", "tools", "steps", task_fingerprint(F.col("tools")).alias("fp"))
+    return fit.select("sid", "outcome", "use", "total", "tools", "steps", "user_input", task_fingerprint(F.col("tools")).alias("fp"))
 
 
-def _pools(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
+def pools(cands: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = cands.filter(F.col("outcome").isin("success", "likely_success") & (F.col("use") != "recovery_training"))
     bad = cands.filter((F.col("use") == "recovery_training") | F.col("outcome").isin("failure", "likely_failure", "unknown", "partial"))
     return good, bad
 
 
-def error_state_pairs(cands: DataFrame, diverged: DataFrame, resolved: DataFrame, least: float = 0.5, cap: int = 10) -> DataFrame:
-    """Each of a task's ten poorest error states with the most similar of its five best successes, and the quality of the pair.
-
-    Both sides are cut by rank before the join, so that a task of any size brings fifteen rows to it. A session that is both a recovery and a
-    failure counts once.
-    """
-    good, bad = _pools(cands)
-    best = good.withColumn("rank", F.row_number().over(W.partitionBy("fp").orderBy(F.desc("total"), "sid"))).filter("rank <= 5")
-    worst = bad.withColumn("rank", F.row_number().over(W.partitionBy("fp").orderBy("total", "sid"))).filter("rank <= 10")
-    s, f = best.alias("s"), worst.alias("f")
-    sim = quantise(jaccard(F.col("s.tools"), F.col("f.tools")), 3)
-    pairs = s.join(f, "fp").select(
-        "fp", F.col("s.sid").alias("success_session"), F.col("f.sid").alias("failure_session"), F.col("s.rank").alias("s_rank"),
-        F.col("f.rank").alias("f_rank"), jaccard(F.col("s.tools"), F.col("f.tools")).alias("raw"), sim.alias("tool_similarity"),
-    )
-    pick = W.partitionBy("fp", "failure_session").orderBy(F.desc("tool_similarity"), "s_rank")
-    pairs = pairs.filter((F.col("raw") >= least) & (F.col("tool_similarity") > 0)).withColumn("k", F.row_number().over(pick)).filter("k = 1")
-    pairs = pairs.withColumn("n", F.row_number().over(W.partitionBy("fp").orderBy("f_rank"))).filter(F.col("n") <= cap)
-    d = diverged.withColumnRenamed("sid", "failure_session")
-    r = resolved.withColumnRenamed("sid", "failure_session").withColumn("item_resolved", F.lit(True))
-    j = pairs.join(d, "failure_session", "left").join(r, ["failure_session", "pos"], "left")
-    j = j.withColumn("item_resolved", F.coalesce("item_resolved", F.lit(False)))
-    better = F.col("recovery_kind").isin("adaptive_retry", "backoff_retry")
-    quality = (
-        F.when(F.col("pos").isNull(), "low")
-        .when(F.col("retry_loop") & ~F.col("resolved"), "low")
-        .when(F.col("intent_only"), "high")
-        .when(better & F.col("resolved") & (F.col("error_class") == "rate_limit") & ~F.col("item_resolved"), "medium")
-        .when(better & F.col("resolved"), "high")
-        .otherwise("medium")
-    )
-    plain_bad = F.col("error_class").isin("rate_limit", "not_found", "auth_error", "parse_error")
-    source = F.when(F.col("intent_only"), "intent_without_action").when(F.col("retry_loop"), "real_retry_loop").when(F.col("failed_tool").isNotNull(), "synthetic_plain_retry").otherwise("error_after_steps")
-    strength = (
-        F.when(F.col("intent_only") | F.col("retry_loop"), "strong")
-        .when(plain_bad & better & ((F.col("error_class") != "rate_limit") | F.col("item_resolved")), "strong")
-        .otherwise("medium")
-    )
-    at_error = F.col("pos").isNotNull()
-    return j.select(
-        F.sha2(F.concat_ws(":", F.lit("error"), "failure_session", "success_session"), 256).alias("pair_id"),
-        F.when(at_error, "success_vs_failure_at_error").otherwise("global_success_vs_failure").alias("pair_type"), quality.alias("pair_quality"),
-        F.col("fp").alias("task_type"), F.when(at_error, F.col("error_class")).alias("error_type"), "success_session", "failure_session",
-        "tool_similarity", F.col("pos").alias("error_pos"), "recovery_kind", "resolved", "retry_loop", "intent_only",
-        F.when(at_error, F.col("item_resolved")).alias("item_resolved"),
-        F.when(at_error, source).alias("rejected_source"), F.when(at_error, strength).alias("preference_strength"),
-    )
-
-
-def quality_pairs(cands: DataFrame, error_pairs: DataFrame, least: float = 0.5, gap: float = 0.05, cap: int = 10) -> DataFrame:
-    """Pairs of successes of a task whose scores differ by `gap`, better first, as far as the task's error pairs leave room under `cap`.
-
-    The better side is one of the task's `cap` best; every rank beyond adds pairs only after `cap` others, so the join grows with the
-    task, not with its square.
-    """
-    good, _ = _pools(cands)
-    ranked = good.withColumn("rank", F.row_number().over(W.partitionBy("fp").orderBy(F.desc("total"), "sid")))
-    taken = error_pairs.groupBy(F.col("task_type").alias("fp")).agg(F.count("*").alias("taken"))
-    h, low = ranked.filter(F.col("rank") <= cap).alias("h"), ranked.alias("l")
-    sim = jaccard(F.col("h.tools"), F.col("l.tools"))
-    cond = (F.col("h.fp") == F.col("l.fp")) & (F.col("h.rank") < F.col("l.rank"))
-    cond = cond & (F.floor((F.col("h.total") - F.col("l.total")) * 10000 + 0.5) >= int(gap * 10000)) & (sim >= least)
-    pairs = h.join(low, cond).select(F.col("h.fp").alias("fp"), F.col("h.sid").alias("better"), F.col("l.sid").alias("worse"), F.col("h.rank").alias("hr"), F.col("l.rank").alias("lr"))
-    pairs = pairs.withColumn("n", F.row_number().over(W.partitionBy("fp").orderBy("hr", "lr"))).filter(F.col("n") <= cap)
-    return (
-        pairs.join(taken, "fp", "left").filter(F.col("n") + F.coalesce("taken", F.lit(0)) <= cap)
-        .select(F.sha2(F.concat_ws(":", F.lit("quality"), "better", "worse"), 256).alias("pair_id"), F.col("fp").alias("task_type"), F.col("better").alias("chosen_session"), F.col("worse").alias("rejected_session"))
-    )
-
-
 def first_of_each(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The first row by `order` of rows equal in `keys`, nulls being equal; keys travel as a hash."""
     mark = fingerprint(*[F.col(k) for k in keys])
@@ -133,7 +63,3 @@ def export_main(pairs: DataFrame) -> DataFrame:
 
 def export_extended(pairs: DataFrame) -> DataFrame:
     return pairs.filter("pair_quality = 'medium' and pair_type = 'quality_comparison'")
-
-
-def loss_weight(strength: Column, synthetic: Column) -> Column:
-    return F.when(strength == "strong", 1.0).when(synthetic, 0.5).otherwise(1.0)

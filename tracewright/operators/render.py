@@ -6,12 +6,13 @@ row and to the message.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions import steps as S
-from tracewright.functions.text import fingerprint, truthy_coalesce
-from tracewright.operators.facts import BUSINESS, TASK_NOTE, session_name
+from tracewright.functions.pieces import TASK_NOTE, piece, within
+from tracewright.functions.text import fingerprint
+from tracewright.operators.facts import BUSINESS, session_name
 from tracewright.operators.ordered import with_position, with_running_sum
 from tracewright.sources.tables import cut_lineage
 
@@ -36,23 +37,6 @@ def _pieces(steps: DataFrame, most: int) -> DataFrame:
     return own.select(F.col("step_row").alias("row"), piece(most).alias("piece")).filter("piece is not null").dropDuplicates(["row"])
 
 
-def piece(most: int) -> Column:
-    """A step as text: thought, call, result cut at `most`, or output; null for others and for the note of the task."""
-    content, kind = F.coalesce("content", F.lit("")), F.col("kind")
-    call = F.concat(
-        F.lit('<tool_call>\n{"tool": "'), F.coalesce("tool_name", F.lit("")), F.lit('", "params": '),
-        F.coalesce(F.nullif("input_params", F.lit("")), F.lit("{}")), F.lit("}\n</tool_call>"),
-    )
-    shown = F.left(F.coalesce(truthy_coalesce(F.col("output"), F.col("error")), F.lit("")), F.lit(most))
-    result = F.concat(F.lit('<tool_result status="'), F.col("st"), F.lit('">\n'), shown, F.lit("\n</tool_result>"))
-    return (
-        F.when((kind == "reasoning") & (content != "") & ~content.startswith(TASK_NOTE), F.concat(F.lit("<thinking>\n"), content, F.lit("\n</thinking>")))
-        .when(kind == "tool_call", call)
-        .when(kind == "tool_result", result)
-        .when((kind == "output") & (content != ""), content)
-    )
-
-
 def messages(steps: DataFrame, most: int = 3000) -> DataFrame:
     """`sid`, `msg_no`, `role`, `content`: a result is a tool message, the pieces between two results one assistant message.
 
@@ -70,17 +54,7 @@ def budgeted(steps: DataFrame, last: int = 12, budget: int = 6000) -> DataFrame:
     """`sid`, `text`: the pieces of the first `last` steps as far as their lengths sum to at most `budget`, up to the first that does not fit."""
     first = placed_rows(steps).filter((F.col("pos") <= last) & F.col("shown")).select("row", "sid", "pos")
     lists = first.join(_pieces(steps, 2000), "row").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
-    start = F.struct(F.lit(0).alias("n"), F.lit(True).alias("go"), F.array().cast("array<string>").alias("kept"))
-
-    def add(state: Column, x: Column) -> Column:
-        n = state["n"] + F.length(x["piece"])
-        fits = state["go"] & (n <= budget)
-        return F.struct(
-            F.when(fits, n).otherwise(state["n"]).alias("n"), fits.alias("go"),
-            F.when(fits, F.array_append(state["kept"], x["piece"])).otherwise(state["kept"]).alias("kept"),
-        )
-
-    return lists.select("sid", F.array_join(F.aggregate("parts", start, add)["kept"], "\n").alias("text"))
+    return lists.select("sid", within(F.col("parts"), budget).alias("text"))
 
 
 def last_outputs(steps: DataFrame) -> DataFrame:

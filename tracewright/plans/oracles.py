@@ -33,7 +33,8 @@ def quantised(x: str, digits: int = 4) -> str:
 
 
 _SID = r"nullif(lower(regexp_replace(session_id, '^\s+|\s+$', '', 'g')), '')"
-_SHOWN = "coalesce(nullif(error, ''), nullif(output, ''))"
+_INFERRED = f"""(coalesce(error, '') = '' AND (status IS NULL OR {lookup('status', S.STATUSES, 'pending')} IN ('pending', 'success')) AND {any_of('output', S.ERROR_TEXTS)})"""
+_SHOWN = f"""CASE WHEN {_INFERRED} THEN 'inferred_error_from_text' ELSE coalesce(nullif(error, ''), nullif(output, '')) END"""
 _ERR_BLANK = r"(error IS NULL OR NOT regexp_matches(error, '\S'))"
 _ST = f"""CASE WHEN (status IS NULL OR {lookup('status', S.STATUSES, 'pending')} = 'pending' OR ({lookup('status', S.STATUSES, 'pending')} = 'success' AND coalesce(error, '') = ''))
   AND (NOT {_ERR_BLANK} OR {any_of('output', S.ERROR_TEXTS)}) THEN 'error' ELSE {lookup('status', S.STATUSES, 'pending')} END"""
@@ -49,14 +50,14 @@ raw AS (SELECT {_SID} AS sid, min(step_row) AS "row", session_key, source, step_
 kinds AS (SELECT *, {lookup('step_type', S.STEP_TYPES, 'unknown')} AS kind, {_ST} AS stx FROM raw),
 f AS (SELECT *, nullif(tool_name, '') AS tool, nullif(skill_context, '') AS skill, CASE WHEN kind = 'tool_result' THEN stx END AS st,
   length(coalesce(content, '')) AS chars, {any_of(_RECOVER_TEXT, S.RECOVERY_TEXTS)} AS recovers,
-  CASE WHEN kind = 'tool_result' AND stx = 'error' THEN {ladder(_SHOWN, PIPELINE_ERRORS, 'other_error')} END AS error_class,
+  CASE WHEN kind = 'tool_result' AND stx = 'error' THEN CASE WHEN {_SHOWN} IS NULL THEN 'unknown' ELSE {ladder(_SHOWN, PIPELINE_ERRORS, 'other_error')} END END AS error_class,
   CASE WHEN kind = 'tool_result' AND stx = 'error' THEN {ladder("concat_ws(' ', error, output)", PIPELINE_ERRORS, 'other_error')} END AS error_bucket,
   CASE WHEN kind = 'tool_result' AND stx = 'error' THEN {ladder(_SHOWN, TAXONOMY_ERRORS, 'other')} END AS error_kind,
   coalesce(regexp_matches(content, {_q('(?i)' + '|'.join(INTENT_PATTERNS))}), false) AS announces,
   coalesce(starts_with(content, '[任务理解]'), false) AS task_note,
   coalesce(regexp_matches(content, '(?i)error|失败|exception'), false) AS speaks_error,
   coalesce(regexp_matches(content, {_q(PLANNING)}), false) AS plans,
-  CASE WHEN kind = 'tool_call' THEN input_params ->> '$.path' END AS path,
+  CASE WHEN kind = 'tool_call' THEN coalesce(input_params ->> '$.action', '') END AS action,
   CASE WHEN kind = 'tool_call' THEN coalesce(input_params ->> '$.command', '') END AS command,
   {_PARAMS} AS params,
   row_number() OVER (PARTITION BY sid ORDER BY step_id, "row") AS pos FROM kinds)"""
@@ -65,7 +66,7 @@ _OWNED = f"""(split_part(lower(tool), '_', 1) IN ({', '.join(map(_q, S.UNIVERSAL
   OR (length(nm) >= 3 AND contains(core, left(nm, greatest(3, least(length(nm), length(core)))))) OR (abs(length(nm) - length(core)) <= 3 AND levenshtein(nm, core) <= 2))"""
 
 SESSIONS = f"""
-sess AS (SELECT * FROM (SELECT {_SID} AS sid, *, row_number() OVER (PARTITION BY {_SID} ORDER BY traj_id) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
+sess AS (SELECT * FROM (SELECT {_SID} AS sid, *, row_number() OVER (PARTITION BY {_SID} ORDER BY ingested_at DESC NULLS LAST, traj_id DESC) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
 calls AS (SELECT sid, pos, tool, skill, replace(lower(tool), '_', '') AS nm, trim(replace(replace(lower(skill), 'skill', ''), '_', ''), ' ') AS core FROM f WHERE kind = 'tool_call'),
 sw AS (SELECT sid, count(*) FILTER (skill <> prev) AS switches FROM (SELECT sid, skill, lag(skill) OVER (PARTITION BY sid ORDER BY pos) AS prev FROM calls WHERE skill IS NOT NULL) GROUP BY sid),
 viol AS (SELECT sid, bool_or(tool IS NOT NULL AND skill IS NOT NULL AND NOT {_OWNED}) AS violates FROM calls GROUP BY sid),
@@ -105,8 +106,11 @@ ret AS (SELECT sid, pos, step_id, error_class, failed_tool, recovery_kind, recov
 pr AS (SELECT *, CASE WHEN intent_only THEN 1 WHEN recovery_kind IN ('adaptive_retry', 'backoff_retry') AND resolved THEN 2 WHEN recovery_kind IN ('adaptive_retry', 'backoff_retry') THEN 3
   WHEN recovery_kind = 'plain_retry' AND resolved THEN 4 ELSE 5 END AS priority FROM ret),
 dv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY priority, CASE WHEN priority = 5 THEN -pos ELSE pos END) AS rn FROM pr) WHERE rn = 1),
-ir AS (SELECT DISTINCT e.sid, e.pos FROM f e JOIN f c ON c.sid = e.sid AND c.pos = e.pos - 1 AND c.kind = 'tool_call' AND c.path IS NOT NULL
-  JOIN f l ON l.sid = e.sid AND l.kind = 'tool_call' AND l.path = c.path AND l.pos > e.pos JOIN f g ON g.sid = l.sid AND g.pos = l.pos + 1 AND g.st = 'success' WHERE e.st = 'error')"""
+it AS (SELECT sid, pos, kind, CASE WHEN kind = 'tool_call' AND json_valid(input_params) THEN list_transform(['block_id', 'doc_token', 'url', 'path', 'file_id', 'message_id', 'page_id'],
+  lambda k: {'k': k, 'there': list_contains(json_keys(input_params), k), 'v': input_params ->> k}) END AS ks FROM f),
+ir AS (SELECT DISTINCT e.sid, e.pos FROM f e JOIN it c ON c.sid = e.sid AND c.pos = e.pos - 1 AND c.ks IS NOT NULL AND len(list_filter(c.ks, lambda x: x.there)) > 0
+  JOIN it l ON l.sid = e.sid AND l.kind = 'tool_call' AND l.pos > e.pos AND len(list_filter(c.ks, lambda x: x.there AND NOT (list_filter(l.ks, lambda y: y.k = x.k)[1].v IS NOT DISTINCT FROM x.v))) = 0
+  JOIN f g ON g.sid = l.sid AND g.pos = l.pos + 1 AND g.st = 'success' WHERE e.st = 'error')"""
 
 EVENTS = f"""
 ev AS (SELECT e.sid, e."row", e.step_id, e.pos, e.error_kind, coalesce((SELECT arg_max(coalesce(c.tool, ''), c.pos) FROM f c WHERE c.sid = e.sid AND c.kind = 'tool_call' AND c.pos BETWEEN e.pos - 2 AND e.pos - 1), '') AS tool FROM f e WHERE e.st = 'error'),
@@ -119,33 +123,71 @@ tax AS (SELECT error_kind AS error_type, c AS count, sc AS session_count, rc AS
   CASE WHEN c >= 10 AND rc::DOUBLE / c < 0.3 THEN 'high' WHEN c >= 5 THEN 'medium' ELSE 'low' END AS rl_priority,
   (CASE error_kind {' '.join(f'WHEN {_q(k)} THEN {_q(v)}' for k, v in taxonomy.ADVICE.items())} ELSE '人工分析' END) || CASE WHEN rc::DOUBLE / c > 0.7 THEN {_q(taxonomy.RECOVERS_WELL)} ELSE '' END AS fi_recommendation FROM tax0)"""
 
+_BETTER = "recovery_kind IN ('adaptive_retry', 'backoff_retry')"
+_PIECE = f"""CASE WHEN kind = 'reasoning' AND coalesce(content, '') <> '' AND NOT task_note THEN '<thinking>' || chr(10) || content || chr(10) || '</thinking>'
+  WHEN kind = 'tool_call' THEN '<tool_call>' || chr(10) || '{{"tool": "' || coalesce(tool_name, '') || '", "params": ' || coalesce(nullif(input_params, ''), '{{}}') || '}}' || chr(10) || '</tool_call>'
+  WHEN kind = 'tool_result' THEN '<tool_result status="' || st || '">' || chr(10) || left(coalesce(nullif(output, ''), nullif(error, ''), ''), CUT) || chr(10) || '</tool_result>'
+  WHEN kind = 'output' AND coalesce(content, '') <> '' THEN content END"""
 _DOMAIN = "CASE t " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in pairing.TOOL_DOMAINS.items()) + " ELSE 'other' END"
 _DOMAINS = _DOMAIN.replace("CASE t", "CASE x")
 _FP = f"array_to_string(list_sort(list_distinct(list_transform(tools, lambda x: {_DOMAINS}))), '|') || '::' || array_to_string(tools[1:5], '|')"
 PAIRS = f"""
-cand AS (SELECT sid, outcome, use, total, tools, {_FP} AS fp FROM sc WHERE tool_calls > 0 AND steps > 4 AND len(tools) > 0),
+cand AS (SELECT sid, outcome, use, total, tools, steps, user_input, {_FP} AS fp FROM sc WHERE tool_calls > 0 AND steps > 4 AND len(tools) > 0),
 good AS (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY total DESC, sid) AS rk FROM cand WHERE outcome IN ('success', 'likely_success') AND use <> 'recovery_training'),
 bad AS (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY total, sid) AS rk FROM cand WHERE use = 'recovery_training' OR outcome IN ('failure', 'likely_failure', 'unknown', 'partial')),
-jp AS (SELECT g.fp, g.sid AS success_session, b.sid AS failure_session, g.rk AS s_rank, b.rk AS f_rank,
+pc0 AS (SELECT sid, pos, kind, content, {_PIECE.replace('CUT', '2000')} AS piece, left(coalesce(nullif(output, ''), nullif(error, ''), ''), 1000) AS failure FROM f),
+pc AS (SELECT *, sum(length(piece)) OVER (PARTITION BY sid ORDER BY pos) AS cum FROM pc0 WHERE piece IS NOT NULL),
+hd AS (SELECT sid, string_agg(piece, chr(10) ORDER BY pos) FILTER (cum <= 6000 AND pos <= 12) AS h12, string_agg(piece, chr(10) ORDER BY pos) FILTER (cum <= 6000 AND pos <= 10) AS h10 FROM pc GROUP BY sid),
+ax AS (SELECT dv.sid, dv.pos AS e, pc0.pos - dv.pos AS d, kind, content, piece, failure FROM dv JOIN pc0 ON pc0.sid = dv.sid AND pc0.pos BETWEEN dv.pos - 1 AND dv.pos + 8),
+ay AS (SELECT *, sum(length(piece)) FILTER (d >= 1 AND kind IN ('tool_call', 'output')) OVER (PARTITION BY sid ORDER BY d) AS ca, sum(length(piece)) FILTER (d >= 1) OVER (PARTITION BY sid ORDER BY d) AS cl FROM ax),
+az AS (SELECT sid, max(failure) FILTER (d = 0) AS error, coalesce(string_agg(piece, chr(10) ORDER BY d) FILTER (d >= 1 AND kind IN ('tool_call', 'output') AND ca <= 6000), '') AS chosen,
+  coalesce(string_agg(piece, chr(10) ORDER BY d) FILTER (d BETWEEN 1 AND 4 AND cl <= 6000), '') AS lp, coalesce(string_agg(piece, chr(10) ORDER BY d) FILTER (d BETWEEN 1 AND 2 AND cl <= 6000), '') AS instead,
+  max(piece) FILTER (d = -1 AND kind = 'tool_call') AS call, coalesce(left(arg_min(coalesce(content, ''), d) FILTER (d BETWEEN 1 AND 4 AND kind IN ('reasoning', 'output')), 2000), '') AS declared FROM ay GROUP BY sid),
+bf AS (SELECT dv.sid, coalesce(string_agg(piece, chr(10) ORDER BY pc.pos) FILTER (cum <= 6000), '') AS before FROM dv LEFT JOIN pc ON pc.sid = dv.sid AND pc.pos < dv.pos GROUP BY dv.sid),
+es AS (SELECT dv.*, az.error, chosen, before, call, ir.pos IS NOT NULL AS item_resolved, CASE WHEN intent_only THEN declared WHEN retry_loop THEN lp ELSE coalesce(call, instead) END AS rejected,
+  coalesce(c.tool, '') AS tool, coalesce(c.action, '') AS action
+  FROM dv LEFT JOIN az USING (sid) LEFT JOIN bf USING (sid) LEFT JOIN ir ON ir.sid = dv.sid AND ir.pos = dv.pos LEFT JOIN f c ON c.sid = dv.sid AND c.pos = dv.pos - 1 AND c.kind = 'tool_call'),
+jp AS (SELECT g.fp, g.sid AS s_sid, b.sid AS f_sid, g.rk AS s_rank, b.rk AS f_rank, g.total AS s_total, b.total AS f_total, g.steps AS s_steps, b.steps AS f_steps, coalesce(b.user_input, '') AS prompt_user,
   len(list_intersect(g.tools, b.tools))::DOUBLE / len(list_distinct(list_concat(g.tools, b.tools))) AS raw FROM good g JOIN bad b USING (fp) WHERE g.rk <= 5 AND b.rk <= 10),
-jq AS (SELECT *, {quantised('raw', 3)} AS tool_similarity FROM jp WHERE raw >= 0.5),
-jr AS (SELECT *, row_number() OVER (PARTITION BY fp, failure_session ORDER BY tool_similarity DESC, s_rank) AS k FROM jq WHERE tool_similarity > 0),
+jq AS (SELECT jp.*, {quantised('raw', 3)} AS tool_similarity, es.* EXCLUDE (sid), coalesce(chosen <> '' AND rejected <> '', false) AS at_error, a.h12 AS s_text, b.h12 AS f_text
+  FROM jp LEFT JOIN es ON es.sid = f_sid LEFT JOIN hd a ON a.sid = s_sid LEFT JOIN hd b ON b.sid = f_sid WHERE raw >= 0.5),
+jr AS (SELECT *, row_number() OVER (PARTITION BY fp, f_sid ORDER BY tool_similarity DESC, s_rank) AS k FROM jq WHERE tool_similarity > 0 AND CASE WHEN at_error THEN chosen <> rejected ELSE coalesce(s_text <> f_text, false) END),
 js AS (SELECT *, row_number() OVER (PARTITION BY fp ORDER BY f_rank) AS n FROM jr WHERE k = 1),
-ep AS (SELECT js.*, dv.pos, dv.error_class, dv.recovery_kind, dv.resolved, dv.retry_loop, dv.intent_only, dv.failed_tool, ir.pos IS NOT NULL AS item_resolved
-  FROM js LEFT JOIN dv ON dv.sid = js.failure_session LEFT JOIN ir ON ir.sid = js.failure_session AND ir.pos = dv.pos WHERE n <= 10)"""
+ep AS (SELECT sha256('error:' || f_sid || ':' || s_sid) AS pair_id, CASE WHEN at_error THEN 'success_vs_failure_at_error' ELSE 'global_success_vs_failure' END AS pair_type,
+  CASE WHEN NOT at_error THEN 'low' WHEN retry_loop AND NOT resolved THEN 'low' WHEN intent_only THEN 'high' WHEN {_BETTER} AND resolved AND error_class = 'rate_limit' AND NOT item_resolved THEN 'medium'
+    WHEN {_BETTER} AND resolved THEN 'high' ELSE 'medium' END AS pair_quality, fp AS task_type, n,
+  CASE WHEN NOT at_error THEN 'unknown' ELSE CASE error_class WHEN 'rate_limit' THEN 'rate_limit_retry' WHEN 'timeout' THEN 'timeout_recovery' WHEN 'auth_error' THEN 'auth_error_handling' WHEN 'not_found' THEN 'not_found_recovery'
+    WHEN 'server_error' THEN 'server_error_recovery' ELSE 'generic_error_recovery' END END AS diverge_reason,
+  CASE WHEN at_error THEN error_class ELSE 'none' END AS error_type, at_error AND intent_only AS intent_only_failure, tool_similarity, prompt_user, CASE WHEN at_error THEN before END AS prompt_before,
+  CASE WHEN at_error THEN '[ERROR] ' || error END AS prompt_error, CASE WHEN at_error THEN chosen ELSE s_text END AS chosen, CASE WHEN at_error THEN rejected ELSE f_text END AS rejected, s_sid AS success_session, f_sid AS failure_session,
+  CASE WHEN at_error THEN s_total END AS success_score, CASE WHEN at_error THEN f_total END AS failure_score, CASE WHEN at_error THEN s_steps END AS success_steps, CASE WHEN at_error THEN f_steps END AS failure_steps,
+  CASE WHEN at_error THEN pos END AS error_at_step, CASE WHEN at_error THEN recovery_kind END AS recovery_kind,
+  CASE WHEN at_error THEN CASE recovery_kind WHEN 'backoff_retry' THEN 'backoff' WHEN 'adaptive_retry' THEN 'param_change' WHEN 'plain_retry' THEN 'same_tool' ELSE 'none' END END AS retry_type,
+  CASE WHEN at_error THEN resolved END AS resolved, CASE WHEN at_error THEN retry_loop END AS retry_loop, CASE WHEN at_error THEN 'same_session_recovery' END AS chosen_source,
+  CASE WHEN at_error THEN CASE WHEN intent_only THEN 'intent_without_action' WHEN retry_loop THEN 'real_retry_loop' WHEN call IS NOT NULL THEN 'synthetic_plain_retry' ELSE 'error_after_steps' END END AS rejected_source,
+  CASE WHEN at_error THEN CASE WHEN intent_only OR retry_loop THEN 'strong' WHEN error_class IN ('rate_limit', 'not_found', 'auth_error', 'parse_error') AND {_BETTER} AND (error_class <> 'rate_limit' OR item_resolved) THEN 'strong' ELSE 'medium' END END AS preference_strength,
+  CASE WHEN at_error THEN 'same_session_recovery_vs_synthetic_plain_retry' END AS pair_construction, CASE WHEN at_error THEN NOT intent_only AND NOT retry_loop AND call IS NOT NULL END AS synthetic_rejected,
+  CASE WHEN at_error THEN item_resolved END AS failed_item_eventually_resolved, CASE WHEN at_error THEN left(f_sid, 8) || ':' || error_class || ':' || tool || ':' || action END AS near_duplicate_group_id, NULL::DOUBLE AS score_gap FROM js WHERE n <= 10),
+ql AS (SELECT h.fp, h.sid AS b, l.sid AS w, h.total AS ht, l.total AS lt, h.steps AS hs, l.steps AS ls, coalesce(h.user_input, '') AS prompt_user, x.h10 AS chosen, y.h10 AS rejected,
+  len(list_intersect(h.tools, l.tools))::DOUBLE / len(list_distinct(list_concat(h.tools, l.tools))) AS raw, row_number() OVER (PARTITION BY h.fp ORDER BY h.rk, l.rk) AS m
+  FROM good h JOIN good l ON l.fp = h.fp AND h.rk < l.rk JOIN hd x ON x.sid = h.sid JOIN hd y ON y.sid = l.sid
+  WHERE floor(h.total * 10000 + 0.5) - floor(l.total * 10000 + 0.5) >= 500 AND x.h10 <> y.h10 AND len(list_intersect(h.tools, l.tools))::DOUBLE / len(list_distinct(list_concat(h.tools, l.tools))) >= 0.5),
+qp AS (SELECT sha256('quality:' || b || ':' || w) AS pair_id, 'quality_comparison' AS pair_type, 'medium' AS pair_quality, fp AS task_type, m + coalesce(taken, 0) AS n, 'efficiency_difference' AS diverge_reason, 'none' AS error_type,
+  false AS intent_only_failure, {quantised('raw', 3)} AS tool_similarity, prompt_user, NULL::VARCHAR AS prompt_before, NULL::VARCHAR AS prompt_error, chosen, rejected, b AS success_session, w AS failure_session, ht AS success_score, lt AS failure_score,
+  hs AS success_steps, ls AS failure_steps, NULL::BIGINT AS error_at_step, NULL::VARCHAR AS recovery_kind, NULL::VARCHAR AS retry_type, NULL::BOOLEAN AS resolved, NULL::BOOLEAN AS retry_loop, NULL::VARCHAR AS chosen_source,
+  NULL::VARCHAR AS rejected_source, NULL::VARCHAR AS preference_strength, NULL::VARCHAR AS pair_construction, NULL::BOOLEAN AS synthetic_rejected, NULL::BOOLEAN AS failed_item_eventually_resolved, NULL::VARCHAR AS near_duplicate_group_id,
+  {quantised('ht - lt')} AS score_gap FROM ql LEFT JOIN (SELECT task_type AS fp, count(*) AS taken FROM ep GROUP BY 1) USING (fp) WHERE m + coalesce(taken, 0) <= 10),
+allp AS (SELECT * FROM ep UNION ALL SELECT * FROM qp),
+u2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chosen, rejected, pair_quality ORDER BY task_type, n) AS k2 FROM allp) WHERE k2 = 1),
+u3 AS (SELECT *, row_number() OVER g AS k3, first_value(pair_quality) OVER g AS bestq FROM u2 WINDOW g AS (PARTITION BY near_duplicate_group_id ORDER BY CASE WHEN preference_strength = 'strong' THEN 0 ELSE 1 END,
+  CASE WHEN failed_item_eventually_resolved THEN 0 ELSE 1 END, task_type, n)),
+dd AS (SELECT * FROM u3 WHERE near_duplicate_group_id IS NULL OR k3 <= CASE WHEN bestq = 'high' THEN 1 ELSE 2 END)"""
 
 
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
 
 
-_BETTER = "recovery_kind IN ('adaptive_retry', 'backoff_retry')"
-_PIECE = f"""CASE WHEN kind = 'reasoning' AND coalesce(content, '') <> '' AND NOT task_note THEN '<thinking>' || chr(10) || content || chr(10) || '</thinking>'
-  WHEN kind = 'tool_call' THEN '<tool_call>' || chr(10) || '{{"tool": "' || coalesce(tool_name, '') || '", "params": ' || coalesce(nullif(input_params, ''), '{{}}') || '}}' || chr(10) || '</tool_call>'
-  WHEN kind = 'tool_result' THEN '<tool_result status="' || st || '">' || chr(10) || left(coalesce(nullif(output, ''), nullif(error, ''), ''), CUT) || chr(10) || '</tool_result>'
-  WHEN kind = 'output' AND coalesce(content, '') <> '' THEN content END"""
-
-
 def _reason(col: str) -> str:
     return ladder(col, specialist.ABORT_REASONS, "other")
 
@@ -182,19 +224,18 @@ SELECT sid, use, CASE WHEN use = 'low_value' THEN 'rejected' WHEN outcome <> 'un
     out["diverge_point"] = _with(CANON, RETRIES) + "SELECT sid, pos, error_class, recovery_kind, priority FROM dv"
     out["item_resolved"] = _with(CANON, RETRIES) + "SELECT sid, pos FROM ir"
     out["fingerprint_clusters"] = _with(CANON, SESSIONS, RETRIES, PAIRS) + "SELECT fp, count(*) AS sessions, count(*) FILTER (outcome IN ('success', 'likely_success')) AS good FROM cand GROUP BY fp"
-    out["pair_error_state"] = _with(CANON, SESSIONS, RETRIES, PAIRS) + f"""
-SELECT sha256('error:' || failure_session || ':' || success_session) AS pair_id, CASE WHEN pos IS NULL THEN 'global_success_vs_failure' ELSE 'success_vs_failure_at_error' END AS pair_type,
-  CASE WHEN pos IS NULL THEN 'low' WHEN retry_loop AND NOT resolved THEN 'low' WHEN intent_only THEN 'high' WHEN {_BETTER} AND resolved AND error_class = 'rate_limit' AND NOT item_resolved THEN 'medium'
-    WHEN {_BETTER} AND resolved THEN 'high' ELSE 'medium' END AS pair_quality,
-  fp AS task_type, error_class AS error_type, success_session, failure_session, tool_similarity, pos AS error_pos, recovery_kind, resolved, retry_loop, intent_only,
-  CASE WHEN pos IS NOT NULL THEN item_resolved END AS item_resolved,
-  CASE WHEN pos IS NULL THEN NULL WHEN intent_only THEN 'intent_without_action' WHEN retry_loop THEN 'real_retry_loop' WHEN failed_tool IS NOT NULL THEN 'synthetic_plain_retry' ELSE 'error_after_steps' END AS rejected_source,
-  CASE WHEN pos IS NULL THEN NULL WHEN intent_only OR retry_loop THEN 'strong' WHEN error_class IN ('rate_limit', 'not_found', 'auth_error', 'parse_error') AND {_BETTER} AND (error_class <> 'rate_limit' OR item_resolved) THEN 'strong' ELSE 'medium' END AS preference_strength
-FROM ep"""
-    out["pair_quality"] = _with(CANON, SESSIONS, RETRIES, PAIRS) + """,
-ql AS (SELECT h.fp, h.sid AS b, l.sid AS w, row_number() OVER (PARTITION BY h.fp ORDER BY h.rk, l.rk) AS n FROM good h JOIN good l ON l.fp = h.fp AND h.rk < l.rk
-  WHERE floor((h.total - l.total) * 10000 + 0.5) >= 500 AND len(list_intersect(h.tools, l.tools))::DOUBLE / len(list_distinct(list_concat(h.tools, l.tools))) >= 0.5)
-SELECT sha256('quality:' || b || ':' || w) AS pair_id, fp AS task_type, b AS chosen_session, w AS rejected_session FROM ql LEFT JOIN (SELECT fp, count(*) AS taken FROM ep GROUP BY fp) USING (fp) WHERE n + coalesce(taken, 0) <= 10"""
+    pairs = _with(CANON, SESSIONS, RETRIES, PAIRS)
+    out["pairs_full"] = pairs + "SELECT * FROM allp"
+    out["pair_error_state"] = pairs + """
+SELECT pair_id, pair_type, pair_quality, task_type, error_type, success_session, failure_session, tool_similarity, error_at_step, recovery_kind, resolved, retry_loop, intent_only_failure,
+  failed_item_eventually_resolved, rejected_source, preference_strength FROM ep"""
+    out["pair_quality"] = pairs + "SELECT pair_id, task_type, success_session AS chosen_session, failure_session AS rejected_session, score_gap FROM qp"
+    out["pair_dedup_full"] = pairs + "SELECT pair_id, pair_quality, near_duplicate_group_id, preference_strength FROM dd"
+    out["export_weighted"] = pairs + """
+SELECT pair_id, diverge_reason, preference_strength, synthetic_rejected, CASE WHEN preference_strength = 'strong' THEN 1.0 WHEN synthetic_rejected THEN 0.5 ELSE 1.0 END::DOUBLE AS loss_weight
+FROM dd WHERE pair_quality = 'high' AND pair_type = 'success_vs_failure_at_error'"""
+    out["session_redeliveries"] = f"""
+SELECT sid, count(*) AS "rows", count(DISTINCT t::VARCHAR) AS contents FROM (SELECT {_SID} AS sid, * EXCLUDE (session_id, traj_id, ingested_at) FROM trajectories) t WHERE sid IS NOT NULL GROUP BY sid HAVING count(*) > 1"""
     out["pair_dedup"] = """
 WITH u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chosen, rejected, pair_quality ORDER BY pair_no) AS rn FROM dpo_pairs) WHERE rn = 1),
 g AS (SELECT pair_no, pair_quality, left(failure_session, 8) || ':' || error_type AS grp FROM u),
@@ -269,7 +310,7 @@ FROM (SELECT sid, no, d ->> '$.assistantTexts[#-1]' AS t FROM er WHERE event_typ
     out["nth_occurrence_backfill"] = _with(CANON) + """
 SELECT sid, tool, count(*) AS calls, count(*) FILTER (pos = first_pos) AS firsts FROM (SELECT sid, tool, pos, min(pos) OVER (PARTITION BY sid, tool) AS first_pos FROM f WHERE kind = 'tool_call' AND tool IS NOT NULL) GROUP BY ALL"""
     out["parent_links"] = f"""
-WITH s AS (SELECT * FROM (SELECT {_SID} AS sid, parent_session_id, row_number() OVER (PARTITION BY {_SID} ORDER BY traj_id) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
+WITH s AS (SELECT * FROM (SELECT {_SID} AS sid, parent_session_id, row_number() OVER (PARTITION BY {_SID} ORDER BY ingested_at DESC NULLS LAST, traj_id DESC) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
 k AS (SELECT sid AS child, nullif(lower(regexp_replace(parent_session_id, '^\\s+|\\s+$', '', 'g')), '') AS parent FROM s)
 SELECT child, parent, parent IN (SELECT sid FROM s) AS known FROM k WHERE parent IS NOT NULL"""
     return out

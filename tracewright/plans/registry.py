@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import steps as S
 from tracewright.functions.text import contains_any, is_blank
-from tracewright.operators import assembly, evalset, facts, pairing, render, scoring, sequence, specialist, taxonomy
+from tracewright.operators import assembly, evalset, facts, pairing, preferences, render, scoring, sequence, specialist, taxonomy
 from tracewright.operators.schema_drift import drift, unified
 from tracewright.operators.timestamps import normalise_timestamps
 from tracewright.plans import oracles
-from tracewright.sources import cut_lineage, table
+from tracewright.sources import cut_lineage, once, table
 
 FLAGSHIP = "error_taxonomy_recovery"
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    """The facts, written once, since most queries read them in several branches."""
-    return cut_lineage(facts.step_facts(table(spark, d, "steps")))
+    """The facts of a folder, written once per session, since most queries read them in several branches."""
+    return once(spark, d, "steps", lambda: cut_lineage(facts.step_facts(table(spark, d, "steps"))))
 
 
 def _scored(spark: SparkSession, d: str, own: DataFrame | None = None) -> DataFrame:
@@ -27,7 +27,7 @@ def _scored(spark: SparkSession, d: str, own: DataFrame | None = None) -> DataFr
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
-    return cut_lineage(assembly.event_rows(table(spark, d, "raw_events")))
+    return once(spark, d, "raw_events", lambda: cut_lineage(assembly.event_rows(table(spark, d, "raw_events"))))
 
 
 def error_taxonomy_recovery(spark, d):
@@ -116,15 +116,43 @@ def fingerprint_clusters(spark, d):
     return c.groupBy("fp").agg(F.count("*").alias("sessions"), F.count_if(F.col("outcome").isin("success", "likely_success")).alias("good"))
 
 
+def _pairs(spark, d):
+    own = _facts(spark, d)
+    found = sequence.diverge_points(sequence.retries(own))
+    return preferences.run_pairing(pairing.candidates(_scored(spark, d, own)), own, table(spark, d, "steps"), found, sequence.items_resolved(own))
+
+
+def pairs_full(spark, d):
+    """All pairs with prompt, chosen, rejected and what they rest on, before dedup."""
+    return _pairs(spark, d)
+
+
 def pair_error_state(spark, d):
     own = _facts(spark, d)
-    return pairing.error_state_pairs(pairing.candidates(_scored(spark, d, own)), sequence.diverge_points(sequence.retries(own)), sequence.items_resolved(own))
+    c, found = pairing.candidates(_scored(spark, d, own)), sequence.diverge_points(sequence.retries(own))
+    pairs = preferences.error_pairs(c, own, table(spark, d, "steps"), found, sequence.items_resolved(own))
+    return pairs.select(
+        "pair_id", "pair_type", "pair_quality", "task_type", "error_type", "success_session", "failure_session", "tool_similarity", "error_at_step", "recovery_kind", "resolved", "retry_loop",
+        "intent_only_failure", "failed_item_eventually_resolved", "rejected_source", "preference_strength",
+    )
 
 
 def pair_quality(spark, d):
-    own = _facts(spark, d)
-    c = pairing.candidates(_scored(spark, d, own))
-    return pairing.quality_pairs(c, pairing.error_state_pairs(c, sequence.diverge_points(sequence.retries(own)), sequence.items_resolved(own)))
+    return _pairs(spark, d).filter("pair_type = 'quality_comparison'").select("pair_id", "task_type", F.col("success_session").alias("chosen_session"), F.col("failure_session").alias("rejected_session"), "score_gap")
+
+
+def pair_dedup_full(spark, d):
+    """The pairs of `pairs_full` that stand after both dedups."""
+    return preferences.deduplicated(_pairs(spark, d)).select("pair_id", "pair_quality", "near_duplicate_group_id", "preference_strength")
+
+
+def export_weighted(spark, d):
+    """The main export of own pairs with the weight each has in the loss."""
+    return preferences.export_main(preferences.deduplicated(_pairs(spark, d))).select("pair_id", "diverge_reason", "preference_strength", "synthetic_rejected", "loss_weight")
+
+
+def session_redeliveries(spark, d):
+    return facts.redeliveries(table(spark, d, "trajectories"))
 
 
 def pair_dedup(spark, d):
@@ -258,7 +286,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES = (
     error_taxonomy_recovery, error_taxonomy_tools, error_samples, fault_injection_targets, step_type_normalise, status_normalise, outcome_normalise,
     error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
-    diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pair_dedup, export_counts, pair_distribution, strata,
+    diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
     stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, sft_messages,
     budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
     p2_found, p2_unified, p7_found,

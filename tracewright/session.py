@@ -20,6 +20,7 @@ def build_session(master: str | None = None, app: str = "tracewright") -> SparkS
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TRACEWRIGHT_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

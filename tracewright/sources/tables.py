@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,16 +19,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written once to the shared checkpoint folder and read back from it.
 
-    The folder is the cluster's `spark.checkpoint.dir`. Only where that is unset (tests, a laptop) a
-    temporary folder is taken, since there driver and executors share one machine.
+    The folder is the cluster's `spark.checkpoint.dir`. Only where that is unset and the master is local (tests, a laptop) a
+    temporary folder is taken, since there driver and executors are one process; it goes when the process ends. On a cluster an
+    unset folder is an error. `spark.cleaner.referenceTracking.cleanCheckpoints` lets Spark remove what no query refers to any more.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracewright-")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tracewright-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
+_ONCE: dict[tuple, DataFrame] = {}
+
+
+def once(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What `make` builds from the table `name`, built once per application and state of the table: its files and their times of change."""
+    jvm = spark.sparkContext._jvm
+    files = sorted(table(spark, folder, name).inputFiles())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stamps = tuple((f, (st := jvm.org.apache.hadoop.fs.Path(f).getFileSystem(conf).getFileStatus(jvm.org.apache.hadoop.fs.Path(f))).getLen(), st.getModificationTime()) for f in files[:64])
+    key = (spark.sparkContext.applicationId, name, len(files), stamps)
+    if key not in _ONCE:
+        for old in [k for k in _ONCE if k[0] != key[0]]:
+            del _ONCE[old]
+        _ONCE[key] = make()
+    return _ONCE[key]
+
+
 #: Rows up to which a lookup table is broadcast; beyond it is joined by shuffle.
 BROADCAST_ROWS = 100_000
 
