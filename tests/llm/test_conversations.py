@@ -118,3 +118,24 @@ def test_sessions_by_silence_have_roles_and_a_reply(spark):
     rows = [(n, None, None, None, None, *e, f"2025-09-{1 + m // 100:02d}T00:{m % 100:02d}:00Z", "c", n) for n, m, e in at]
     got = C.by_silence(spark.createDataFrame(rows, cols), 3_600_000_000).collect()
     assert sorted((r["row"], r["session_no"], r["role"], r["text"]) for r in got) == [(1, 1, "user", "hi"), (2, 1, "assistant", "a"), (7, 3, "user", "again"), (8, 3, "assistant", "b")]
+
+
+def test_rows_without_a_name_are_parted_by_silence(spark):
+    cols = "event_row bigint, session_id string, trace_id string, seq bigint, source_seq bigint, event_type string, data string, ts string, session_key string, ingested_at int"
+    at = [(1, 0, user(), None), (2, 1, bot("a"), None), (3, 1, bot("a"), None), (4, 300, user("left"), None), (5, 600, user("again"), " "), (6, 601, bot(" b "), None)]
+    named = [(10 + i, 4 + i, e, "n") for i, e in enumerate([user(), bot("c")])]
+    rows = [(n, s, None, n if s == "n" else None, None, *e, f"2025-09-{1 + m // 100:02d}T00:{m % 100:02d}:00Z", "c", n) for n, m, e, s in at + named] + [(99, None, None, 1, None, *user(), None, "c", 1)]
+    df = spark.createDataFrame(rows, cols)
+    got = C.rebuilt(df, None, None).collect()
+    parted = C.rebuilt(df).filter("session_id like 'silence:%'").collect()
+    assert {(r["session_id"], r["role"], r["text"]) for r in parted} == {("silence:c:1", "user", "hi"), ("silence:c:1", "assistant", "a"), ("silence:c:3", "user", "again"), ("silence:c:3", "assistant", "b")}
+    assert {(r["session_id"], r["text"]) for r in got if not r["session_id"].startswith("silence")} == {("n", "hi"), ("n", "c")}
+    steps = spark.createDataFrame([], STEPS)
+    assert {(r["session_id"], r["defect"]) for r in C.left_out(df, steps).collect()} == {("silence:c:2", "missing_reply")}
+
+
+def test_agreement_with_written_sessions(spark):
+    cols = "event_row bigint, session_id string, trace_id string, seq bigint, source_seq bigint, event_type string, data string, ts string, session_key string, ingested_at int"
+    at = [(1, 0, "a"), (2, 1, "a"), (3, 500, "b"), (4, 501, "b"), (5, 502, "x"), (6, 900, "d")]
+    rows = [(n, s, None, n, None, *user(str(n)), f"2025-09-{1 + m // 100:02d}T00:{m % 100:02d}:00Z", "c", n) for n, m, s in at]
+    assert tuple(C.agreement(spark.createDataFrame(rows, cols), 3_600_000_000).first()) == (3_600_000_000, 4, 3, 2)

@@ -1,9 +1,9 @@
 """Conversations rebuilt from message rows: order, roles, and the defects that leave a conversation out.
 
-A conversation is named by its session. Rows can also be grouped by channel, whether they name a session or not, and
-cut where the silence between two rows exceeds a gap calibrated on all rows (`by_silence`). Every figure that a defect rests
-on is decomposable, so rows are first reduced per (conversation, number) and then per (conversation, run of
-numbers), and a conversation of any length is never gathered into one task.
+A conversation is named by its session. Rows that name none are grouped by channel and cut where the silence between two rows
+exceeds a gap calibrated on all rows (`assembled`), and take part like any other conversation; `agreement` measures how often the cut finds
+the sessions that are written. Every figure that a defect rests on is decomposable, so rows are first reduced per (conversation, number)
+and then per (conversation, run of numbers), and a conversation of any length is never gathered into one task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.steps import step_type
 from tracewright.functions.text import filled, fingerprint, is_blank, strip
 from tracewright.operators.facts import session_name
+from tracewright.operators.ordered import with_position
 from tracewright.sources import cut_lineage
 
 #: Numbers per run: the most turns that one array holds.
@@ -59,7 +60,7 @@ def event_turns(events: DataFrame, *keep: Column) -> DataFrame:
         .when(metas.isNotNull(), "tool")
     )
     return events.select(
-        F.coalesce(filled(F.col("session_id")), filled(F.col("trace_id"))).alias("conv"),
+        coalesced_name().alias("conv"),
         F.coalesce("seq", "source_seq").alias("no"),
         fingerprint(kind, data).alias("mark"),
         F.coalesce(~ok, F.lit(False)).alias("bad"),
@@ -69,6 +70,60 @@ def event_turns(events: DataFrame, *keep: Column) -> DataFrame:
     )
 
 
+#: What the name of a conversation begins with that silence, and no written session, sets apart.
+SILENCE = "silence:"
+
+
+def _timed(events: DataFrame) -> list[Column]:
+    us = F.unix_micros(F.expr("try_to_timestamp(ts)"))
+    same = [F.col(c).cast("string") for c in events.columns if c not in ("event_row", "ingested_at")]
+    return [F.col("event_row").alias("row"), F.col("session_key").alias("channel"), us.alias("us"), fingerprint(*same).alias("copy")]
+
+
+def assembled(events: DataFrame, gap_us: int | None = None) -> DataFrame:
+    """The rows of `event_turns`, those without a written name put into sessions of their channel by silence and numbered by their time there.
+
+    The gap is calibrated on the rows of all sessions. A row without name, and without channel or time, stays without a conversation; of
+    repeated rows without a name the first counts. Tables without `ts` or `session_key` have no such sessions.
+    """
+    if not {"ts", "session_key"} <= set(events.columns):
+        return event_turns(events)
+    named = coalesced_name()
+    loose = events.filter(named.isNull() & filled(F.col("session_key")).isNotNull() & F.expr("try_to_timestamp(ts)").isNotNull())
+    if loose.isEmpty():
+        return event_turns(events)
+    if gap_us is None:
+        us = F.unix_micros(F.expr("try_to_timestamp(ts)"))
+        gap_us = calibrated_gap(events.select(F.col("event_row").alias("row"), F.col("session_key").alias("channel"), us.alias("us")).filter("channel is not null and us is not null"))
+    turns = cut_lineage(event_turns(loose, *_timed(loose)))
+    once = turns.groupBy("channel", "copy").agg(F.min("row").alias("row"), F.first("us").alias("us"))
+    placed = with_position(
+        sessionize(once, gap_us).withColumn("conv", F.concat(F.lit(SILENCE), "channel", F.lit(":"), F.col("session_no").cast("string"))), "conv", "us", "row", name="no"
+    ).select("row", "conv", "no")
+    cut = turns.drop("conv", "no", "channel", "us", "copy").join(placed, "row").select("conv", "no", "mark", "bad", "role", "text")
+    return event_turns(events.filter(named.isNotNull())).unionByName(cut)
+
+
+def coalesced_name() -> Column:
+    """The written name of an event's conversation: the session, or the trace where that is blank; null where both are."""
+    return F.coalesce(filled(F.col("session_id")), filled(F.col("trace_id")))
+
+
+def agreement(events: DataFrame, gap_us: int | None = None) -> DataFrame:
+    """`gap_us`, `written` and `by_silence` sessions of all rows with a name, a channel and a time, and `equal`, those that hold the same rows in both."""
+    rows = events.select(coalesced_name().alias("conv"), *_timed(events)).filter("conv is not null")
+    rows = cut_lineage(rows.groupBy("channel", "copy").agg(F.min("row").alias("row"), F.first("us").alias("us"), F.first("conv").alias("conv")))
+    gap_us = calibrated_gap(rows.filter("channel is not null and us is not null")) if gap_us is None else gap_us
+    placed = sessionize(rows, gap_us).join(rows.select("row", "conv"), "row").groupBy("conv", "channel", "session_no").agg(F.lit(1).alias("one"))
+    per_silence = placed.groupBy("channel", "session_no").agg(F.count("*").alias("convs"), F.min("conv").alias("conv"))
+    per_conv = placed.groupBy("conv").agg(F.count("*").alias("parts"))
+    alone = per_silence.filter("convs = 1").join(per_conv.filter("parts = 1"), "conv").agg(F.count("*").alias("equal"))
+    return (
+        per_conv.agg(F.count("*").alias("written")).crossJoin(per_silence.agg(F.count("*").alias("by_silence"))).crossJoin(alone)
+        .select(F.lit(gap_us).cast("bigint").alias("gap_us"), "written", "by_silence", "equal")
+    )
+
+
 def _by_number(turns: DataFrame) -> DataFrame:
     """One row per (conversation, number): whether its rows disagree, any damage, and the one role."""
     return turns.groupBy("conv", "no").agg(
@@ -176,8 +231,8 @@ def step_defects(steps: DataFrame) -> DataFrame:
 
 
 def left_out(events: DataFrame, steps: DataFrame) -> DataFrame:
-    """`stored_in`, `session_id`, `defect` of the conversations left out of either table."""
-    a = event_defects(event_turns(events)).select(F.lit("raw_events").alias("stored_in"), F.col("conv").alias("session_id"), "defect")
+    """`stored_in`, `session_id`, `defect` of the conversations left out of either table; sessions that only silence sets apart begin with SILENCE."""
+    a = event_defects(assembled(events)).select(F.lit("raw_events").alias("stored_in"), F.col("conv").alias("session_id"), "defect")
     b = step_defects(steps).select(F.lit("steps").alias("stored_in"), F.col("conv").alias("session_id"), "defect")
     return a.unionByName(b)
 
@@ -216,7 +271,7 @@ def rebuilt(events: DataFrame, steps: DataFrame | None = None, trajectories: Dat
     then over the runs, so no conversation is sorted as a whole. With `steps` and `trajectories` the conversations of steps come as well;
     a session stored in both tables is a conversation in each.
     """
-    turns = event_turns(events).filter("conv is not null and no is not null")
+    turns = assembled(events).filter("conv is not null and no is not null")
     spoken = _sound(turns.filter("role is not null"), event_defects(turns), "raw_events")
     if steps is not None:
         spoken = spoken.unionByName(_sound(step_turns(steps, trajectories), step_defects(steps), "steps"))
@@ -290,9 +345,7 @@ def by_silence(events: DataFrame, gap_us: int | None = None) -> DataFrame:
     All rows take part, those without a session's name too, and a row delivered twice counts once. Sessions without a user turn that an assistant turn
     follows are left out. Sessions are cut on narrow rows; texts join them by row number.
     """
-    same = [F.col(c) for c in events.columns if c not in ("event_row", "ingested_at")]
-    us = F.unix_micros(F.expr("try_to_timestamp(ts)"))
-    turns = event_turns(events, F.col("event_row").alias("row"), F.col("session_key").alias("channel"), us.alias("us"), fingerprint(*[c.cast("string") for c in same]).alias("copy"))
+    turns = event_turns(events, *_timed(events))
     narrow = turns.groupBy("channel", "copy").agg(F.min("row").alias("row"), F.first("us").alias("us"), F.first("role").alias("role"))
     narrow = cut_lineage(narrow.select("row", "channel", "us", "role"))
     placed = sessionize(narrow.drop("role"), gap_us).join(narrow.filter("role is not null").select("row", "role"), "row")

@@ -10,7 +10,14 @@ from tracewright.sources import table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return conversations.left_out(table(spark, d, "raw_events"), table(spark, d, "steps"))
+    """The conversations left out; those that no row names, which silence sets apart, are in `p1_conversations` if sound."""
+    found = conversations.left_out(table(spark, d, "raw_events"), table(spark, d, "steps"))
+    return found.filter(~F.col("session_id").startswith(conversations.SILENCE))
+
+
+def p1_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """How many written sessions the cut at silences finds."""
+    return conversations.agreement(table(spark, d, "raw_events"))
 
 
 def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
@@ -122,7 +129,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (p1_found, p1_conversations, p1_sessionized, p3_found, p3_report, p4_found, p4_redacted, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill, p10_found, p10_profile)
+    own = (p1_found, p1_conversations, p1_sessionized, p1_agreement, p3_found, p3_report, p4_found, p4_redacted, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill, p10_found, p10_profile)
     return {f.__name__: f for f in own}
 
 
