@@ -24,7 +24,7 @@ def docs(n, seed=0):
 def test_held_out_accuracy():
     rows = docs(400)
     levels = R.fit(rows[:200])
-    assert np.mean([levels.judge(t)[4] == b for _, t, b in rows[200:]]) > 0.97
+    assert np.mean([levels.judge(t)[-1] == b for _, t, b in rows[200:]]) > 0.97
 
 
 def test_isotonic_is_the_least_squares_fit():
@@ -57,3 +57,18 @@ def test_table(spark):
     assert 900 not in ids and 901 in ids and 902 in ids and ids.count(5) == 2
     assert {r["doc_id"] for r in R.judged(df, levels, least_words=40).collect()} <= set(ids) - {901}
     assert R.judged(df, levels.filter("false")).count() == 0 and R.judged(df.filter("false"), levels).count() == 0
+
+
+def test_mixture_is_the_best_of_the_non_negative(rng=np.random.default_rng(3)):
+    x = rng.normal(size=(300, 4))
+    y = 0.3 * x[:, 1] + 0.7 * x[:, 3] - 0.4 * x[:, 0] + rng.normal(0, 0.01, 300)
+    w = R.mixture(x, y)
+    assert w[0] == 0 and abs(w[1] - 0.3) < 0.05 and abs(w[3] - 0.7) < 0.05 and abs(w.sum() - 1) < 1e-9
+    assert R.mixture(np.ones((5, 3)), np.arange(5.0)).sum() == 1
+
+
+def test_texts_in_other_scripts_have_a_level():
+    levels = R.fit(docs(120))
+    for text in ("这是一个很长的句子。", "Größe und Maß übersteigen", "12 34", "😀"):
+        assert levels.judge(text)[-1] in R.BANDS
+    assert levels.judge("这是一个")[4] == 0.0 and R.tokens("größe 这是")[:3] == ["größe", "这", "是"]

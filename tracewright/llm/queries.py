@@ -102,34 +102,36 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _graded(spark: SparkSession, d: str) -> DataFrame:
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     own = docs.filter((F.col("lang") == "en") & F.col("doc_kind").isin("runbook", "postmortem", "faq", "task_brief"))
-    return reading_level.judged(own, table(spark, d, "doc_levels"), least_words=40)
+    return reading_level.judged(own, table(spark, d, "doc_levels"), least_words=40).select("doc_id", "band")
 
 
-def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return _graded(spark, d).select("doc_id", "band")
+def p10_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The level of every document that has a text, of any language, kind and length; `known` tells how far the models know its words."""
+    return reading_level.judged(table(spark, d, "documents"), table(spark, d, "doc_levels"))
 
 
 def p10_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Documents, difficulty and surprisal per kind and band."""
-    kinds = table(spark, d, "documents").select("doc_id", "doc_kind")
+    """Documents, difficulty, surprisal and share of known words per language, kind and band, over every document that has a text."""
+    kinds = table(spark, d, "documents").select("doc_id", "lang", "doc_kind")
     return (
-        _graded(spark, d)
+        p10_levels(spark, d)
         .join(kinds, "doc_id")
-        .groupBy("doc_kind", "band")
+        .groupBy("lang", "doc_kind", "band")
         .agg(
             F.count("*").alias("documents"),
             F.avg("grade").alias("grade"),
             F.avg("surprisal_mean").alias("surprisal_mean"),
             F.avg("surprisal_p90").alias("surprisal_p90"),
+            F.avg("known").alias("known"),
         )
     )
 
 
 def queries() -> dict:
-    own = (p1_found, p1_conversations, p1_sessionized, p1_agreement, p3_found, p3_report, p4_found, p4_redacted, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill, p10_found, p10_profile)
+    own = (p1_found, p1_conversations, p1_sessionized, p1_agreement, p3_found, p3_report, p4_found, p4_redacted, p5_found, p6_found, p6_report, p8_ids, p9_containers, p9_fill, p10_found, p10_levels, p10_profile)
     return {f.__name__: f for f in own}
 
 

@@ -1,8 +1,8 @@
 """Reading level of documents from the surprisal of their words under graded language models.
 
-An interpolated bigram model is trained for each grade on labelled documents. The surprisal of a whole document under
-each model, per word, gives a difficulty between the lowest and the highest grade; isotonic regression on held-out
-difficulties of the labelled documents maps it monotonically to the grade.
+An interpolated bigram model is trained for each grade on labelled documents. The distribution of the surprisal of a whole document's words
+under each model (its mean and quantiles) is compared between the models: each of these figures expects a grade, and their non-negative mixture,
+fitted on held-out documents, is the difficulty. Isotonic regression maps held-out difficulties of the labelled documents monotonically to the grade.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ BANDS = ("basic", "intermediate", "advanced")
 MAX_LABELLED = 20_000
 FOLDS = 5
 
-_TOKEN = re.compile(r"[a-z0-9_-]*/[\w./-]*|\d+|[a-z]+(?:[-'’][a-z]+)*|[.!?\n:;,]+")
+_TOKEN = re.compile(r"[a-z0-9_-]*/[\w./-]*|\d+|[\u3040-\u30ff\u3400-\u9fff]|[^\W\d_\u3040-\u30ff\u3400-\u9fff]+(?:[-'’][^\W\d_\u3040-\u30ff\u3400-\u9fff]+)*|[.!?\n:;,。！？；，：]+")
 
 
 def tokens(text: str) -> list[str]:
-    """Lower-case words and marks of `text`; numbers and paths are one word each."""
+    """Lower-case words (of any script, a CJK character each) and marks of `text`; numbers and paths are one word each."""
     return ["#" if w[0].isdigit() and "/" not in w else "/" if "/" in w else w for w in _TOKEN.findall(text.lower())]
 
 
@@ -84,11 +84,26 @@ def train(docs: list[np.ndarray], grades: np.ndarray, vocabulary: dict[str, int]
     return GradedModel(vocabulary, every, pair_logs, uni_logs, back)
 
 
-def difficulty(logs: np.ndarray) -> float:
-    """The grade expected under the models' mean log-probabilities per word of a whole document."""
-    z = logs.mean(axis=0)
-    p = np.exp(z - z.max())
-    return float(p @ np.arange(logs.shape[1]) / p.sum())
+#: Quantiles of the surprisal of a document's words that are compared besides the mean.
+QUANTILES = (0.1, 0.25, 0.5, 0.75, 0.9, 0.95)
+
+
+def evidence(logs: np.ndarray) -> np.ndarray:
+    """The grade expected by the mean, and by each quantile, of the surprisal of a whole document's words under the models of the grades."""
+    z = np.vstack([logs.mean(axis=0), -np.quantile(-logs, QUANTILES, axis=0)])
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return (p @ np.arange(logs.shape[1])) / p.sum(axis=1)
+
+
+def mixture(x: np.ndarray, y: np.ndarray, rounds: int = 3000) -> np.ndarray:
+    """Non-negative weights that sum to one and with which the columns of `x`, after the best line, fit `y` with least squared error."""
+    a, b = x - x.mean(axis=0), y - y.mean()
+    gram, right = a.T @ a, a.T @ b
+    step = 1 / max(np.linalg.norm(gram, 2), 1e-12)
+    w = np.full(x.shape[1], 1.0 / x.shape[1])
+    for _ in range(rounds):
+        w = np.maximum(0.0, w - step * (gram @ w - right))
+    return w / w.sum() if w.sum() > 0 else np.eye(1, x.shape[1])[0]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,22 +120,23 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Levels:
-    """The models of the grades and the map from difficulty to grade."""
+    """The models of the grades, the mixture of what their surprisals say, and the map from difficulty to grade."""
 
     model: GradedModel
+    weights: np.ndarray
     at: np.ndarray
     grade: np.ndarray
 
-    def judge(self, text: str) -> tuple[float, float, float, float, str]:
-        """Difficulty, grade, mean and 90th percentile of the surprisal in bits, and band of a whole text."""
+    def judge(self, text: str) -> tuple[float, float, float, float, float, str]:
+        """Difficulty, grade, mean and 90th percentile of the surprisal in bits, share of words that the models know, and band of a whole text."""
         ids = self.model.ids(text)
         if len(ids) < 2:
-            return 0.0, 0.0, 0.0, 0.0, BANDS[0]
+            return 0.0, 0.0, 0.0, 0.0, 0.0, BANDS[0]
         logs = self.model.logs(ids)
-        d = difficulty(logs)
+        d = float(evidence(logs) @ self.weights)
         grade = float(np.interp(d, self.at, self.grade))
         bits = -logs.max(axis=1) / np.log(2)
-        return d, grade, float(bits.mean()), float(np.quantile(bits, 0.9)), BANDS[int(np.digitize(grade, [0.5, 1.5]))]
+        return d, grade, float(bits.mean()), float(np.quantile(bits, 0.9)), float((ids[1:] != 1).mean()), BANDS[int(np.digitize(grade, [0.5, 1.5]))]
 
 
 def fit(labelled: list[tuple[int, str, str]]) -> Levels:
@@ -137,15 +153,16 @@ def fit(labelled: list[tuple[int, str, str]]) -> Levels:
     vocabulary = {"<start>": 0, "<rare>": 1} | {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= least), 2)}
     docs = [np.array([0, *(vocabulary.get(w, 1) for w in ws)], dtype=np.int64) for ws in words_of]
     grades = np.array([BANDS.index(b) for _, _, b in labelled])
-    held = np.zeros(len(docs))
+    held = np.zeros((len(docs), 1 + len(QUANTILES)))
     folds = np.arange(len(docs)) % min(FOLDS, max(1, len(docs)))
     for f in np.unique(folds):
         rest = [i for i in range(len(docs)) if folds[i] != f] or list(range(len(docs)))
         model = train([docs[i] for i in rest], grades[rest], vocabulary)
         for i in np.flatnonzero(folds == f):
-            held[i] = difficulty(model.logs(docs[i])) if len(docs[i]) > 1 else 0.0
-    at, grade = isotonic(held, grades.astype(float))
-    return Levels(train(docs, grades, vocabulary), at, grade)
+            held[i] = evidence(model.logs(docs[i])) if len(docs[i]) > 1 else 0.0
+    weights = mixture(held, grades.astype(float))
+    at, grade = isotonic(held @ weights, grades.astype(float))
+    return Levels(train(docs, grades, vocabulary), weights, at, grade)
 
 
 def labelled_rows(documents: DataFrame, levels: DataFrame, most: int = MAX_LABELLED) -> list[tuple[int, str, str]]:
@@ -161,12 +178,12 @@ def word_count(text: str) -> int:
 
 
 def judged(documents: DataFrame, levels: DataFrame, least_words: int = 0) -> DataFrame:
-    """`doc_id`, `difficulty` (0 to 2), `grade`, `surprisal_mean`, `surprisal_p90` (bits) and `band` of every document of at least `least_words` words.
+    """`doc_id`, `difficulty` (0 to 2), `grade`, `surprisal_mean`, `surprisal_p90` (bits), `known` (share of words the models know) and `band` of every document of at least `least_words` words.
 
     Null texts have no row; an empty text is of the lowest grade; repeated rows are judged alike; an empty table gives an empty
     result, as do levels without a known band. Models are fitted on at most MAX_LABELLED labelled documents and broadcast.
     """
-    schema = "doc_id bigint, difficulty double, grade double, surprisal_mean double, surprisal_p90 double, band string"
+    schema = "doc_id bigint, difficulty double, grade double, surprisal_mean double, surprisal_p90 double, known double, band string"
     labelled = labelled_rows(documents, levels)
     spark = documents.sparkSession
     if not labelled:
@@ -178,10 +195,10 @@ def judged(documents: DataFrame, levels: DataFrame, least_words: int = 0) -> Dat
             rows = [
                 (i, *shared.value.judge(t)) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if word_count(t) >= least_words
             ]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            types = [pa.int64(), *[pa.float64()] * 4, pa.string()]
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            types = [pa.int64(), *[pa.float64()] * 5, pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "difficulty", "grade", "surprisal_mean", "surprisal_p90", "band"]
+                [pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "difficulty", "grade", "surprisal_mean", "surprisal_p90", "known", "band"]
             )
 
     own = documents.filter("text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
