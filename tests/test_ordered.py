@@ -29,3 +29,14 @@ def test_look_around_keeps_rows_without_neighbours(spark):
     near = ordered.look_around(steps.filter("v in ('q', 's')"), steps, "k", "pos", -1, 2, ["v"])
     assert {r["v"]: [(x["at"], x["v"]) for x in r["near"]] for r in near.collect()} == {"q": [(-1, "p"), (0, "q"), (2, "r")], "s": [(0, "s")]}
     assert ordered.look_around(steps.filter("v = 's'"), steps.filter("false"), "k", "pos", 1, 2, ["v"]).first()["near"] == []
+
+
+def test_lookup_join_splits_hot_keys(spark):
+    from tracewright.sources import lookup_join
+
+    rows = spark.createDataFrame([("hot", i) for i in range(50)] + [(f"k{i}", i) for i in range(20)] + [(None, 1), ("none", 2)], "k string, i int")
+    table = rows.filter("k is not null and k <> 'none'").groupBy("k").count()
+    want = {(r["k"], r["i"], r["count"]) for r in rows.join(table, "k", "left").collect()}
+    for most in (1000, 5):
+        got = lookup_join(rows, table, ["k"], "count", most).collect()
+        assert {(r["k"], r["i"], r["count"]) for r in got} == want and len(got) == rows.count()

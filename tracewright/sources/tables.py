@@ -63,3 +63,21 @@ def lookup(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """
     cut = cut_lineage(df)
     return F.broadcast(cut) if cut.count() <= most else cut
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, most: int = BROADCAST_ROWS) -> DataFrame:
+    """`rows` left-joined with `table` (unique in `keys`, of which `weight` counts the rows), whatever share of the rows one key holds.
+
+    A table of more than `most` rows is split: keys that hold more than a `most`-th of the weight are fewer than `most` and are broadcast,
+    the others are joined by shuffle, where none of them can be hot.
+    """
+    cut = cut_lineage(table)
+    size, total = cut.agg(F.count("*"), F.sum(weight)).first()
+    if size <= most:
+        return rows.join(F.broadcast(cut), keys, "left")
+    hot = F.col(weight) * most > total
+    marks = F.broadcast(cut.filter(hot).select(*keys, F.lit(True).alias("_hot")))
+    marked = rows.join(marks, keys, "left")
+    a = marked.filter("_hot").drop("_hot").join(F.broadcast(cut.filter(hot)), keys, "left")
+    b = marked.filter("_hot is null").drop("_hot").join(cut.filter(~hot), keys, "left")
+    return a.unionByName(b)
