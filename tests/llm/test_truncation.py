@@ -70,11 +70,34 @@ def test_censored_fit_recovers_the_law():
     lengths, counts = np.unique(x, return_counts=True)
     mu, sd = T.fit_censored(lengths, counts, 200)
     assert abs(mu - 5.0) < 0.05 and abs(sd - 0.6) < 0.05
-    assert T.find_limit(lengths.astype(int), counts)[0] == 200
+    assert T.find_limits(lengths.astype(int), counts, counts)[0][0] == 200
     free, n = np.unique(np.round(np.exp(rng.normal(4.0, 0.6, 5000))), return_counts=True)
-    assert T.find_limit(free.astype(int), n) is None
+    assert T.find_limits(free.astype(int), n, n) == []
 
 
 def test_edges(spark):
     assert judged(spark, []).count() == 0
     assert judged(spark, [("f", 1, None, "Hello there."), ("f", 1, None, "Hello there."), ("f", 2, "a", "x" * 400_000 + ".")]).count() == 3
+
+
+def test_a_limit_that_was_raised_and_a_very_short_one(spark):
+    rng = random.Random(4)
+    rows, cut = [], set()
+    for i in range(1500):
+        text = " ".join(sentence(rng) for _ in range(rng.randrange(1, 9)))
+        limit = 160 if i < 700 else 320
+        if i % 2 == 0 and len(text) > limit:
+            text, _ = text[:limit], cut.add(i)
+        rows.append(("f", i, "ab"[i % 2], text))
+    for i in range(1500, 1900):
+        text = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 30)))
+        rows.append(("g", i, "a", text[:12]))
+    found = {(r["field_name"], r["source"]): sorted(x["at"] for x in r["limits"]) for r in T.limits(T.describe(spark.createDataFrame(rows, "field_name string, row_id bigint, source string, text string"))).collect()}
+    assert found == {("f", "a"): [160, 320], ("g", "a"): [12]}
+    got = {r["row_id"] for r in T.cut_values(judged(spark, rows[:1500])).collect()}
+    assert len(got & cut) > 0.97 * len(cut) and len(got - cut) < 0.02 * len(cut)
+
+
+def test_repeated_texts_make_no_limit(spark):
+    rows = [("f", i, "a", "ok") for i in range(300)] + [("f", 300 + i, "a", "x") for i in range(10)]
+    assert T.limits(T.describe(spark.createDataFrame(rows, "field_name string, row_id bigint, source string, text string"))).count() == 0

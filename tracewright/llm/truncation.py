@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.pairs import EXTENSIONS, Stack
-from tracewright.sources import cut_lineage, lookup
+from tracewright.sources import cut_lineage, lookup, lookup_join
 
 # Marks that programs leave where they cut.
 _MARK = regex.compile(
@@ -145,61 +145,67 @@ def fit_censored(lengths: np.ndarray, counts: np.ndarray, limit: float, rounds:
     return mu, sd
 
 
-def find_limit(lengths: np.ndarray, counts: np.ndarray) -> tuple[int, float] | None:
-    """The limit that the lengths of one source run against, and the share of values there that are censored; or None.
+#: Counts that an unseen ending is thought to have, among whole and among cut values; sources and other texts that an open
+#: ending must recur in to be a whole one, else its count weighs little.
+_WHOLE, _CUT, _SOURCES, _TEXTS, _RARE = 0.001, 0.9, 3, 3, 0.002
+_RATE = 0.002
+# Endings that no whole text has, and endings whose form is closed.
+_OPEN = ("json open", "fence open", "path open")
+_CLOSED = ("stop", "stop space", "json", "fence", "markup", "signed")
+
+
+def find_limits(lengths: np.ndarray, counts: np.ndarray, opened: np.ndarray) -> list[tuple[int, float, int]]:
+    """(limit, share of values there that are censored, values there) of every limit that the lengths of one source run against.
 
-    A candidate holds at least four values, at least eight times the mean of the lengths just below it, and at least 98 % of all
-    lengths from there on.
+    `counts` are different texts per length, `opened` those of them that end in no closed form. A candidate stands out from the lengths just below
+    it: four texts and eight times their mean where nearly all lengths from there on are that one; eight texts, twelve times the mean on either side
+    and mostly open endings where longer values exist, as after a limit was raised.
     """
     order = np.argsort(lengths)
-    lengths, counts = lengths[order], counts[order]
+    lengths, counts, opened = lengths[order], counts[order], opened[order]
     above = counts[::-1].cumsum()[::-1]
-    best = None
+    before = np.concatenate([[0], counts.cumsum()])
+    found = []
     for k in range(len(lengths)):
         n, at = int(counts[k]), int(lengths[k])
-        if n < 4 or n < 0.98 * above[k] or at < 16:
+        last = n >= 4 and n >= 0.98 * above[k]
+        if not (last or (n >= 8 and opened[k] >= 0.6 * n)):
             continue
-        near = counts[(lengths < at) & (lengths >= at * 0.93 - 2)].sum() / max(1.0, at * 0.07 + 2)
-        if n < 8 * near:
+        near = (before[k] - before[np.searchsorted(lengths, at * 0.93 - 2)]) / max(1.0, at * 0.07 + 2)
+        beyond = (before[np.searchsorted(lengths, at * 1.07 + 2, side="right")] - before[k + 1]) / max(1.0, at * 0.07 + 2)
+        if n < (8 * near if last else 12 * max(near, beyond)):
             continue
         mu, sd = fit_censored(lengths.astype(float), counts, at)
-        cdf = lambda v: 0.5 * math.erfc(-(math.log(v) - mu) / sd / math.sqrt(2))  # noqa: B023,E731
+        cdf = lambda v: 0.5 * math.erfc(-(math.log(max(v, 0.5)) - mu) / sd / math.sqrt(2))  # noqa: B023,E731
         natural = counts.sum() * max(0.0, cdf(at + 0.5) - cdf(at - 0.5))
         posterior = 1 - min(1.0, max(natural, near, 0.02) / n)
-        if posterior > 0.5 and (best is None or n > best[2]):
-            best = (at, posterior, n)
-    return best and best[:2]
+        if posterior > 0.5:
+            found.append((at, posterior, n))
+    return found
 
 
 def limits(described: DataFrame) -> DataFrame:
-    """`field_name`, `source`, `unit` (chars, bytes), `limit`, `censored`: at most one limit per field and source.
+    """`field_name`, `source`, `limits`: all limits of a field and source, each with `unit` (chars, bytes), `at` and `censored`.
 
-    Works on counts per length, so that a source with any share of the values is one small table.
+    Works on counts of different texts per length, so that a source with any share of the values is one small table. A limit that shows in
+    both units is in the one that more texts keep to.
     """
-    both = described.select("field_name", "source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("n")))).alias("x"))
-    hist = both.groupBy("field_name", "source", F.col("x.unit").alias("unit"), F.col("x.n").alias("length")).agg(F.count("*").alias("count"))
+    texts = described.groupBy("field_name", "source", "digest").agg(F.first("chars").alias("chars"), F.first("bytes").alias("bytes"), F.max(~F.col("ending").isin(*_CLOSED)).alias("open"))
+    both = texts.select("field_name", "source", "open", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("n")))).alias("x"))
+    hist = both.groupBy("field_name", "source", F.col("x.unit").alias("unit"), F.col("x.n").alias("length")).agg(F.count("*").alias("count"), F.count_if("open").alias("opened"))
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
+        best: dict[int, tuple] = {}
         for unit in ("chars", "bytes"):
             own = frame[frame["unit"] == unit]
-            if (found := find_limit(own["length"].to_numpy(), own["count"].to_numpy())) is not None:
-                held = int(own[own["length"] == found[0]]["count"].iloc[0])
-                rows.append((frame["field_name"].iloc[0], frame["source"].iloc[0], unit, found[0], float(found[1]), held))
-        rows = sorted(rows, key=lambda r: (-r[5], r[2] != "chars"))[:1]
-        return pd.DataFrame(rows, columns=["field_name", "source", "unit", "limit", "censored", "held"])
+            for at, censored, held in find_limits(own["length"].to_numpy(), own["count"].to_numpy(), own["opened"].to_numpy()):
+                if at not in best or held > best[at][2]:
+                    best[at] = (unit, float(censored), held)
+        rows = [(frame["field_name"].iloc[0], frame["source"].iloc[0], unit, at, censored) for at, (unit, censored, _) in sorted(best.items())]
+        return pd.DataFrame(rows, columns=["field_name", "source", "unit", "at", "censored"])
 
-    schema = "field_name string, source string, unit string, limit bigint, censored double, held bigint"
-    return hist.groupBy("field_name", "source").applyInPandas(fit, schema).drop("held")
-
-
-#: Counts that an unseen ending is thought to have, among whole and among cut values; sources and other texts that an open
-#: ending must recur in to be a whole one, else its count weighs little.
-_WHOLE, _CUT, _SOURCES, _TEXTS, _RARE = 0.001, 0.9, 3, 3, 0.002
-_RATE = 0.002
-# Endings that no whole text has, and endings whose form is closed.
-_OPEN = ("json open", "fence open", "path open")
-_CLOSED = ("stop", "stop space", "json", "fence", "markup", "signed")
+    found = hist.groupBy("field_name", "source").applyInPandas(fit, "field_name string, source string, unit string, at bigint, censored double")
+    return found.groupBy("field_name", "source").agg(F.collect_list(F.struct("unit", "at", "censored")).alias("limits"))
 
 
 def judged(values: DataFrame) -> DataFrame:
@@ -211,16 +217,17 @@ def judged(values: DataFrame) -> DataFrame:
     """
     seen = cut_lineage(describe(values.withColumn("source", F.coalesce("source", F.lit("")))))
     found = lookup(limits(seen))
-    own = F.when(F.col("unit") == "chars", F.col("chars")).otherwise(F.col("bytes"))
-    at_limit = F.coalesce((own == F.col("limit")) | (F.col("marked") & (own <= F.col("limit")) & (own > F.col("limit") - 4)), F.lit(False))
+    length = lambda x: F.when(x["unit"] == "chars", F.col("chars")).otherwise(F.col("bytes"))
+    met = F.filter("limits", lambda x: (length(x) == x["at"]) | (F.col("marked") & (length(x) <= x["at"]) & (length(x) > x["at"] - 4)))
+    censored = F.array_max(F.transform(met, lambda x: x["censored"]))
     placed = seen.join(found, ["field_name", "source"], "left").select(
-        "field_name", "row_id", "source", "marked", "ending", "digest", at_limit.alias("at_limit"), F.coalesce("censored", F.lit(0.0)).alias("censored")
+        "field_name", "row_id", "source", "marked", "ending", "digest", censored.isNotNull().alias("at_limit"), F.coalesce(censored, F.lit(0.0)).alias("censored")
     )
-    placed = cut_lineage(placed)
-    once = cut_lineage(placed.groupBy("field_name", "source", "ending", "digest").agg(F.max("at_limit").alias("at_limit")))
+    once = cut_lineage(placed.groupBy("field_name", "source", "ending", "digest").agg(F.max("at_limit").alias("at_limit"), F.count("*").alias("rows")))
     at, open_end = F.col("at_limit"), F.col("ending").isin(*_OPEN)
     ends = once.groupBy("field_name", "ending").agg(
-        F.count_if(at).alias("cut_n"), F.count_if(~at).alias("whole_n"), F.count_distinct(F.when(~at, F.col("source"))).alias("sources")
+        F.count_if(at).alias("cut_n"), F.count_if(~at).alias("whole_n"), F.count_distinct(F.when(~at, F.col("source"))).alias("sources"),
+        F.sum("rows").alias("rows"),
     )
     fields = once.groupBy("field_name").agg(
         (F.count_if(at) + 1).alias("cut_all"), (F.count_if(~at) + 1).alias("whole_all"), F.count_if(at & open_end).alias("cut_open"), F.count_if(~at & open_end).alias("whole_open")
@@ -232,7 +239,7 @@ def judged(values: DataFrame) -> DataFrame:
     field_rate = (F.col("whole_open") + 0.5) / (share * F.col("whole_all") + 0.5 / _RATE)
     rate = F.least(F.lit(0.2), (F.col("own_open") + 1) / (share * F.col("own_all") + 1 / field_rate))
     rates = rates.join(fields, "field_name").select("field_name", "source", "cut_all", "whole_all", rate.alias("rate"), field_rate.alias("field_rate"))
-    scored = placed.join(lookup(rates), ["field_name", "source"]).join(lookup(ends.filter("cut_n + whole_n > 1")), ["field_name", "ending"], "left")
+    scored = lookup_join(placed.join(lookup(rates), ["field_name", "source"]), ends.filter("rows > 1"), ["field_name", "ending"], "rows")
     closed = F.col("ending").isin(*_CLOSED)
     cut_n = F.greatest(F.coalesce("cut_n", F.lit(0)) - F.when(at & ~closed, 1).otherwise(0), F.lit(0))
     others = F.greatest(F.coalesce("whole_n", F.lit(0)) - F.when(~at & ~closed, 1).otherwise(0), F.lit(0))
