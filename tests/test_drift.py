@@ -1,5 +1,7 @@
 import json
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from tracewright.operators import schema_drift as S
@@ -47,7 +49,7 @@ def test_very_long_values_and_keys(spark):
 
 
 def test_flooding_settles_and_prefers_the_right_pair():
-    key = lambda name, sketch, kinds=("string",): {"path": name, "level": "", "name": name, "kinds": list(kinds), "sketch": sketch, "nested": set()}
+    key = lambda name, sketch, kinds=("string",): {"path": name, "level": "", "name": name, "kinds": list(kinds), "sketch": np.array([sketch.get(str(i), 0) for i in range(S.WIDTH + 2)]), "nested": set()}
     old = [key("created_at", {"1": 9, "2": 9}), key("agent", {"5": 4})]
     new = [key("started", {"1": 8, "2": 9}), key("createdBy", {"7": 3})]
     score, seed = S.flood(old, new)
@@ -55,12 +57,33 @@ def test_flooding_settles_and_prefers_the_right_pair():
     assert S.changes_between(old, new)[0] == ("created_at", "renamed", "started")
 
 
-def test_unified_table_speaks_one_language(spark):
+def test_unified_table_is_typed_and_loses_nothing(spark):
+    a = [{"session_id": f"s{i}", "outcome": "success", "cost": 4, "Cost": "x", "rest": 1, "trajectory": steps()} for i in range(3)]
+    b = [{"session_id": f"t{i}", "final_status": "success", "cost": ["much", "5", 5][i], "step_log": json.dumps(steps("kind"))} for i in range(3)]
+    df = S.unified(lines(spark, {("f", 1): a, ("f", 2): b}))
+    rows = {r["record_no"]: r for r in df.collect()}
+    types = dict(df.dtypes)
+    assert len(rows) == 6 and types["cost"] == "double" and types["final_status"] == "string" and "outcome" not in types and {"Cost_2", "rest_2"} <= set(types)
+    assert [rows[i]["final_status"] for i in range(1, 7)] == ["success"] * 6 and [rows[i]["cost"] for i in range(1, 7)] == [4.0, 4.0, 4.0, None, 5.0, 5.0]
+    assert rows[4]["rest"] == {"cost": "much"} and rows[1]["rest"] == {} and rows[1]["Cost_2"] == "x"
+    assert [[s["kind"] for s in rows[i]["steps"]] for i in (1, 6)] == [["reasoning"] * 3] * 2 and rows[6]["steps"][2]["step_id"] == 2.0
+    few = {r["record_no"]: r for r in S.unified(lines(spark, {("f", 1): a, ("f", 2): b}), most=2).collect()}
+    assert few[1]["rest"]["session_id"] == "s0" and few[4]["rest"]["cost"] == "much" and few[2]["rest"]["step.2.step_id"] == "1"
+    assert S.unified(lines(spark, {("f", 1): a}).filter("false")).count() == 0
+
+
+def test_a_rename_in_one_feed_leaves_the_others_alone(spark):
     a = [{"session_id": f"s{i}", "outcome": "success", "trajectory": steps()} for i in range(3)]
-    b = [{"session_id": f"t{i}", "final_status": "success", "step_log": json.dumps(steps("kind"))} for i in range(3)]
-    rows = S.unified(lines(spark, {("f", 1): a, ("f", 2): b})).orderBy("record_no").collect()
-    assert {frozenset(r["fields"]) for r in rows} == {frozenset(rows[0]["fields"])} and len(rows) == 6
-    assert {frozenset(r["steps"][0]) for r in rows} == {frozenset(rows[0]["steps"][0])}
+    b = [{"session_id": f"s{i}", "final_status": "success", "trajectory": steps()} for i in range(3)]
+    c = [{"session_id": f"s{i}", "final_status": f"state {i}", "outcome": "success", "trajectory": steps()} for i in range(3)]
+    rows = [r.asDict() for r in S.unified(lines(spark, {("f", 0): a, ("f", 1): a, ("f", 2): b, ("g", 1): c})).collect()]
+    assert all(r["outcome"] == "success" for r in rows) and [r["final_status"] for r in rows if r["feed"] == "g"] == ["state 0", "state 1", "state 2"]
+
+
+def test_a_rename_may_change_the_type(spark):
+    a = [{"session_id": f"s{i}", "latency_ms": 100 + i, "trajectory": steps()} for i in range(4)]
+    b = [{"session_id": f"s{i}", "latencyMs": str(100 + i), "trajectory": steps()} for i in range(4)]
+    assert changes(spark, {("f", 1): a, ("f", 2): b}) == {("f", 2, "latency_ms", "renamed", "latencyMs")}
 
 
 def test_whole_table_against_plain_rules(spark, data):

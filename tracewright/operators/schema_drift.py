@@ -22,11 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from tracewright.sources.tables import cut_lineage
 
 #: Width of the sketch of a key's values; beyond it stand the counts of its texts and of those that are prose.
 WIDTH = 256
-TEXTS, PROSE = str(WIDTH), str(WIDTH + 1)
+TEXTS, PROSE = WIDTH, WIDTH + 1
 STEP = "step."
+#: What the nested keys of a key that holds steps name besides.
+HOLDS_STEPS = "\0steps"
 
 
 @dataclass(frozen=True)
@@ -37,6 +43,7 @@ class Weights:
     value: float = 0.6
     prose: float = 0.9
     evidence: float = 0.4
+    other_type: float = 0.8
     rounds: int = 60
     settled: float = 1e-3
 
@@ -92,6 +99,7 @@ def steps_of(record: dict) -> tuple[str | None, list[dict]]:
 
 
 _WORD = re.compile(r"[^\W\d_]+|\d+")
+_NUMBER = re.compile(r"-?\d{1,18}(?:\.\d{1,18})?", re.ASCII)
 _LONG = re.compile(r"(?:[\u3400-\u9fff].*){8}|(?:[^\W\d_]{2,}\W+(?=\w)){4}", re.DOTALL)
 
 
@@ -102,6 +110,9 @@ def _features(v, out: list[str], depth: int = 3) -> None:
     elif isinstance(v, (int, float)):
         out.append(f"n{int(math.log2(abs(v) + 1)) if math.isfinite(v) else 'x'}")
     elif isinstance(v, str):
+        if _NUMBER.fullmatch(v):
+            # A number says the same where it is written as text.
+            out.append(f"n{int(math.log2(abs(float(v)) + 1))}")
         words = _WORD.findall(v.lower())
         out += [w if not w.isdigit() else f"d{len(w)}" for w in words]
         out.append(f"w{int(math.log2(len(words) + 1))}")
@@ -125,10 +136,21 @@ def parse_record(text: str | None) -> dict | None:
     return v if isinstance(v, dict) else None
 
 
+#: Keys whose partial profiles a task holds before it sends them on.
+HELD = 20_000
+_PARTIAL = "feed string, file_no bigint, field_path string, records bigint, kinds map<string,bigint>, sketch array<bigint>, nested array<string>"
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial profiles: per feed, file and key the readable records, the types and the sketch counts of one batch."""
+    """Partial profiles: per feed, file and key one row with the readable records, the types, the sketch and the nested keys of a task's lines."""
+    seen: dict[tuple, list] = {}
+
+    def rows() -> pa.RecordBatch:
+        cols = [[k[i] for k in seen] for i in range(3)] + [[own[0] for own in seen.values()], [list(own[1].items()) for own in seen.values()], [own[2].tolist() for own in seen.values()], [sorted(own[3]) for own in seen.values()]]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.map_(pa.string(), pa.int64()), pa.list_(pa.int64()), pa.list_(pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["feed", "file_no", "field_path", "records", "kinds", "sketch", "nested"])
+
     for batch in batches:
-        seen: dict[tuple, list] = {}
         feeds, files, texts = (batch.column(i).to_pylist() for i in range(3))
         for feed, file_no, text in zip(feeds, files, texts, strict=True):
             record = parse_record(text)
@@ -137,7 +159,9 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             step_key, steps = steps_of(record)
             pairs = [(k, v) for k, v in record.items()] + [(STEP + k, v) for s in steps for k, v in s.items()]
             for path, v in pairs:
-                own = seen.setdefault((feed, file_no, path), [0, Counter(), Counter(), Counter()])
+                own = seen.get((feed, file_no, path))
+                if own is None:
+                    own = seen[feed, file_no, path] = [0, Counter(), np.zeros(WIDTH + 2, np.int64), set()]
                 own[0] += 1
                 kind = kind_of(v)
                 if kind is None:
@@ -147,49 +171,43 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 v = _unwrapped(v)
                 if path == step_key:
                     words = [f"k{k}" for s in steps for k in s]
+                    own[3].add(HOLDS_STEPS)
                 else:
                     _features(v, words)
-                texts = [x for x in (v if isinstance(v, list) else v.values() if isinstance(v, dict) else [v]) if isinstance(x, str)]
-                own[2][WIDTH] += len(texts)
-                own[2][WIDTH + 1] += sum(1 for x in texts if _LONG.search(x))
+                said = [x for x in (v if isinstance(v, list) else v.values() if isinstance(v, dict) else [v]) if isinstance(x, str)]
+                sketch = own[2]
+                sketch[TEXTS] += len(said)
+                sketch[PROSE] += sum(1 for x in said if _LONG.search(x))
                 for w in words:
-                    own[2][zlib.crc32(w.encode("utf-8", "surrogatepass")) % WIDTH] += 1
+                    sketch[zlib.crc32(w.encode("utf-8", "surrogatepass")) % WIDTH] += 1
                 if isinstance(v, dict):
                     own[3].update(v.keys())
-        rows = [(f, n, p, c, kind, a) for (f, n, p), own in seen.items() for c, at in enumerate(own) if c for kind, a in at.items()]
-        rows += [(f, n, p, 0, "", own[0]) for (f, n, p), own in seen.items()]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "feed": pa.array([r[0] for r in rows], pa.string()),
-                "file_no": pa.array([r[1] for r in rows], pa.int64()),
-                "field_path": pa.array([r[2] for r in rows], pa.string()),
-                "what": pa.array([r[3] for r in rows], pa.int32()),
-                "item": pa.array([str(r[4]) for r in rows], pa.string()),
-                "n": pa.array([r[5] for r in rows], pa.int64()),
-            }
-        )
+        if len(seen) >= HELD:
+            yield rows()
+            seen.clear()
+    if seen:
+        yield rows()
 
 
 def profiles(lines: DataFrame) -> DataFrame:
-    """One row per (feed, file, key): `records`, `kinds` (sorted), `sketch` and `nested` as maps to counts.
+    """One row per (feed, file, key): `records`, `kinds` (types and their counts), `sketch` (counts per bucket, then of texts and of prose) and `nested` keys.
 
-    Each reader task sends partial counts, so a file or feed of any size is reduced before the shuffle.
+    Each reader task sends one packed row per key, so a file or feed of any size is reduced before the shuffle, and a key's rows
+    are as many as the tasks that met it.
     """
     rows = lines.filter("record is not null and feed is not null and file_no is not null").select(
         "feed", F.col("file_no").cast("bigint").alias("file_no"), "record"
     )
-    partial = rows.mapInArrow(_profile, "feed string, file_no bigint, field_path string, what int, item string, n bigint")
-    items = partial.groupBy("feed", "file_no", "field_path", "what", "item").agg(F.sum("n").alias("n"))
-
-    def counts(what: int) -> F.Column:
-        return F.map_from_entries(F.collect_list(F.when(F.col("what") == what, F.struct("item", "n"))))
-
-    return items.groupBy("feed", "file_no", "field_path").agg(
-        F.max(F.when(F.col("what") == 0, F.col("n"))).alias("records"),
-        F.array_sort(F.map_keys(counts(1))).alias("kinds"),
-        counts(2).alias("sketch"),
-        counts(3).alias("nested"),
+    partial = rows.mapInArrow(_profile, _PARTIAL)
+    added = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    zeros = F.array_repeat(F.lit(0).cast("bigint"), WIDTH + 2)
+    kinds = F.flatten(F.collect_list(F.map_entries("kinds")))
+    per = partial.groupBy("feed", "file_no", "field_path").agg(
+        F.sum("records").alias("records"), kinds.alias("k"), F.aggregate(F.collect_list("sketch"), zeros, added).alias("sketch"), F.array_distinct(F.flatten(F.collect_list("nested"))).alias("nested")
     )
+    count = lambda kind: F.aggregate(F.filter("k", lambda e: e["key"] == kind), F.lit(0).cast("bigint"), lambda s, e: s + e["value"])
+    counts = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(F.transform("k", lambda e: e["key"]))), lambda k: F.struct(k.alias("key"), count(k).alias("value"))))
+    return per.select("feed", "file_no", "field_path", "records", counts.alias("kinds"), "sketch", "nested")
 
 
 def name_similarity(a: str, b: str) -> float:
@@ -204,32 +222,37 @@ def name_similarity(a: str, b: str) -> float:
     return max(2 * both / max(1, sum(grams[0].values()) + sum(grams[1].values())), 0.8 * words)
 
 
-def _cosine(a: dict, b: dict) -> float:
+def _cosine(a: np.ndarray, b: np.ndarray) -> float:
     """Cosine of two sketches, counts damped by their square root."""
-    if not a or not b:
+    if not len(a) or not len(b):
         return 0.0
-    a, b = ({k: n for k, n in x.items() if k not in (TEXTS, PROSE)} for x in (a, b))
-    dot = sum(math.sqrt(n * b[k]) for k, n in a.items() if k in b)
-    return dot / math.sqrt(max(1, sum(a.values())) * max(1, sum(b.values())))
+    a, b = a[:WIDTH], b[:WIDTH]
+    return float(np.sqrt(a * b).sum() / math.sqrt(max(1, a.sum()) * max(1, b.sum())))
 
 
-def value_similarity(a: dict, b: dict, w: Weights) -> float:
+def value_similarity(a: np.ndarray, b: np.ndarray, w: Weights) -> float:
     """How alike the values of two keys are: shared words, or that both hold prose, whose words differ by nature."""
-    share = [x.get(PROSE, 0) / max(1, x.get(TEXTS, 0)) for x in (a, b)]
+    share = [x[PROSE] / max(1, x[TEXTS]) if len(x) else 0.0 for x in (a, b)]
     return max(_cosine(a, b), w.prose * math.sqrt(share[0] * share[1]))
 
 
 def flood(old: list[dict], new: list[dict], w: Weights = Weights()) -> tuple[np.ndarray, np.ndarray]:
     """Settled similarity of every old with every new key, and the seeds; keys of other levels stay at 0.
 
-    The graph's nodes are pairs: of keys, of types, of nested keys and of the two levels. A pair hands its score to
-    its neighbours in equal parts, in both directions; scores are scaled by the largest after each round.
+    The graph's nodes are pairs: of keys, of types, of nested keys and of the two levels. Keys that both files have are part of it: as pairs
+    of a key with itself they start from the highest seed and hand score to the types and nested keys that others share. A pair hands its score to
+    its neighbours in equal parts, in both directions; scores are scaled by the largest after each round. Unequal types lower a seed.
     """
     seed = np.zeros((len(old), len(new)))
+    both = {x["path"] for x in old} & {x["path"] for x in new}
     for i, a in enumerate(old):
         for j, b in enumerate(new):
-            if a["level"] == b["level"]:
+            if a["path"] == b["path"]:
+                seed[i, j] = 1.0
+            elif a["level"] == b["level"] and a["path"] not in both and b["path"] not in both:
                 seed[i, j] = w.name * name_similarity(a["name"], b["name"]) + w.value * value_similarity(a["sketch"], b["sketch"], w)
+                if a["kinds"] and b["kinds"] and a["kinds"] != b["kinds"]:
+                    seed[i, j] *= w.other_type
     nodes: dict[tuple, int] = {}
     base: list[float] = []
 
@@ -242,7 +265,7 @@ def flood(old: list[dict], new: list[dict], w: Weights = Weights()) -> tuple[np.
     links: list[tuple[int, int, str]] = []
     for i, a in enumerate(old):
         for j, b in enumerate(new):
-            if a["level"] != b["level"]:
+            if seed[i, j] <= 0:
                 continue
             here = node(("key", i, j), seed[i, j])
             links.append((node(("level", a["level"]), 1.0), here, "has"))
@@ -279,18 +302,17 @@ def changes_between(old: list[dict], new: list[dict], w: Weights = Weights()) ->
     out = [
         (p, "type_changed", "") for p in before if p in after and before[p]["kinds"] and after[p]["kinds"] and before[p]["kinds"] != after[p]["kinds"]
     ]
-    gone, come = [x for x in old if x["path"] not in after], [x for x in new if x["path"] not in before]
+    gone, come = [i for i, x in enumerate(old) if x["path"] not in after], [j for j, x in enumerate(new) if x["path"] not in before]
     if gone and come:
-        score, seed = flood(gone, come, w)
-        pairs = sorted(((score[i, j], i, j) for i in range(len(gone)) for j in range(len(come)) if score[i, j] > 0), key=lambda t: (-t[0], t[1], t[2]))
-        left, right = set(range(len(gone))), set(range(len(come)))
-        for _, i, j in pairs:
-            fits = not gone[i]["kinds"] or not come[j]["kinds"] or gone[i]["kinds"] == come[j]["kinds"]
-            if i in left and j in right and fits and seed[i, j] >= w.evidence:
+        score, seed = flood(old, new, w)
+        left, right = set(gone), set(come)
+        for _, i, j in sorted((-score[i, j], i, j) for i in gone for j in come if seed[i, j] >= w.evidence):
+            if i in left and j in right:
                 left.discard(i)
                 right.discard(j)
-                out.append((gone[i]["path"], "renamed", come[j]["path"]))
-        gone, come = [gone[i] for i in sorted(left)], [come[j] for j in sorted(right)]
+                out.append((old[i]["path"], "renamed", new[j]["path"]))
+        gone, come = sorted(left), sorted(right)
+    gone, come = [old[i] for i in gone], [new[j] for j in come]
     out += [(x["path"], "removed", "") for x in gone] + [(x["path"], "added", "") for x in come]
     return out
 
@@ -300,20 +322,20 @@ def _as_keys(rows: list) -> list[dict]:
     for r in rows:
         path = r["field_path"]
         level, name = (STEP, path[len(STEP) :]) if path.startswith(STEP) else ("", path)
-        out.append({"path": path, "level": level, "name": name, "kinds": list(r["kinds"]), "sketch": dict(r["sketch"]), "nested": set(dict(r["nested"]))})
+        out.append({"path": path, "level": level, "name": name, "kinds": sorted(dict(r["kinds"])), "sketch": np.asarray(r["sketch"]), "nested": set(r["nested"])})
     return sorted(out, key=lambda x: x["path"])
 
 
-def drift(lines: DataFrame, weights: Weights = Weights()) -> DataFrame:
+def drift(lines: DataFrame, weights: Weights = Weights(), found: DataFrame | None = None) -> DataFrame:
     """`feed`, `file_no`, `field_path`, `change_kind`, `new_path`: each change of a file against the one before of its feed.
 
     `lines` has `feed`, `file_no` and `record` (a JSON line); unreadable lines, lines that hold no object and rows without
     feed or file number are passed over, repeated lines change nothing, and other columns play no part. A file without a
     readable record has no keys. An empty table gives an empty result. A change of type needs non-null values on
     both sides; a key whose values are all null has no type. Profiles hold one row per file and key, so the matching of
-    two files never sees more than their keys.
+    two files never sees more than their keys. `found` may give the profiles, where the caller has them.
     """
-    found = profiles(lines)
+    found = profiles(lines) if found is None else found
     files = lines.filter("feed is not null and file_no is not null").select("feed", F.col("file_no").cast("bigint").alias("file_no")).distinct()
     after = files.withColumn("next_no", F.lead("file_no").over(W.partitionBy("feed").orderBy("file_no"))).filter("next_no is not null")
     keys = found.groupBy("feed", "file_no").agg(F.collect_list(F.struct("field_path", "kinds", "sketch", "nested")).alias("keys"))
@@ -336,52 +358,138 @@ def drift(lines: DataFrame, weights: Weights = Weights()) -> DataFrame:
     return pairs.mapInPandas(run, "feed string, file_no bigint, field_path string, change_kind string, new_path string")
 
 
-def canonical_names(changes: DataFrame, found: DataFrame) -> dict[str, str]:
-    """The one name for every key that a rename ever linked: of linked names the one that most files use.
+def canonical_names(changes: DataFrame, found: DataFrame) -> dict[tuple[str, str], str]:
+    """For each (feed, key) that goes under another name in the table, that name: of all keys that renames link, the one that most files use.
 
-    Only distinct names come to the driver, as many as the feeds' writers have ever chosen.
+    A link that one feed shows holds for the others as well, unless one of their files has both keys at once: there they are different things
+    and keep their names. Only keys that take part in a rename, and the sets of them that files have, come to the driver.
     """
-    links = changes.filter("change_kind = 'renamed'").select("field_path", "new_path").distinct().collect()
-    files = {r["field_path"]: r["n"] for r in found.groupBy("field_path").agg(F.count("*").alias("n")).collect()}
-    root = {p: p for p in files}
-
-    def top(x: str) -> str:
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for r in links:
-        a, b = top(r["field_path"]), top(r["new_path"])
-        if a != b:
-            a, b = sorted((a, b), key=lambda x: (-files[x], x))
-            root[b] = a
-    return {p: top(p) for p in files}
+    links = [tuple(r) for r in changes.filter("change_kind = 'renamed'").select("feed", "field_path", "new_path").distinct().collect()]
+    if not links:
+        return {}
+    linked = changes.sparkSession.createDataFrame(sorted({(p,) for _, a, b in links for p in (a, b)}), "field_path string")
+    sets = found.join(F.broadcast(linked), "field_path").groupBy("feed", "file_no").agg(F.array_sort(F.collect_set("field_path")).alias("keys"))
+    files: Counter = Counter()
+    together: dict[str, set[frozenset[str]]] = {}
+    for feed, keys, n in (tuple(r) for r in sets.groupBy("feed", "keys").agg(F.count("*").alias("n")).collect()):
+        together.setdefault(feed, set()).add(frozenset(keys))
+        for k in keys:
+            files[k] += n
+
+    def joined(pairs: list[tuple[str, str]], groups: dict[str, frozenset[str]], allowed) -> dict[str, frozenset[str]]:
+        for a, b in pairs:
+            one = groups.setdefault(a, frozenset([a])) | groups.setdefault(b, frozenset([b]))
+            if allowed(one):
+                groups |= dict.fromkeys(one, one)
+        return groups
+
+    every = sorted({(a, b) for _, a, b in links}, key=lambda p: (-files[p[0]] - files[p[1]], p))
+    out = {}
+    for feed, sets_of in together.items():
+        apart = lambda one, sets_of=sets_of: all(len(one & keys) < 2 for keys in sets_of)
+        groups = joined([(a, b) for f, a, b in sorted(links) if f == feed], {}, lambda one: True)
+        groups = joined(every, groups, apart)
+        out |= {(feed, k): min(g, key=lambda x: (-files[x], x)) for k, g in groups.items()}
+    return {k: name for k, name in out.items() if k[1] != name}
+
+
+#: Keys that become columns of the unified table at most, those that most records hold; others stay in `rest`.
+COLUMNS = 200
+_TYPES = {"string": "string", "number": "double", "boolean": "boolean", "array": "string", "object": "string"}
+
+
+def column_types(found: DataFrame, names: dict[tuple[str, str], str], most: int = COLUMNS) -> dict[str, str]:
+    """The type that most values have, for the canonical keys (`step.` before those of steps) that most records hold."""
+    spark = found.sparkSession
+    renamed = spark.createDataFrame([(f, p, n) for (f, p), n in names.items()] or [("", "", "")], "feed string, field_path string, name string")
+    named = found.join(F.broadcast(renamed), ["feed", "field_path"], "left").withColumn("name", F.coalesce("name", "field_path"))
+    per = named.filter(~F.array_contains("nested", HOLDS_STEPS)).select("name", "records", F.explode("kinds").alias("kind", "n")).groupBy("name", "kind").agg(F.sum("n").alias("n"), F.sum("records").alias("records"))
+    best = per.groupBy("name").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(most)
+    return {r["name"]: r["kind"] for r in best.collect()}
+
+
+def _cast(v, kind: str):
+    """`v` as a value of `kind`, None where it cannot be one."""
+    if kind == "string":
+        return v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+    if kind == "boolean":
+        return v if isinstance(v, bool) else {"true": True, "false": False}.get(str(v).strip().lower())
+    if kind == "number":
+        try:
+            return float(v) if not isinstance(v, (bool, list, dict)) and math.isfinite(float(v)) else None
+        except (TypeError, ValueError, OverflowError):
+            return None
+    inner = _unwrapped(v)
+    return json.dumps(inner, ensure_ascii=False) if kind_of(inner) == kind else None
 
 
-def unified(lines: DataFrame, weights: Weights = Weights()) -> DataFrame:
-    """Every readable record under the same names: `record_no`, `feed`, `file_no`, `line_no`, `fields`, `steps`.
+def unified(lines: DataFrame, weights: Weights = Weights(), most: int = COLUMNS) -> DataFrame:
+    """Every readable record in one typed table: `record_no`, `feed`, `file_no`, `line_no`, a column per canonical session key, `steps` and `rest`.
 
-    `fields` maps canonical session keys to texts (JSON text for arrays and objects), `steps` holds the same of each step.
-    Of rows that repeat a line (feed, file, line) all are kept, with their own `record_no`.
+    A column has the type that most values of its key have, over all files: text, number (double), boolean, or JSON text of arrays and objects.
+    `steps` is an array of structs of the steps' keys, typed alike, wherever and however the steps are stored. A value that cannot be cast, and keys beyond
+    `most` and keys that hold the steps of other records, are kept as text in `rest` (`step.<number>.` before keys of steps), so nothing is lost. Of rows that repeat a line (feed, file,
+    line) all are kept, with their own `record_no`. Of keys that differ only in case the rarer ones are numbered. Profiles are taken once, from the same lines.
     """
-    names = canonical_names(drift(lines, weights), profiles(lines))
-    schema = "record_no bigint, feed string, file_no bigint, line_no bigint, fields map<string,string>, steps array<map<string,string>>"
+    found = cut_lineage(profiles(lines))
+    names = canonical_names(drift(lines, weights, found), found)
+    kinds = column_types(found, names, most)
+    fixed = {"record_no", "feed", "file_no", "line_no", "steps", "rest"}
+
+    def columns(keys: list[str], taken: set[str]) -> dict[str, str]:
+        out: dict[str, str] = {}
+        for k in keys:
+            name, at = k, 1
+            while name.lower() in taken:
+                at, name = at + 1, f"{k}_{at + 1}"
+            taken.add(name.lower())
+            out[k] = name
+        return out
+
+    own = columns([k for k in kinds if not k.startswith(STEP)], set(fixed))
+    inner = columns([k[len(STEP) :] for k in kinds if k.startswith(STEP)], set())
+    quoted = lambda n: "`" + n.replace("`", "``") + "`"
+    step_type = ", ".join(f"{quoted(n)}: {_TYPES[kinds[STEP + k]]}" for k, n in inner.items())
+    ddl = ["record_no bigint", "feed string", "file_no bigint", "line_no bigint", *[f"{quoted(n)} {_TYPES[kinds[k]]}" for k, n in own.items()]]
+    ddl += [f"steps array<struct<{step_type}>>"] if inner else []
+    schema = ", ".join([*ddl, "rest map<string,string>"])
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def text(v) -> str | None:
         return v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for no, feed, file_no, line_no, line in frame.itertuples(index=False):
+            for no, feed, file_no, line_no, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 record = parse_record(line)
                 if record is None:
                     continue
                 key, steps = steps_of(record)
-                fields = {names.get(k, k): text(v) for k, v in record.items() if k != key}
-                own = [{names.get(STEP + k, STEP + k)[len(STEP) :]: text(v) for k, v in s.items()} for s in steps]
-                rows.append((no, feed, file_no, line_no, fields, own))
-            yield pd.DataFrame(rows, columns=["record_no", "feed", "file_no", "line_no", "fields", "steps"])
+                row: dict = {"record_no": no, "feed": feed, "file_no": file_no, "line_no": line_no}
+                rest: dict[str, str] = {}
+
+                def put(target: dict, mapping: dict, level: str, k: str, v, where: str, feed=feed, rest=rest) -> None:
+                    name = names.get((feed, level + k), level + k)[len(level) :]
+                    value = None if v is None or name not in mapping else _cast(v, kinds[level + name])
+                    if value is not None and target.get(mapping[name]) is None:
+                        target[mapping[name]] = value
+                    elif v is not None:
+                        rest[where + name if where + name not in rest else where + k] = text(v)
+
+                for k, v in record.items():
+                    if k != key:
+                        put(row, own, "", k, v, "")
+                if inner:
+                    row["steps"] = []
+                    for at, s in enumerate(steps, 1):
+                        step: dict = {}
+                        for k, v in s.items():
+                            put(step, inner, STEP, k, v, f"{STEP}{at}.")
+                        row["steps"].append(step)
+                row["rest"] = list(rest.items())
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(rows, arrow)
 
     cols = [F.col(c).cast("bigint").alias(c) if c != "feed" else F.col(c) for c in ("record_no", "feed", "file_no", "line_no")]
-    return lines.filter("record is not null").select(*cols, "record").mapInPandas(run, schema)
+    return lines.filter("record is not null").select(*cols, "record").mapInArrow(run, schema)
