@@ -84,3 +84,38 @@ def test_hot_copies_and_very_long_texts(spark):
     rows += [(100, "train", None, long), (101, "dev", None, long + " and more")]
     got = found(spark, rows)[1]
     assert len(got) == 30 * 30 + 1 and (100, 101) in got
+
+
+def test_suffixes_are_sorted_and_spans_are_common_prefixes(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    texts = []
+    for i in range(30):
+        base = rng.sample(range(10_000, 10_023), 20)
+        texts.append((sorted((x * 7919) << 20 for x in base), i % 2 == 0))
+    rows = [({"a": i, "b": i}, t, h, not h) for i, (t, h) in enumerate(texts)]
+    classes = spark.createDataFrame(rows, "cls struct<a:bigint,b:bigint>, tokens array<bigint>, held boolean, train boolean")
+    array = O.suffix_array(classes, np.zeros(O.BUCKETS, np.int64))
+    parts = array.withColumn("part", F.spark_partition_id()).select("part", "key", "more").collect()
+    for p in {r["part"] for r in parts}:
+        own = [(r["key"], r["more"]) for r in parts if r["part"] == p]
+        assert own == sorted(own)
+    got = {(r["ca"]["a"], r["cb"]["a"]): {(s["at"], s["till"]) for s in r["spans"]} for r in O.shared_spans(array).collect()}
+    want = {}
+    for i, (a, held) in enumerate(texts):
+        for j, (b, other) in enumerate(texts):
+            if held and not other and len(set(a) & set(b)) >= 16:
+                k = O.prefix_length(20) - 1
+                for x in range(k):
+                    for y in range(k):
+                        n = next((n for n in range(21) if x + n >= 20 or y + n >= 20 or a[x + n] != b[y + n]), 20)
+                        if n >= 2 and min(x, y) + min(20 - x, 20 - y) >= 16:
+                            want.setdefault((i, j), set()).add((x, x + min(n, O.DEPTH + 2)))
+    assert want and all(got[p] == s for p, s in want.items())
+
+
+def test_spans_are_merged(spark):
+    df = spark.createDataFrame([([(0, 4), (2, 6), (9, 11)],), ([],), ([(0, 8), (1, 3), (8, 9)],)], "s array<struct<at:int,till:int>>")
+    assert [r[0] for r in df.select(O.span_words("s")).collect()] == [8, 0, 9]
