@@ -82,3 +82,42 @@ def test_table(spark):
     got = sorted(tuple(r) for r in P.defective_sides(df).collect())
     assert got == [(1, "chosen", "empty"), (1, "chosen", "empty"), (2, "chosen", "truncated"), (3, "rejected", "empty"), (4, "rejected", "empty")]
     assert P.defective_sides(df.filter("false")).count() == 0
+
+
+def test_tiling_of_repetitive_texts():
+    import random
+    import time
+
+    def plain(a, b, least):
+        runs = []
+        for i in range(len(a)):
+            for j in range(len(b)):
+                if not (i and j and a[i - 1] == b[j - 1]):
+                    k = 0
+                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                        k += 1
+                    if k >= least:
+                        runs.append((k, i, j))
+        ua, ub, n = set(), set(), 0
+        for k, i, j in sorted(runs, key=lambda r: (-r[0], r[1], r[2])):
+            start = 0
+            while start < k:
+                if i + start in ua or j + start in ub:
+                    start += 1
+                    continue
+                stop = start
+                while stop < k and i + stop not in ua and j + stop not in ub:
+                    stop += 1
+                if stop - start >= least:
+                    ua |= set(range(i + start, i + stop))
+                    ub |= set(range(j + start, j + stop))
+                    n += stop - start
+                start = stop
+        return n
+
+    rng = random.Random(2)
+    for _ in range(200):
+        a, b = ([rng.choice("ab") for _ in range(rng.randrange(0, 60))] for _ in range(2))
+        assert P.tiles(a, b, 2) == plain(a, b, 2) and P.tiles(a, b) == plain(a, b, 3)
+    at = time.time()
+    assert P.tiles(["the"] * 20_000, ["the"] * 20_000) == 20_000 and time.time() - at < 5

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -131,25 +132,44 @@ def refusal(text: str) -> bool:
     return any(REFUSALS.search(s) and not DONE_ANYWAY.search(s) for s in _SENTENCE.findall(body))
 
 
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
+
+
 def tiles(a: list[str], b: list[str], least: int = 3) -> int:
     """Words of `a` covered by greedy string tiling with `b`: the longest free common run again and again, at least `least` long.
 
-    Runs are found by extending equal openings of `least` words, longest first; each word belongs to one tile at most.
+    Runs are found by extending equal openings of `least` words, longest first; each word belongs to one tile at most. Openings are kept by the
+    word before them, so a repetitive text is not met at every place that only continues a run; long runs are measured by hashes of what
+    stands before each word, not word by word.
     """
-    at: dict[tuple, list[int]] = {}
+    ids = {w: n for n, w in enumerate(dict.fromkeys(a + b), 1)}
+    sums = [list(accumulate((ids[w] for w in x), lambda h, v: (h * _BASE + v) % _PRIME, initial=0)) for x in (a, b)]
+    powers = list(accumulate(range(min(len(a), len(b))), lambda h, _: h * _BASE % _PRIME, initial=1))
+
+    def alike(i: int, j: int, k: int) -> bool:
+        return (sums[0][i + k] - sums[1][j + k] - (sums[0][i] - sums[1][j]) * powers[k]) % _PRIME == 0
+
+    at: dict[tuple, dict[str | None, list[int]]] = {}
     for j in range(len(b) - least + 1):
-        at.setdefault(tuple(b[j : j + least]), []).append(j)
+        at.setdefault(tuple(b[j : j + least]), {}).setdefault(b[j - 1] if j else None, []).append(j)
     runs = []
     for i in range(len(a) - least + 1):
-        for j in at.get(tuple(a[i : i + least]), ()):
-            if i and j and a[i - 1] == b[j - 1]:
+        for before, places in at.get(tuple(a[i : i + least]), {}).items():
+            if i and before is not None and before == a[i - 1]:
                 continue
-            k = least
-            while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
-                k += 1
-            runs.append((k, i, j))
+            for j in places:
+                k, most = least, min(len(a) - i, len(b) - j)
+                while k < most and k < 16 and a[i + k] == b[j + k]:
+                    k += 1
+                if k == 16:
+                    while k < most:
+                        half = (k + most + 1) // 2
+                        k, most = (half, most) if alike(i, j, half) else (k, half - 1)
+                runs.append((k, i, j))
     used_a, used_b, covered = bytearray(len(a)), bytearray(len(b)), 0
     for k, i, j in sorted(runs, key=lambda r: (-r[0], r[1], r[2])):
+        if covered > min(len(a), len(b)) - least:
+            break
         start = 0
         while start < k:
             if used_a[i + start] or used_b[j + start]:
