@@ -63,12 +63,6 @@ def event_rows(events: DataFrame) -> DataFrame:
     return rows.groupBy("sid", "no", "copy").agg(F.min_by(F.struct(*cols), "row").alias("e")).select("sid", "no", "e.*")
 
 
-def first_of_number(rows: DataFrame) -> DataFrame:
-    """Of `event_rows` the first to arrive of each session and number, as the SQL of `event_sessions` and `thinking_split` reads them."""
-    cols = [c for c in rows.columns if c not in ("sid", "no")]
-    return rows.groupBy("sid", "no").agg(F.min_by(F.struct(*cols), "row").alias("e")).select("sid", "no", "e.*")
-
-
 def session_attributes(rows: DataFrame, unnamed: str = "unnamed") -> DataFrame:
     """Per session what its first and last events say: agent, model, provider, first prompt, last output, final status, rounds."""
     at = lambda c, when=None: F.col(c) if when is None else F.when(when, F.col(c))
@@ -166,13 +160,15 @@ def assembled_steps(rows: DataFrame) -> DataFrame:
 
 def session_outcomes(rows: DataFrame, steps: DataFrame) -> DataFrame:
     """Per session its outcome by final status, else by errors of its tools and whether it has an output."""
-    per = steps.groupBy("sid").agg(F.count("*").alias("steps"), F.count_if(F.col("step_type") == "tool_call").alias("tool_count"), F.coalesce(F.max(F.col("status") == "error"), F.lit(False)).alias("failed"))
+    per = steps.groupBy("sid").agg(F.count("*").alias("steps"), F.count_if(F.col("step_type") == "tool_call").alias("tool_count"),
+        F.array_sort(F.collect_set(F.when(F.col("step_type") == "tool_call", F.col("tool_name")))).alias("unique_tools"),
+        F.count_if((F.col("step_type") == "tool_call") & F.lower("tool_name").contains("spawn")).alias("spawn_count"), F.coalesce(F.max(F.col("status") == "error"), F.lit(False)).alias("failed"))
     a = session_attributes(rows).join(per, "sid").filter("steps >= 2")
     outcome = (
         F.when(F.col("final_status") == "success", "success").when(F.col("final_status").isin("error", "failed"), "failure")
         .when(F.col("failed"), "likely_failure").when(F.coalesce("final_output", F.lit("")) != "", "likely_success").otherwise("unknown")
     )
-    return a.select("sid", "agent", "model_version", "rounds", "steps", "tool_count", "parent_session_id", outcome.alias("outcome"))
+    return a.select("sid", "agent", "model_version", "rounds", "steps", "tool_count", F.array_join("unique_tools", ",").alias("unique_tools"), "spawn_count", "parent_session_id", outcome.alias("outcome"))
 
 
 def no_params(text: Column) -> Column:
@@ -226,6 +222,18 @@ def filled_calls(calls: DataFrame, results: DataFrame, uses: DataFrame) -> DataF
     )
 
 
+def subagent_spawns(rows: DataFrame) -> DataFrame:
+    """`sid`, `no`, `k` (place in its artifact), `child_session_id` and `task` of every spawn of a subagent, the child as the spawn's result names it."""
+    metas = rows.filter("type = 'trace.artifacts' and metas is not null").select("sid", "no", F.posexplode(F.from_json("metas", "array<string>")).alias("k", "text"))
+    get = lambda p: F.get_json_object("text", p)
+    meta = truthy_coalesce(get("$.meta"), get("$.output"))
+    named = lambda k: F.try_variant_get(F.try_parse_json(meta), f"$.{k}", "string")
+    given = truthy_coalesce(get("$.input"), get("$.args"))
+    task = F.coalesce(truthy_coalesce(F.get_json_object(given, "$.task"), F.get_json_object(given, "$.prompt")), given, F.lit("{}"))
+    spawns = metas.filter(F.lower(F.coalesce(truthy_coalesce(get("$.toolName"), get("$.tool")), F.lit(""))).contains("spawn"))
+    return spawns.select("sid", "no", "k", truthy_coalesce(named("sessionId"), named("childSessionId"), named("id")).alias("child_session_id"), F.left(task, F.lit(300)).alias("task"))
+
+
 def parent_links(trajectories: DataFrame) -> DataFrame:
     """`child`, `parent`, `known`: the parent that a session names and whether it is among the sessions (one hop)."""
     s = session_rows(trajectories)

@@ -59,6 +59,7 @@ def criteria(sessions: DataFrame) -> DataFrame:
     )
     head = lambda c: F.left(F.coalesce(F.col(c), F.lit("")), F.lit(200))
     joined = F.array_join(dims, "、")
+    # Fixed value: the wording of the judge's prompt.
     prompt = F.concat(
         F.lit("任务描述："), head("user_input"), F.lit("\n预期结果："), expected, F.lit("\n实际输出："), head("final_output"),
         F.lit("\n请从以下维度评估（1-5分）："), joined, F.lit("\n输出格式：JSON，每个维度一个字段，外加 overall_score 和 reasoning。"),

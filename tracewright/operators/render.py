@@ -31,25 +31,49 @@ def placed_rows(steps: DataFrame) -> DataFrame:
     return cut_lineage(with_position(once, "sid", "step_id", "row"))
 
 
-def _pieces(steps: DataFrame, most: int) -> DataFrame:
-    """`row`, `piece` of every step row that has one; a row number that comes twice counts once."""
+def _pieces(steps: DataFrame, most: int, routes: bool = False) -> DataFrame:
+    """`row`, `piece` of every step row that has one, with `routes` also of routes; a row number that comes twice counts once."""
     own = steps.withColumn("kind", S.step_type(F.col("step_type"))).withColumn("st", S.resolved_status(F.col("status"), F.col("output"), F.col("error")))
-    return own.select(F.col("step_row").alias("row"), piece(most).alias("piece")).filter("piece is not null").dropDuplicates(["row"])
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in steps.columns else F.lit("")
+    route = F.concat(
+        F.lit('<skill_route skill="'), text("skill_selected"), F.lit('" confidence="'), text("routing_confidence"), F.lit('">'), text("routing_reason"), F.lit("</skill_route>")
+    )
+    shown = F.coalesce(piece(most), F.when(F.col("kind") == "skill_route", route)) if routes else piece(most)
+    return own.select(F.col("step_row").alias("row"), shown.alias("piece")).filter("piece is not null").dropDuplicates(["row"])
 
 
 def messages(steps: DataFrame, most: int = 3000) -> DataFrame:
-    """`sid`, `msg_no`, `role`, `content`: a result is a tool message, the pieces between two results one assistant message.
+    """`sid`, `msg_no`, `role`, `content`: a result is a tool message, the pieces between two results, routes among them, one assistant message.
 
     Results are counted by a running sum over runs of positions, so that no session is sorted as a whole.
     """
     result = F.col("kind") == "tool_result"
-    cut = with_running_sum(placed_rows(steps).filter("shown"), "sid", "pos", F.when(result, 1).otherwise(0), "results")
+    cut = with_running_sum(placed_rows(steps).filter("shown or kind = 'skill_route'"), "sid", "pos", F.when(result, 1).otherwise(0), "results")
     no = F.col("results") * 2 - F.when(result, 1).otherwise(0)
     numbered = cut.select("row", "sid", "pos", no.cast("bigint").alias("msg_no"), F.when(result, "tool").otherwise("assistant").alias("role"))
-    parts = numbered.join(_pieces(steps, most), "row").groupBy("sid", "msg_no", "role").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
+    parts = numbered.join(_pieces(steps, most, True), "row").groupBy("sid", "msg_no", "role").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
     return parts.select("sid", "msg_no", "role", F.array_join(F.transform("parts", lambda x: x["piece"]), "\n").alias("content"))
 
 
+def conversations(sessions: DataFrame, own: DataFrame, system: str) -> DataFrame:
+    """`sid`, `msg_no`, `role`, `content` of supervised samples: the system's text (-2), the request (-1), then the `messages` of the session.
+
+    A session without a message ends in its final output, where it has one.
+    """
+    fixed = lambda no, role, c: sessions.select("sid", F.lit(no).cast("bigint").alias("msg_no"), F.lit(role).alias("role"), c.alias("content"))
+    heads = fixed(-2, "system", F.lit(system)).unionByName(fixed(-1, "user", F.coalesce("user_input", F.lit(""))))
+    said = own.join(sessions.select("sid"), "sid", "left_semi")
+    silent = sessions.filter("final_output <> ''").join(own.select("sid").distinct(), "sid", "left_anti")
+    return heads.unionByName(said).unionByName(silent.select("sid", F.lit(0).cast("bigint").alias("msg_no"), F.lit("assistant").alias("role"), F.col("final_output").alias("content")))
+
+
+def whole_texts(steps: DataFrame, sids: DataFrame) -> DataFrame:
+    """`sid`, `text`: all pieces of each of the sessions `sids` as the one assistant message of the plain supervised form."""
+    rows = placed_rows(steps).filter("shown").join(sids, "sid", "left_semi").select("row", "sid", "pos")
+    parts = rows.join(_pieces(steps, 2000), "row").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("pos", "piece"))).alias("parts"))
+    return parts.select("sid", F.array_join(F.transform("parts", lambda x: x["piece"]), "\n").alias("text"))
+
+
 def budgeted(steps: DataFrame, last: int = 12, budget: int = 6000) -> DataFrame:
     """`sid`, `text`: the pieces of the first `last` steps as far as their lengths sum to at most `budget`, up to the first that does not fit."""
     first = placed_rows(steps).filter((F.col("pos") <= last) & F.col("shown")).select("row", "sid", "pos")

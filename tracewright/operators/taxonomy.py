@@ -85,6 +85,7 @@ def taxonomy(events: DataFrame) -> DataFrame:
             F.when((F.col("count") >= 10) & (rate < 0.3), "high").when(F.col("count") >= 5, "medium").otherwise("low").alias("rl_priority"),
             F.when(rate > 0.7, F.concat(said, F.lit(RECOVERS_WELL))).otherwise(said).alias("fi_recommendation"),
         )
+        .orderBy(F.desc("count"), "error_type")
     )
 
 
@@ -103,4 +104,4 @@ def injection_targets(table: DataFrame) -> DataFrame:
     return table.select(
         "error_type", F.col("count").alias("occurrence_count"), "session_count", "recovery_rate", "rl_priority", rate.alias("injection_rate"),
         quantise(F.lit(0.8) - F.col("recovery_rate"), 3).alias("gap"),
-    )
+    ).orderBy(F.when(F.col("rl_priority") == "high", 0).when(F.col("rl_priority") == "medium", 1).otherwise(2), F.desc("occurrence_count"), "error_type")

@@ -6,7 +6,7 @@ import re
 
 from tracewright.functions import steps as S
 from tracewright.functions.errors import INTENT_PATTERNS, PIPELINE_ERRORS, TAXONOMY_ERRORS
-from tracewright.operators import pairing, scoring, specialist, taxonomy
+from tracewright.operators import pairing, preferences, scoring, specialist, taxonomy
 from tracewright.operators.facts import PLANNING
 
 
@@ -192,6 +192,16 @@ def _reason(col: str) -> str:
     return ladder(col, specialist.ABORT_REASONS, "other")
 
 
+def _first(v: str, *keys: str) -> str:
+    """The first value that is not null, empty, zero or false, as text."""
+    arms = [f"CASE WHEN ({v} -> '$.{k}')::VARCHAR NOT IN ('\"\"', '0', '0.0', 'false', 'null', '[]', '{{}}') THEN {v} ->> '$.{k}' END" for k in keys]
+    return f"coalesce({', '.join(arms)})" if len(arms) > 1 else arms[0]
+
+
+_RECORDS = """rec AS (SELECT record_no, feed, file_no, line_no, record::JSON AS r FROM (SELECT * FROM session_files WHERE json_valid(record))
+  WHERE json_type(record) = 'OBJECT' AND list_has_all(json_keys(record), ['session_id', 'trajectory', 'user_input']))"""
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["error_taxonomy_recovery"] = _with(CANON) + f"""
@@ -274,6 +284,19 @@ k AS (SELECT sid, count(*) FILTER (skill IS DISTINCT FROM prev) AS switches FROM
 p AS (SELECT sid, count(*) FILTER (kind = 'reasoning' AND says AND NOT task_note) AS plan_nodes, count(*) FILTER (kind = 'reasoning' AND says AND NOT task_note AND plans) AS planning_nodes FROM o GROUP BY sid)
 SELECT s.sid, CASE WHEN whole THEN 'complete' ELSE 'partial_until_error' END AS plan_outcome, CASE WHEN used >= 30 AND nt >= 4 THEN 'tier1' WHEN used >= 20 THEN 'tier2' ELSE 'tier3' END AS complexity_tier, used AS total_steps,
   coalesce(plan_nodes, 0) AS plan_nodes, coalesce(planning_nodes, 0) AS planning_nodes, coalesce(switches, 0) AS skill_switches FROM s LEFT JOIN p USING (sid) LEFT JOIN k USING (sid)"""
+    out["tool_call_samples"] = _with(CANON, SESSIONS) + f""",
+n AS (SELECT sid, pos, kind, tool, input_params, CASE WHEN lead(kind, 1) OVER w = 'tool_result' THEN 1 WHEN lead(kind, 2) OVER w = 'tool_result' THEN 2 END AS d, CASE WHEN lead(kind, 1) OVER w = 'tool_result' THEN lead(st, 1) OVER w WHEN lead(kind, 2) OVER w = 'tool_result' THEN lead(st, 2) OVER w END AS rst
+  FROM f WINDOW w AS (PARTITION BY sid ORDER BY pos)),
+g AS (SELECT n.sid, tool, rst, pos, d, input_params, row_number() OVER (PARTITION BY n.sid ORDER BY pos) AS k FROM n JOIN sc ON sc.sid = n.sid WHERE sc.outcome IN ('success', 'likely_success') AND sc.tool_calls >= 2 AND kind = 'tool_call' AND tool IS NOT NULL AND pos > 2 AND rst IS NOT NULL AND rst <> 'error'),
+p AS (SELECT sid, pos, {_PIECE.replace('CUT', '2000')} AS piece FROM f)
+SELECT g.sid, k - 1 AS call_index, tool AS tool_name, rst AS result_status, g.pos - 1 AS context_steps, coalesce(nullif(g.input_params, ''), '{{}}') AS input_params,
+  coalesce(string_agg(piece, chr(10) ORDER BY p.pos) FILTER (p.pos < g.pos), '') AS context, string_agg(piece, chr(10) ORDER BY p.pos) FILTER (p.pos = g.pos OR p.pos = g.pos + d) AS chosen
+FROM g JOIN p ON p.sid = g.sid AND p.pos <= g.pos + d AND piece IS NOT NULL WHERE k <= 20 GROUP BY ALL"""
+    out["long_plan_switches"] = _with(CANON, SESSIONS) + """,
+c AS (SELECT sid, min(pos) - 1 AS cut FROM f WHERE st = 'error' GROUP BY sid),
+u AS (SELECT sc.sid, CASE WHEN outcome IN ('success', 'likely_success') THEN steps ELSE cut END AS used FROM sc LEFT JOIN c USING (sid) WHERE CASE WHEN outcome IN ('success', 'likely_success') THEN steps ELSE cut END >= 20),
+o AS (SELECT f.sid, pos, skill, lag(skill) OVER (PARTITION BY f.sid ORDER BY pos) AS prev FROM f JOIN u ON u.sid = f.sid AND f.pos <= u.used WHERE skill IS NOT NULL)
+SELECT sid, pos, prev AS from_skill, skill AS to_skill FROM o WHERE prev IS DISTINCT FROM skill"""
     sig = _q("|".join(map(re.escape, specialist.ABORT_SIGNALS)))
     out["graceful_abort"] = _with(CANON, SESSIONS) + f""",
 l AS (SELECT sid, arg_max(content, pos) FILTER (content IS NOT NULL) AS any_output, arg_max(coalesce(content, ''), pos) AS last_output FROM f WHERE kind = 'output' GROUP BY sid)
@@ -285,34 +308,88 @@ p AS (SELECT sid, count(*) FILTER (sp) AS spawn_count, count(*) FILTER (yi) AS y
   count(*) FILTER (yi AND EXISTS (SELECT 1 FROM f WHERE f.sid = c.sid AND f.kind = 'reasoning' AND f.pos BETWEEN c.pos + 1 AND c.pos + 2)) AS aggregations FROM c WHERE sp OR yi GROUP BY sid)
 SELECT sid, outcome, CASE WHEN spawn_count = 1 THEN 'single_subagent' WHEN spawn_count >= 2 AND len(tools) >= 3 THEN 'parallel_subagents' WHEN spawn_count >= 2 THEN 'sequential_subagents' ELSE 'yield_only' END AS collab_type,
   spawn_count, yield_count, spawn_only_count, aggregations, CASE WHEN spawn_count >= 3 AND outcome IN ('success', 'likely_success') THEN 'tier1' ELSE 'tier2' END AS value_tier FROM p JOIN sc USING (sid)"""
-    out["sft_messages"] = _with(CANON) + f""",
-p AS (SELECT sid, pos, kind, {_PIECE.replace('CUT', '3000')} AS piece FROM f),
-g AS (SELECT *, sum(CASE WHEN kind = 'tool_result' THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY pos) AS r FROM p WHERE piece IS NOT NULL)
-SELECT sid, (r * 2 - CASE WHEN kind = 'tool_result' THEN 1 ELSE 0 END)::BIGINT AS msg_no, CASE WHEN kind = 'tool_result' THEN 'tool' ELSE 'assistant' END AS role, string_agg(piece, chr(10) ORDER BY pos) AS content FROM g GROUP BY ALL"""
-    out["sft_messages"] = out["sft_messages"].replace("SELECT sid, (r * 2", "SELECT sid, msg_no, role, string_agg(piece, chr(10) ORDER BY pos) AS content FROM (SELECT sid, pos, piece, (r * 2").replace(
-        " AS role, string_agg(piece, chr(10) ORDER BY pos) AS content FROM g GROUP BY ALL", " AS role FROM g) GROUP BY sid, msg_no, role"
-    )
+    msgs = f"""
+p AS (SELECT sid, pos, kind, CASE WHEN kind = 'skill_route' THEN '<skill_route skill="" confidence=""></skill_route>' ELSE {_PIECE.replace('CUT', '3000')} END AS piece FROM f),
+g AS (SELECT sid, pos, kind, piece, sum(CASE WHEN kind = 'tool_result' THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY pos) * 2 - CASE WHEN kind = 'tool_result' THEN 1 ELSE 0 END AS no FROM p WHERE piece IS NOT NULL),
+msgs AS (SELECT sid, no::BIGINT AS msg_no, CASE WHEN kind = 'tool_result' THEN 'tool' ELSE 'assistant' END AS role, string_agg(piece, chr(10) ORDER BY pos) AS content FROM g GROUP BY sid, no, kind = 'tool_result')"""
+    msgs = msgs.replace("CASE WHEN kind = 'tool_result' THEN 'tool' ELSE 'assistant' END AS role, string_agg", "CASE WHEN bool_or(kind = 'tool_result') THEN 'tool' ELSE 'assistant' END AS role, string_agg")
+    out["sft_messages"] = _with(CANON, msgs) + "SELECT * FROM msgs"
+    uses = """
+us AS (SELECT * FROM sc WHERE steps >= 2 AND use IN ('sft_positive', 'recovery_training', 'graceful_abort') AND (outcome <> 'unknown' OR use IN ('recovery_training', 'graceful_abort'))),
+rows_ AS (SELECT sid, -2::BIGINT AS msg_no, 'system' AS role, SYS AS content FROM us UNION ALL SELECT sid, -1, 'user', coalesce(user_input, '') FROM us UNION ALL SELECT * FROM msgs WHERE sid IN (SELECT sid FROM us)
+  UNION ALL SELECT sid, 0, 'assistant', final_output FROM us WHERE final_output <> '' AND sid NOT IN (SELECT sid FROM msgs))""".replace("SYS", _q(preferences.SYSTEM))
+    out["sft_rows"] = _with(CANON, SESSIONS, msgs, uses) + "SELECT * FROM rows_"
+    out["export_sft"] = _with(CANON, SESSIONS, msgs, uses) + "SELECT sid, count(*) AS messages, sum(length(content))::BIGINT AS chars FROM rows_ WHERE sid IN (SELECT sid FROM us WHERE use = 'sft_positive') GROUP BY sid HAVING count(*) >= 3"
+    ids = lambda cond: f"coalesce(string_agg(step_id, ',' ORDER BY step_id) FILTER ({cond}), '')"
+    thought = "kind IN ('reasoning', 'output') AND recovers"
+    out["training_samples"] = _with(CANON, SESSIONS) + f""",
+a AS (SELECT sid, coalesce(bool_or({thought}), false) AS any_recovery, {ids("st = 'error'")} AS errs, {ids(thought)} AS recs, {ids("kind = 'tool_call'")} AS calls, count(*) FILTER (kind = 'output') AS outs,
+  max(pos) FILTER (kind = 'output') AS lo FROM f GROUP BY sid),
+b AS (SELECT sc.*, a.* EXCLUDE (sid), coalesce(CASE WHEN outs > 0 THEN (SELECT content FROM f WHERE f.sid = sc.sid AND f.pos = a.lo) ELSE final_output END, '') AS said FROM sc JOIN a USING (sid)
+  WHERE steps >= 2 AND use <> 'low_value' AND (outcome <> 'unknown' OR use IN ('dpo_candidate', 'recovery_training', 'skill_violation_neg', 'graceful_abort')))
+SELECT sid, use AS training_use, any_recovery, CASE WHEN use = 'recovery_training' THEN recs <> '' END AS has_recovery, CASE WHEN use = 'recovery_training' THEN errs END AS error_steps,
+  CASE WHEN use = 'recovery_training' THEN recs END AS recovery_steps, CASE WHEN use = 'skill_violation_neg' THEN calls END AS violation_steps, CASE WHEN use = 'graceful_abort' THEN left(said, 500) END AS abort_signal,
+  CASE WHEN use = 'graceful_abort' THEN {_reason('said')} END AS abort_reason FROM b"""
     out["budgeted_render"] = _with(CANON) + f""",
 p AS (SELECT sid, pos, {_PIECE.replace('CUT', '2000')} AS piece FROM f WHERE pos <= 12),
 g AS (SELECT sid, pos, piece, sum(length(piece)) OVER (PARTITION BY sid ORDER BY pos) AS total FROM p WHERE piece IS NOT NULL)
 SELECT sid, coalesce(string_agg(piece, chr(10) ORDER BY pos) FILTER (total <= 6000), '') AS text FROM g GROUP BY sid"""
-    rows = """er AS (SELECT * FROM (SELECT coalesce(nullif(session_id, ''), nullif(trace_id, '')) AS sid, coalesce(seq, source_seq, 0) AS no, *, CASE WHEN json_valid(data) THEN data END AS d,
-  row_number() OVER (PARTITION BY coalesce(nullif(session_id, ''), nullif(trace_id, '')), coalesce(seq, source_seq, 0) ORDER BY event_row) AS rn FROM raw_events) WHERE rn = 1 AND sid IS NOT NULL)"""
-    out["event_sessions"] = _with(rows) + """
-SELECT sid, coalesce(CASE WHEN starts_with(k, 'agent:') THEN split_part(k, ':', 2) END, nullif(a, ''), 'unnamed') AS agent, coalesce(nullif(m1, ''), m2) AS model_version, provider, final_status, rounds, events FROM
-(SELECT sid, (arg_min([agent_id], no))[1] AS a, (arg_min([session_key], no))[1] AS k, (arg_min([model_id], no))[1] AS m1, (arg_max([model_id], no))[1] AS m2, (arg_min([provider], no))[1] AS provider,
-  arg_max(coalesce(nullif(d ->> '$.finalStatus', ''), nullif(d ->> '$.status', '')), no) FILTER (event_type IN ('trace.artifacts', 'session.ended') AND coalesce(nullif(d ->> '$.finalStatus', ''), nullif(d ->> '$.status', '')) IS NOT NULL) AS final_status,
-  count(*) FILTER (event_type IN ('context.compiled', 'prompt.submitted')) AS rounds, count(*) AS events FROM er GROUP BY sid)"""
-    out["thinking_split"] = _with(rows) + r"""
-SELECT sid, no, array_to_string(list_transform(regexp_extract_all(t, '(?s)<thinking>(.*?)</thinking>', 1), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10) || chr(10)) AS thinking,
-  array_to_string(list_filter(list_transform(regexp_split_to_array(t, '(?s)<thinking>.*?</thinking>'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10)) AS spoken
-FROM (SELECT sid, no, d ->> '$.assistantTexts[#-1]' AS t FROM er WHERE event_type = 'model.completed') WHERE t IS NOT NULL"""
+    rows = """er0 AS (SELECT min(event_row) AS "row", * EXCLUDE (event_row, ingested_at) FROM raw_events GROUP BY ALL),
+er AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY no, "row") AS ord FROM (SELECT coalesce(nullif(session_id, ''), nullif(trace_id, '')) AS sid, coalesce(seq, source_seq, 0) AS no, *, CASE WHEN json_valid(data) THEN data END AS d FROM er0) WHERE sid IS NOT NULL)"""
+    speak = lambda t: rf"array_to_string(list_filter(list_transform(regexp_split_to_array({t}, '(?s)<thinking>.*?</thinking>'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), chr(10) || chr(10))"
+    status = "coalesce(nullif(d ->> '$.finalStatus', ''), nullif(d ->> '$.status', ''))"
+    turn = r"regexp_replace(split_part(regexp_split_to_array(prompt, '\n(?:Human|User):\s*')[-1], chr(10) || 'Assistant:', 1), '^\s+|\s+$', '', 'g')"
+    out["event_sessions"] = _with(rows) + rf""",
+a AS (SELECT sid, (arg_min([agent_id], ord))[1] AS a, (arg_min([session_key], ord))[1] AS k, (arg_min([model_id], ord))[1] AS m1, (arg_max([model_id], ord))[1] AS m2, (arg_min([provider], ord))[1] AS provider,
+  arg_max({status}, ord) FILTER (event_type IN ('trace.artifacts', 'session.ended') AND {status} IS NOT NULL) AS final_status,
+  arg_min(d ->> '$.prompt', ord) FILTER (event_type IN ('context.compiled', 'prompt.submitted') AND coalesce(d ->> '$.prompt', '') <> '') AS prompt, (arg_max([d ->> '$.assistantTexts[#-1]'], ord) FILTER (event_type = 'model.completed'))[1] AS t,
+  count(*) FILTER (event_type IN ('context.compiled', 'prompt.submitted')) AS rounds, count(*) AS events FROM er GROUP BY sid)
+SELECT sid, coalesce(CASE WHEN starts_with(k, 'agent:') THEN split_part(k, ':', 2) END, nullif(a, ''), 'unnamed') AS agent, coalesce(nullif(m1, ''), m2) AS model_version, provider, final_status, rounds, events,
+  left(CASE WHEN contains(prompt, '[Subagent Task]') THEN regexp_replace(regexp_extract(prompt, '(?s)\[Subagent Task\](.*?)(?:\[|\z)', 1), '^\s+|\s+$', '', 'g') WHEN len(regexp_split_to_array(prompt, '\n(?:Human|User):\s*')) > 1 AND {turn} <> '' THEN {turn} ELSE prompt END, 5000) AS user_input,
+  left(CASE WHEN {speak('t')} <> '' THEN {speak('t')} ELSE t END, 10000) AS final_output FROM a"""
+    out["thinking_split"] = _with(rows) + rf"""
+SELECT sid, no, "row", array_to_string(list_transform(regexp_extract_all(t, '(?s)<thinking>(.*?)</thinking>', 1), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10) || chr(10)) AS thinking, {speak('t')} AS spoken
+FROM (SELECT sid, no, "row", d ->> '$.assistantTexts[#-1]' AS t FROM er WHERE event_type = 'model.completed') WHERE t IS NOT NULL"""
+    tool = "coalesce(nullif(m ->> '$.toolName', ''), nullif(m ->> '$.tool', ''))"
+    meta = "coalesce(nullif(m ->> '$.meta', ''), nullif(m ->> '$.output', ''))"
+    given = "coalesce(nullif(m ->> '$.input', ''), nullif(m ->> '$.args', ''))"
+    named = ", ".join(f"nullif(CASE WHEN json_valid(x) THEN x ->> '$.{k}' END, '')" for k in ("sessionId", "childSessionId", "id"))
+    out["subagent_spawns"] = _with(rows) + f""",
+sm AS (SELECT sid, no, "row", unnest(ms) AS m, unnest(range(len(ms))) AS k FROM (SELECT sid, no, "row", CASE WHEN json_type(d, '$.toolMetas') = 'ARRAY' THEN from_json(d -> '$.toolMetas', '["JSON"]') END AS ms FROM er WHERE event_type = 'trace.artifacts')),
+sp AS (SELECT sid, no, k, {meta} AS x, {given} AS g FROM sm WHERE contains(lower(coalesce({tool}, '')), 'spawn'))
+SELECT sid, no, k, coalesce({named}) AS child_session_id, left(coalesce(CASE WHEN json_valid(g) THEN coalesce(nullif(g ->> '$.task', ''), nullif(g ->> '$.prompt', '')) END, g, '{{}}'), 300) AS task FROM sp"""
     out["nth_occurrence_backfill"] = _with(CANON) + """
 SELECT sid, tool, count(*) AS calls, count(*) FILTER (pos = first_pos) AS firsts FROM (SELECT sid, tool, pos, min(pos) OVER (PARTITION BY sid, tool) AS first_pos FROM f WHERE kind = 'tool_call' AND tool IS NOT NULL) GROUP BY ALL"""
     out["parent_links"] = f"""
 WITH s AS (SELECT * FROM (SELECT {_SID} AS sid, parent_session_id, row_number() OVER (PARTITION BY {_SID} ORDER BY ingested_at DESC NULLS LAST, traj_id DESC) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
 k AS (SELECT sid AS child, nullif(lower(regexp_replace(parent_session_id, '^\\s+|\\s+$', '', 'g')), '') AS parent FROM s)
 SELECT child, parent, parent IN (SELECT sid FROM s) AS known FROM k WHERE parent IS NOT NULL"""
+    outcome = f"""CASE WHEN json_type(r, '$.session_outcome') = 'VARCHAR' THEN {lookup("(r ->> '$.session_outcome')", S.OUTCOMES, 'unknown')}
+  WHEN lower(r ->> '$.session_outcome.status') IN ('success', 'failure', 'partial', 'abandoned') THEN lower(r ->> '$.session_outcome.status') ELSE 'unknown' END"""
+    request = f"""CASE WHEN json_type(r, '$.user_input') = 'OBJECT' THEN coalesce({_first('r', 'user_input.raw', 'user_input.text')}, r ->> '$.user_input') ELSE r ->> '$.user_input' END"""
+    out["structured_sessions"] = f"""
+WITH {_RECORDS} SELECT record_no, feed, file_no, line_no, r ->> '$.session_id' AS session_id, {request} AS user_input, r ->> '$.final_output' AS final_output,
+  CASE WHEN list_contains(json_keys(r), 'agent') THEN r ->> '$.agent' ELSE 'unnamed' END AS agent, r ->> '$.metadata.model_version' AS model_version, {outcome} AS outcome FROM rec"""
+    kind = "CASE WHEN named IS NULL THEN 'unknown' ELSE " + lookup("(named ->> '$')", S.STEP_TYPES, "unknown") + " END"
+    raw_status = "(s ->> '$.status')"
+    out["structured_steps"] = rf"""
+WITH {_RECORDS},
+s0 AS (SELECT record_no, feed, file_no, line_no, unnest(x) AS s, unnest(range(1, len(x) + 1)) AS pos FROM (SELECT *, CASE WHEN json_type(r, '$.trajectory') = 'ARRAY' THEN from_json(r -> '$.trajectory', '["JSON"]') END AS x FROM rec)),
+s1 AS (SELECT *, CASE WHEN list_contains(json_keys(s), 'type') THEN s -> '$.type' WHEN list_contains(json_keys(s), 'step_type') THEN s -> '$.step_type' END AS named FROM s0 WHERE json_type(s) = 'OBJECT'),
+s2 AS (SELECT *, CASE WHEN NOT list_contains(json_keys(s), 'step_id') THEN pos WHEN json_type(s, '$.step_id') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN trunc((s ->> '$.step_id')::DOUBLE)::BIGINT
+  WHEN json_type(s, '$.step_id') = 'BOOLEAN' THEN (s ->> '$.step_id')::BOOLEAN::BIGINT WHEN json_type(s, '$.step_id') = 'VARCHAR' AND regexp_full_match(s ->> '$.step_id', '\s*[+-]?\d{{1,18}}\s*') THEN trim(s ->> '$.step_id')::BIGINT END AS step_id,
+  {kind} AS kind FROM s1 WHERE named IS NULL OR json_type(named) = 'VARCHAR'),
+s3 AS (SELECT *, {_first('s', 'output', 'result', 'content')} AS o, {_first('s', 'error', 'error_message')} AS e, CASE WHEN NOT list_contains(json_keys(s), 'status') THEN 'success' ELSE {lookup(raw_status, S.STATUSES, 'pending')} END AS written,
+  coalesce(json_type(s, '$.isError') = 'BOOLEAN' AND s ->> '$.isError' = 'true', false) OR coalesce(json_type(s, '$.is_error') = 'BOOLEAN' AND s ->> '$.is_error' = 'true', false) AS flag FROM s2 WHERE step_id IS NOT NULL),
+s4 AS (SELECT *, kind = 'tool_result' AND ({raw_status} IS NULL OR written = 'pending' OR (written = 'success' AND e IS NULL)) AS unsure, flag OR coalesce(regexp_matches(e, '\S'), false) AS byf, {any_of('o', S.ERROR_TEXTS)} AS byt FROM s3)
+SELECT record_no, feed, file_no, line_no, pos, step_id, kind AS step_type, s ->> '$.timestamp' AS ts, CASE kind WHEN 'reasoning' THEN {_first('s', 'content', 'text', 'thinking')} WHEN 'output' THEN {_first('s', 'content', 'text', 'output')} END AS content,
+  CASE WHEN kind = 'tool_call' THEN {_first('s', 'tool_name', 'tool')} END AS tool_name, CASE WHEN kind = 'tool_call' THEN {_first('s', 'skill_context', 'skill')} END AS skill_context,
+  CASE kind WHEN 'tool_call' THEN {_first('s', 'metadata.call_id', 'call_id', 'id')} WHEN 'tool_result' THEN {_first('s', 'call_id', 'result_call_id')} END AS call_id,
+  CASE WHEN kind = 'tool_result' THEN CASE WHEN unsure AND (byf OR byt) THEN 'error' ELSE written END END AS status,
+  CASE WHEN kind = 'tool_result' THEN CASE WHEN unsure AND byf THEN coalesce(e, 'inferred_error') WHEN unsure AND byt THEN coalesce(e, 'inferred_error_from_text') ELSE e END END AS error,
+  CASE WHEN kind = 'tool_result' THEN TRY_CAST(coalesce({_first('s', 'latency_ms')}, {_first('s', 'metadata.latency_ms')}) AS DOUBLE) END AS latency_ms,
+  CASE WHEN kind = 'skill_route' THEN {_first('s', 'skill_selected', 'skill')} END AS skill_selected, CASE WHEN kind = 'skill_route' THEN {_first('s', 'routing_reason', 'reason')} END AS routing_reason,
+  CASE WHEN kind = 'tool_result' THEN length(o) END AS output_chars FROM s4"""
     return out
 
 

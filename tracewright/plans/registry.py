@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import steps as S
 from tracewright.functions.text import contains_any, is_blank
-from tracewright.operators import assembly, evalset, facts, pairing, preferences, render, scoring, sequence, specialist, taxonomy
+from tracewright.operators import assembly, evalset, facts, pairing, preferences, render, samples, scoring, sequence, specialist, taxonomy
 from tracewright.operators.schema_drift import drift, unified
 from tracewright.operators.timestamps import normalise_timestamps
 from tracewright.plans import oracles
-from tracewright.sources import cut_lineage, once, table
+from tracewright.sources import cut_lineage, once, parse, table
 
 FLAGSHIP = "error_taxonomy_recovery"
 
@@ -221,13 +221,56 @@ def budgeted_render(spark, d):
     return render.budgeted(table(spark, d, "steps"))
 
 
+def _routed(spark, d, own):
+    return scoring.routed(_scored(spark, d, own))
+
+
+def sft_rows(spark, d):
+    """The conversations of supervised positives, recoveries and aborts, message by message."""
+    own = _routed(spark, d, _facts(spark, d)).filter(F.col("bucket").isin(*samples.WITH_MESSAGES))
+    return render.conversations(own.select("sid", "user_input", "final_output"), render.messages(table(spark, d, "steps")), preferences.SYSTEM)
+
+
+def export_sft(spark, d):
+    """Supervised positives that are long enough for the export, with the number and the characters of their messages."""
+    own = _routed(spark, d, _facts(spark, d)).filter("bucket = 'sft_positive'")
+    rows = render.conversations(own.select("sid", "user_input", "final_output"), render.messages(table(spark, d, "steps")), preferences.SYSTEM)
+    return rows.groupBy("sid").agg(F.count("*").alias("messages"), F.sum(F.length("content")).alias("chars")).filter(F.col("messages") >= samples.LEAST_MESSAGES)
+
+
+def training_samples(spark, d):
+    own = _facts(spark, d)
+    s = samples.training_samples(_routed(spark, d, own), own, table(spark, d, "steps"))
+    listed = [F.array_join(c, ",").alias(c) for c in ("error_steps", "recovery_steps", "violation_steps")]
+    return s.select("sid", "training_use", "any_recovery", "has_recovery", *listed, "abort_signal", "abort_reason")
+
+
+def tool_call_samples(spark, d):
+    own = _facts(spark, d)
+    return samples.tool_call_samples(specialist.tool_call_pairs(own, _scored(spark, d, own)), own, table(spark, d, "steps"))
+
+
+def long_plan_switches(spark, d):
+    own = _facts(spark, d)
+    used = specialist.long_plans(own, _scored(spark, d, own)).select("sid", F.col("total_steps").alias("used"))
+    return samples.switch_points(own, used)
+
+
+def retry_preferences(spark, d):
+    return samples.retry_preferences(retry_sequences(spark, d), _facts(spark, d), table(spark, d, "steps"))
+
+
+def subagent_spawns(spark, d):
+    return assembly.subagent_spawns(_events(spark, d))
+
+
 def event_sessions(spark, d):
-    return assembly.session_attributes(assembly.first_of_number(_events(spark, d))).select("sid", "agent", "model_version", "provider", "final_status", "rounds", "events")
+    return assembly.session_attributes(_events(spark, d)).drop("created_at", "parent_session_id")
 
 
 def thinking_split(spark, d):
-    rows = assembly.first_of_number(_events(spark, d)).filter("type = 'model.completed'").withColumn("t", F.try_element_at("texts", F.lit(-1))).filter("t is not null")
-    return rows.select("sid", "no", assembly.thinking(F.col("t")).alias("thinking"), assembly.spoken(F.col("t")).alias("spoken"))
+    rows = _events(spark, d).filter("type = 'model.completed'").withColumn("t", F.try_element_at("texts", F.lit(-1))).filter("t is not null")
+    return rows.select("sid", "no", "row", assembly.thinking(F.col("t")).alias("thinking"), assembly.spoken(F.col("t")).alias("spoken"))
 
 
 def artifact_match(spark, d):
@@ -267,6 +310,30 @@ def parent_links(spark, d):
     return assembly.parent_links(table(spark, d, "trajectories"))
 
 
+_RECORD = ["record_no", "feed", "file_no", "line_no"]
+
+
+def _records(spark, d):
+    own = table(spark, d, "session_files")
+    return own.filter("record is not null").select("record_no", "feed", "file_no", "line_no", F.try_parse_json("record").alias("v")).filter("v is not null")
+
+
+def structured_sessions(spark, d):
+    return parse.structured_sessions(_records(spark, d), _RECORD).drop("created_at")
+
+
+def structured_steps(spark, d):
+    """Steps of structured records; arrays, and JSON texts of other shapes than text, are left to `parse.structured_steps`."""
+    return parse.structured_steps(_records(spark, d), _RECORD).select(
+        *_RECORD, "pos", "step_id", "step_type", "ts", "content", "tool_name", "skill_context", "call_id", "status", "error", "latency_ms", "skill_selected", "routing_reason", F.length("output").alias("output_chars"),
+    ).withColumn("output_chars", F.when(F.col("step_type") == "tool_result", F.col("output_chars")))
+
+
+def parsed_sessions(spark, d):
+    """Sessions of all records by the rules of their format."""
+    return parse.parsed(_records(spark, d), _RECORD)[0].groupBy("format", "outcome", "agent").agg(F.count("*").alias("n"), F.sum(F.length("user_input")).alias("chars"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return drift(table(spark, d, "session_files"))
 
@@ -288,7 +355,8 @@ _QUERIES = (
     error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
     diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
     stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, sft_messages,
-    budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
+    sft_rows, export_sft, training_samples, tool_call_samples, long_plan_switches, retry_preferences, subagent_spawns, budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
+    structured_sessions, structured_steps, parsed_sessions,
     p2_found, p2_unified, p7_found,
 )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,56 @@ def text_logs(spark: SparkSession, path: str, pattern: str = "*.log") -> DataFra
     return pieces.filter(strip(F.col("text")) != "")
 
 
+def session_records(spark: SparkSession, path: str) -> DataFrame:
+    """`file`, `at` and `v` of every record of all session logs under `path`, by the kind of file; `v` is null where a record is not JSON.
+
+    Files of lines hold one record a line, as does any other file that shows an object at the start of a line among its first 200 characters; other
+    .json files hold a list of records or one; other .log files are cut at each mention of a session, each piece a record of `text`.
+    """
+    files = _files(spark, path, SESSION_LOGS, True)
+    name = F.lower("file")
+    lined = name.rlike(r"\.(jsonl|ndjson)$") | F.left("value", F.lit(200)).contains("\n{")
+    whole = files.filter(~name.rlike(r"\.(jsonl|ndjson)$"))
+    rows = _files(spark, path, "*.{jsonl,ndjson}", False).select("file", F.monotonically_increasing_id().alias("at"), "value")
+    odd = whole.filter(lined).select("file", F.posexplode(F.split("value", "\n")).alias("at", "value")).withColumn("at", F.col("at").cast("bigint"))
+    lines = rows.unionByName(odd).filter(strip(F.col("value")) != "").select("file", "at", F.try_parse_json("value").alias("v"))
+    docs = whole.filter(~lined & name.endswith(".json")).withColumn("v", F.try_parse_json("value"))
+    lists = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
+    docs = docs.select("file", F.posexplode(lists).alias("at", "v")).withColumn("at", F.col("at").cast("bigint"))
+    pieces = whole.filter(~lined & ~name.endswith(".json")).select("file", F.posexplode(F.split("value", r"(?i)(?=session[_-]?id[:\s])")).alias("at", "text")).filter(strip(F.col("text")) != "")
+    texts = pieces.select("file", F.col("at").cast("bigint").alias("at"), F.to_variant_object(F.struct("text")).alias("v"))
+    return lines.unionByName(docs).unionByName(texts)
+
+
+def parse_errors(records: DataFrame) -> DataFrame:
+    """`file`, `records`, `json_parse_error`: how many records of each file are not JSON."""
+    return records.groupBy("file").agg(F.count("*").alias("records"), F.count_if(F.col("v").isNull()).alias("json_parse_error"))
+
+
+def existing(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """The paths that exist, and those that do not."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    there = [jvm.org.apache.hadoop.fs.Path(p).getFileSystem(conf).exists(jvm.org.apache.hadoop.fs.Path(p)) for p in paths]
+    return [p for p, ok in zip(paths, there, strict=True) if ok], [p for p, ok in zip(paths, there, strict=True) if not ok]
+
+
+def load_lines(spark: SparkSession, paths: list[str], strict: bool = False) -> DataFrame:
+    """`file`, `v` of every line of the files `paths`.
+
+    By default lines that are not JSON are passed over, and paths that do not exist are named in a warning. With `strict` either fails the query.
+    """
+    found, missing = existing(spark, paths)
+    if missing and strict:
+        raise FileNotFoundError(", ".join(missing))
+    if missing:
+        warnings.warn(f"no such path: {', '.join(missing)}", stacklevel=2)
+    if not found:
+        return spark.createDataFrame([], "file string").withColumn("v", F.parse_json(F.lit("null")))
+    lines = spark.read.text(found).select(F.col("_metadata.file_path").alias("file"), "value").filter(strip(F.col("value")) != "")
+    v = F.parse_json("value") if strict else F.try_parse_json("value")
+    return lines.select("file", v.alias("v")).filter("v is not null")
+
+
 def union_sources(parts: dict[str, DataFrame], rejected: str = "rejected") -> DataFrame:
     """The rows of all `parts` by name, columns missing in some being null, with `source_file` and `is_rejected`."""
     out = None
