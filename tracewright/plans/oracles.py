@@ -358,6 +358,59 @@ FROM (SELECT sid, no, "row", d ->> '$.assistantTexts[#-1]' AS t FROM er WHERE ev
 sm AS (SELECT sid, no, "row", unnest(ms) AS m, unnest(range(len(ms))) AS k FROM (SELECT sid, no, "row", CASE WHEN json_type(d, '$.toolMetas') = 'ARRAY' THEN from_json(d -> '$.toolMetas', '["JSON"]') END AS ms FROM er WHERE event_type = 'trace.artifacts')),
 sp AS (SELECT sid, no, k, {meta} AS x, {given} AS g FROM sm WHERE contains(lower(coalesce({tool}, '')), 'spawn'))
 SELECT sid, no, k, coalesce({named}) AS child_session_id, left(coalesce(CASE WHEN json_valid(g) THEN coalesce(nullif(g ->> '$.task', ''), nullif(g ->> '$.prompt', '')) END, g, '{{}}'), 300) AS task FROM sp"""
+    prompts = "event_type IN ('context.compiled', 'prompt.submitted')"
+    attrs = out["event_sessions"].removeprefix("WITH ").removeprefix(rows.strip()).strip().removeprefix(",").strip()
+    head, tail = attrs.split("SELECT sid, coalesce(CASE", 1)
+    # What the sessions say of themselves, then the greedy matching, turn by turn.
+    greedy = f"""{head.rstrip()},
+attrs AS (SELECT sid, coalesce(CASE{tail}),
+mt AS (SELECT sid, no, "row", event_type = 'model.completed' AS model FROM er WHERE event_type = 'trace.artifacts' OR (event_type = 'model.completed' AND json_array_length(d, '$.assistantTexts') > 0)),
+m0 AS (SELECT sid, coalesce(list({{'no': no, 'row': "row"}} ORDER BY no, "row") FILTER (model), []) AS ms, coalesce(list({{'no': no, 'row': "row"}} ORDER BY no, "row") FILTER (NOT model), []) AS arts FROM mt GROUP BY sid),
+gr AS (SELECT sid, ms, arts AS lft, 1 AS i, NULL::STRUCT(d BIGINT, "no" BIGINT, "row" BIGINT) AS b FROM m0
+  UNION ALL SELECT sid, ms, CASE WHEN b2 IS NULL THEN lft ELSE list_filter(lft, lambda a: NOT (a.no = b2.no AND a."row" = b2."row")) END, i + 1, b2 FROM (SELECT *,
+    list_sort(list_transform(list_filter(lft, lambda a: abs(a.no - ms[i].no) <= 5), lambda a: {{'d': abs(a.no - ms[i].no), 'no': a.no, 'row': a."row"}}))[1] AS b2 FROM gr WHERE i <= len(ms))),
+am AS (SELECT sid, b.no AS artifact_no, b."row" AS artifact_row, ms[i - 1].no AS model_no, ms[i - 1]."row" AS model_row FROM gr WHERE b IS NOT NULL
+  UNION ALL SELECT sid, a.no, a."row", NULL, NULL FROM (SELECT sid, unnest(lft) AS a FROM gr WHERE i = len(ms) + 1))"""
+    recursive = "WITH RECURSIVE " + rows.strip() + ",\n" + greedy
+    out["artifact_match"] = recursive + "SELECT * FROM am".replace("SELECT", "\nSELECT", 1)
+    shown = "coalesce(nullif(m ->> '$.meta', ''), nullif(m ->> '$.output', ''), nullif(m ->> '$.result', ''), '')"
+    get = lambda k: f"(CASE WHEN json_valid(shown) THEN CASE WHEN json_type(shown) = 'OBJECT' THEN shown ->> '$.{k}' END END)"
+    truthy = lambda k: f"coalesce({get(k)} NOT IN ('', 'false', '0', '[]', '{{}}', 'null'), false)"
+    flagged = f"coalesce({get('isError')} = 'true', false) OR coalesce({get('is_error')} = 'true', false) OR {truthy('error')} OR {truthy('error_message')} OR coalesce({get('status')} = 'error', false)"
+    clean = f"{truthy('success')} OR {truthy('block_id')} OR {truthy('blocks')}"
+    failed = f"CASE WHEN NOT regexp_matches(shown, '\\S') THEN false WHEN {flagged} THEN true WHEN {clean} THEN false ELSE {any_of('shown', [*S.ERROR_TEXTS, 'connection refused'])} END"
+    told = "coalesce(m ->> '$.isError' = 'true', false) OR coalesce(m ->> '$.error' NOT IN ('', 'false', 'null'), false)"
+    metas = """mm AS (SELECT sid, no, "row", unnest(ms) AS m, unnest(range(len(ms))) AS k FROM (SELECT sid, no, "row", CASE WHEN json_type(d, '$.toolMetas') = 'ARRAY' THEN from_json(d -> '$.toolMetas', '["JSON"]') END AS ms FROM er WHERE event_type = 'trace.artifacts'))"""
+    thought = r"array_to_string(list_transform(regexp_extract_all(t, '(?s)<thinking>(.*?)</thinking>', 1), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), chr(10) || chr(10))"
+    assembled = f"""{metas},
+me AS (SELECT am.sid, coalesce(model_no, artifact_no + 1099511627776) AS at_, coalesce(model_row, artifact_row) AS rw, k, {tool} AS tool, {shown} AS shown, {told} AS told FROM am JOIN mm ON mm.sid = am.sid AND mm."row" = am.artifact_row),
+tu AS (SELECT sid, no, "row", d ->> '$.assistantTexts[#-1]' AS t FROM er WHERE event_type = 'model.completed' AND json_array_length(d, '$.assistantTexts') > 0),
+fp AS (SELECT sid, arg_min(no, ord) AS no, arg_min("row", ord) AS rw FROM er WHERE {prompts} GROUP BY sid),
+st0 AS (SELECT fp.sid, no AS at_, rw, 0 AS sub, 'reasoning' AS step_type, NULL::VARCHAR AS tool_name, '[任务理解] ' || left(user_input, 500) AS content, NULL::VARCHAR AS status FROM fp JOIN attrs USING (sid) WHERE user_input <> ''
+  UNION ALL SELECT sid, no, "row", 0, 'reasoning', NULL, left({thought}, 8000), NULL FROM tu WHERE {thought} <> ''
+  UNION ALL SELECT sid, no, "row", 1073741824, 'output', NULL, left({speak('t')}, 8000), NULL FROM tu WHERE {speak('t')} <> ''
+  UNION ALL SELECT sid, at_, rw, k * 2 + 1, 'tool_call', tool, NULL, NULL FROM me WHERE tool IS NOT NULL
+  UNION ALL SELECT sid, at_, rw, k * 2 + 2, 'tool_result', tool, left(shown, 5000), CASE WHEN told OR {failed} THEN 'error' ELSE 'success' END FROM me WHERE tool IS NOT NULL),
+asm AS (SELECT sid, row_number() OVER (PARTITION BY sid ORDER BY at_, rw, sub) AS step_id, step_type, tool_name, content, status FROM st0)"""
+    out["event_assembly"] = recursive + ",\n" + assembled + "\nSELECT * FROM asm"
+    parent = "(arg_max([coalesce(nullif(d ->> '$.parentSessionId', ''), nullif(d ->> '$.parent_session_id', ''), nullif(parent_session_id, ''))], ord) FILTER (event_type = 'session.started'))[1]"
+    out["event_outcomes"] = recursive + ",\n" + assembled + f""",
+pp AS (SELECT sid, {parent} AS parent_session_id FROM er GROUP BY sid),
+ps AS (SELECT sid, count(*) AS steps, count(*) FILTER (step_type = 'tool_call') AS tool_count, coalesce(array_to_string(list_sort(list(DISTINCT tool_name) FILTER (step_type = 'tool_call')), ','), '') AS unique_tools,
+  count(*) FILTER (step_type = 'tool_call' AND contains(lower(tool_name), 'spawn')) AS spawn_count, coalesce(bool_or(status = 'error'), false) AS failed FROM asm GROUP BY sid)
+SELECT sid, agent, model_version, rounds, steps, tool_count, unique_tools, spawn_count, parent_session_id, CASE WHEN final_status = 'success' THEN 'success' WHEN final_status IN ('error', 'failed') THEN 'failure' WHEN failed THEN 'likely_failure'
+  WHEN coalesce(final_output, '') <> '' THEN 'likely_success' ELSE 'unknown' END AS outcome FROM attrs JOIN ps USING (sid) JOIN pp USING (sid) WHERE steps >= 2"""
+    no_params = lambda c: rf"""NOT coalesce(CASE WHEN json_valid({c}) THEN CASE WHEN json_type({c}) = 'OBJECT' THEN len(list_filter(json_keys({c}), lambda k: ({c}::JSON -> k)::VARCHAR NOT IN ('""', '0', '0.0', 'false', 'null', '[]', '{{}}'))) > 0 END END, false)"""
+    out["call_backfill"] = _with(CANON, rows, metas) + f""",
+us AS (SELECT nullif(lower(regexp_replace(sid, '^\\s+|\\s+$', '', 'g')), '') AS sid, no, "row", k, {tool} AS tool, coalesce(nullif(m ->> '$.input', ''), nullif(m ->> '$.args', ''), nullif(m ->> '$.arguments', '')) AS params, {shown} AS shown, {told} AS told FROM mm),
+un AS (SELECT sid, tool, params, CASE WHEN regexp_matches(shown, '\\S') THEN shown END AS use_output, told OR {failed} AS bad, row_number() OVER (PARTITION BY sid, tool ORDER BY no, "row", k) AS nth FROM us WHERE sid IS NOT NULL AND tool IS NOT NULL),
+ca AS (SELECT sid, pos, tool, nullif(call_id, '') AS call, input_params AS own, row_number() OVER (PARTITION BY sid, tool ORDER BY pos) AS nth FROM f WHERE kind = 'tool_call' AND tool IS NOT NULL),
+re AS (SELECT sid, nullif(call_id, '') AS call, min(pos) AS result_pos, arg_min([output], pos)[1] AS output, arg_min(st, pos) AS status FROM f WHERE kind = 'tool_result' AND coalesce(call_id, '') <> '' GROUP BY 1, 2),
+cj AS (SELECT ca.*, use_output, bad, result_pos, output, re.status, {no_params('own')} AS was_empty, CASE WHEN {no_params('own')} THEN coalesce(CASE WHEN NOT {no_params('un.params')} THEN un.params END, CASE WHEN regexp_matches(own, '\\S') THEN own END, '{{}}') ELSE own END AS params
+  FROM ca LEFT JOIN un ON un.sid = ca.sid AND un.tool = ca.tool AND un.nth = ca.nth LEFT JOIN re ON re.sid = ca.sid AND re.call = ca.call)
+SELECT sid, pos, tool, call, nth, params, was_empty AND NOT {no_params('params')} AS params_filled, {no_params('params')} AS params_missing, result_pos,
+  CASE WHEN result_pos IS NOT NULL AND coalesce(output, '') = '' THEN use_output ELSE output END AS output, CASE WHEN result_pos IS NOT NULL AND coalesce(output, '') = '' AND coalesce(bad, false) THEN 'error' ELSE status END AS status,
+  result_pos IS NOT NULL AND coalesce(output, '') = '' AND use_output IS NOT NULL AS output_filled, result_pos IS NULL OR (coalesce(output, '') = '' AND use_output IS NULL) AS output_missing FROM cj"""
     out["nth_occurrence_backfill"] = _with(CANON) + """
 SELECT sid, tool, count(*) AS calls, count(*) FILTER (pos = first_pos) AS firsts FROM (SELECT sid, tool, pos, min(pos) OVER (PARTITION BY sid, tool) AS first_pos FROM f WHERE kind = 'tool_call' AND tool IS NOT NULL) GROUP BY ALL"""
     out["parent_links"] = f"""
