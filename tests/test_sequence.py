@@ -89,6 +89,19 @@ def test_retry_sequences(spark):
     assert [(r["failed_session"], r["success_session"], r["time_gap_sec"], r["fail_reason"], r["added_context"]) for r in got] == [("f", "g", 600, "timeout", "tonight")]
 
 
+def test_crowded_blocks_give_the_same_pairs(spark):
+    import random
+
+    rng = random.Random(8)
+    words = "copy the quarterly report to archive before friday and send it again with totals".split()
+    rows = [(f"s{i}", i, rng.choice(["failure", "success"]), " ".join(rng.sample(words, rng.randrange(1, 9))) if i % 11 else "", rng.randrange(0, 40) * 60_000_000) for i in range(120)]
+    scored = spark.createDataFrame([r[:4] for r in rows], "sid string, traj_id bigint, outcome string, user_input string")
+    us = spark.createDataFrame([(r[1], r[4]) for r in rows], "traj_id bigint, us bigint")
+    none = spark.createDataFrame([], "sid string, fail_reason string")
+    got = [{(r["failed_session"], r["success_session"], r["input_similarity"]) for r in specialist.retry_sequences(scored, us, none, least=0.5, direct=d).collect()} for d in (10**6, 200, 0)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 20
+
+
 def test_abort_reasons(spark):
     texts = ["超出范围", "please confirm, waiting", "do it in a batch", "I must WAIT", "bye"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(specialist.abort_reason(F.col("t"))).collect()]

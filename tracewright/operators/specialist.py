@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import quantise
 from tracewright.operators.ordered import changes, look_around, with_running_sum
+from tracewright.sources.tables import lookup
 
 # What an output says that stops on purpose; case matters.
 ABORT_SIGNALS = [
@@ -68,10 +70,15 @@ def abort_reason(text: Column) -> Column:
     return out.otherwise("other")
 
 
+def signals_abort(text: Column) -> Column:
+    """Whether `text` says that the work stops on purpose."""
+    return _holds(text, ABORT_SIGNALS)
+
+
 def graceful_aborts(last_outputs: DataFrame, scored: DataFrame) -> DataFrame:
     """Sessions with calls and no error whose final output or last output step says that they stop, and why."""
     s = scored.filter("tool_calls > 0 and error_steps = 0").select("sid", "outcome", "final_output", "steps", "tool_calls").join(last_outputs, "sid", "left")
-    said = _holds(F.col("final_output"), ABORT_SIGNALS) | _holds(F.col("last_output"), ABORT_SIGNALS)
+    said = signals_abort(F.col("final_output")) | signals_abort(F.col("last_output"))
     text = F.coalesce(F.nullif("final_output", F.lit("")), F.col("last_output"), F.lit(""))
     return s.filter(said).select("sid", "outcome", abort_reason(text).alias("abort_reason"), F.left(F.coalesce("final_output", F.lit("")), F.lit(500)).alias("abort_signal"), "steps", "tool_calls")
 
@@ -110,7 +117,42 @@ def band_join(left: DataFrame, right: DataFrame, us_left: str, us_right: str, wi
     return a.join(b, "_b").filter((F.col(us_right) >= F.col(us_left)) & (F.col(us_right) - F.col(us_left) <= width_us)).drop("_b")
 
 
-def retry_sequences(scored: DataFrame, instants: DataFrame, first_errors: DataFrame, minutes: int = 15, least: float = 0.3) -> DataFrame:
+#: Pairs of a block beyond which its rows meet by the rare parts of their requests only.
+DIRECT_PAIRS = 1_000_000
+
+
+def _set_similarity(a: str, b: str) -> Column:
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
+
+
+def similar_in_band(a: DataFrame, b: DataFrame, width_us: int, least: float, direct: int = DIRECT_PAIRS) -> DataFrame:
+    """`a` (`a_us`, `a_grams`, `a_traj_id`, …) with the rows of `b` at most `width_us` later whose sets are alike by `least`, as `sim`.
+
+    Both sides meet by blocks of the band's width. Where a block has more than `direct` pairs, its rows meet by the elements among which any two sets that
+    are alike must share one, the rarest of each set, so that not every pair of a crowded block is compared; the pairs found are the same.
+    """
+    at = lambda df, us: df.withColumn("_b", F.expr(f"{us} div {width_us}"))
+    x = at(a, "a_us")
+    y = b.withColumn("_b", F.explode(F.array(F.expr(f"b_us div {width_us}"), F.expr(f"b_us div {width_us} - 1"))))
+    crowd = x.groupBy("_b").agg(F.count("*").alias("m")).join(y.groupBy("_b").agg(F.count("*").alias("n")), "_b").filter(F.col("m") * F.col("n") > direct).select("_b", F.lit(True).alias("_hot"))
+    crowd = lookup(crowd)
+    x, y = x.join(crowd, "_b", "left"), y.join(crowd, "_b", "left")
+    near = (F.col("b_us") >= F.col("a_us")) & (F.col("b_us") - F.col("a_us") <= width_us)
+    plain = x.filter("_hot is null").drop("_hot").join(y.filter("_hot is null").drop("_hot"), "_b").drop("_b")
+    hx, hy = x.filter("_hot").drop("_hot"), y.filter("_hot").drop("_hot")
+    grams = hx.select(F.explode("a_grams").alias("g")).unionByName(hy.select(F.explode("b_grams").alias("g"))).groupBy("g").agg(F.count("*").alias("c"))
+
+    def rare(df: DataFrame, p: str) -> DataFrame:
+        each = df.select(f"{p}_traj_id", "_b", F.size(f"{p}_grams").alias("size"), F.explode(f"{p}_grams").alias("g")).join(grams, "g")
+        ranked = each.withColumn("k", F.row_number().over(W.partitionBy(f"{p}_traj_id", "_b").orderBy("c", "g")))
+        return ranked.filter(F.col("k") <= F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).select(f"{p}_traj_id", "_b", "g")
+
+    met = rare(hx, "a").join(rare(hy, "b"), ["_b", "g"]).select("_b", "a_traj_id", "b_traj_id").distinct()
+    crowded = met.join(hx, ["_b", "a_traj_id"]).join(hy, ["_b", "b_traj_id"]).select(*plain.columns)
+    return plain.unionByName(crowded).filter(near).withColumn("sim", _set_similarity("a_grams", "b_grams")).filter(F.col("sim") >= least)
+
+
+def retry_sequences(scored: DataFrame, instants: DataFrame, first_errors: DataFrame, minutes: int = 15, least: float = 0.3, direct: int = DIRECT_PAIRS) -> DataFrame:
     """A failed session and a later success of like request at most `minutes` after it: gap, similarity, reason and words added.
 
     `instants` gives `traj_id` and `us`; sessions without an instant take no part. Of equal instants the smaller `traj_id` comes first.
@@ -119,15 +161,11 @@ def retry_sequences(scored: DataFrame, instants: DataFrame, first_errors: DataFr
     timed = timed.withColumn("grams", bigrams(F.col("ask")))
     a = timed.filter(F.col("outcome").isin(*BAD)).select(*[F.col(c).alias(f"a_{c}") for c in timed.columns])
     b = timed.filter(F.col("outcome").isin(*GOOD)).select(*[F.col(c).alias(f"b_{c}") for c in timed.columns])
-    pairs = band_join(a, b, "a_us", "b_us", minutes * 60_000_000).filter("b_us > a_us or b_traj_id > a_traj_id")
-    sim = F.when(
-        (F.size("a_grams") > 0) & (F.size("b_grams") > 0), F.size(F.array_intersect("a_grams", "b_grams")) / F.size(F.array_union("a_grams", "b_grams"))
-    ).otherwise(0.0)
+    pairs = similar_in_band(a, b, minutes * 60_000_000, least, direct).filter("b_us > a_us or b_traj_id > a_traj_id")
     old, new = (F.split(F.trim(F.regexp_replace(F.col(c), r"\s+", " ")), " ") for c in ("a_ask", "b_ask"))
     added = F.array_join(F.slice(F.filter(new, lambda w: ~F.array_contains(old, w)), 1, 30), " ")
     return (
-        pairs.withColumn("sim", sim).filter(F.col("sim") >= least)
-        .join(first_errors.withColumnRenamed("sid", "a_sid"), "a_sid", "left")
+        pairs.join(first_errors.withColumnRenamed("sid", "a_sid"), "a_sid", "left")
         .select(
             F.col("a_sid").alias("failed_session"), F.col("b_sid").alias("success_session"), F.expr("(b_us - a_us) div 1000000").alias("time_gap_sec"),
             quantise(F.col("sim"), 3).alias("input_similarity"), F.coalesce("fail_reason", F.lit("unknown")).alias("fail_reason"), added.alias("added_context"),

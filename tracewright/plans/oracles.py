@@ -232,6 +232,8 @@ SELECT sid, use, CASE WHEN use = 'low_value' THEN 'rejected' WHEN outcome <> 'un
   outcome = 'unknown' AND use <> 'low_value' AS review FROM sc WHERE steps >= 2"""
     out["retry_kind"] = _with(CANON, RETRIES) + "SELECT sid, pos, error_class, failed_tool, recovery_kind, resolved, retry_loop, intent_only FROM ret"
     out["diverge_point"] = _with(CANON, RETRIES) + "SELECT sid, pos, error_class, recovery_kind, priority FROM dv"
+    out["abort_reasons"] = f"""
+SELECT source, coalesce(regexp_matches(final_output, {_q("|".join(map(re.escape, specialist.ABORT_SIGNALS)))}), false) AS stops, {_reason("coalesce(final_output, '')")} AS reason, count(*) AS n FROM trajectories GROUP BY ALL"""
     out["item_resolved"] = _with(CANON, RETRIES) + "SELECT sid, pos FROM ir"
     out["fingerprint_clusters"] = _with(CANON, SESSIONS, RETRIES, PAIRS) + "SELECT fp, count(*) AS sessions, count(*) FILTER (outcome IN ('success', 'likely_success')) AS good FROM cand GROUP BY fp"
     pairs = _with(CANON, SESSIONS, RETRIES, PAIRS)
@@ -413,6 +415,15 @@ SELECT sid, pos, tool, call, nth, params, was_empty AND NOT {no_params('params')
   result_pos IS NOT NULL AND coalesce(output, '') = '' AND use_output IS NOT NULL AS output_filled, result_pos IS NULL OR (coalesce(output, '') = '' AND use_output IS NULL) AS output_missing FROM cj"""
     out["nth_occurrence_backfill"] = _with(CANON) + """
 SELECT sid, tool, count(*) AS calls, count(*) FILTER (pos = first_pos) AS firsts FROM (SELECT sid, tool, pos, min(pos) OVER (PARTITION BY sid, tool) AS first_pos FROM f WHERE kind = 'tool_call' AND tool IS NOT NULL) GROUP BY ALL"""
+    clean = lambda c: rf"string_split(regexp_replace(regexp_replace({c}, '\s+', ' ', 'g'), '^ | $', '', 'g'), ' ')"
+    out["retry_by_ingestion"] = _with(CANON, SESSIONS) + f""",
+t AS (SELECT sid, traj_id, epoch_us(ingested_at) AS us, outcome, coalesce(user_input, '') AS ask, left(coalesce(user_input, ''), 200) AS s FROM sc WHERE ingested_at IS NOT NULL),
+tg AS (SELECT *, list_distinct(list_transform(range(1, length(s)), lambda i: substring(s, i, 2))) AS g FROM t),
+fe AS (SELECT sid, arg_min(error_kind, pos) AS fail_reason FROM f WHERE st = 'error' GROUP BY sid),
+p AS (SELECT a.sid AS failed_session, b.sid AS success_session, (b.us - a.us) // 1000000 AS time_gap_sec, len(list_intersect(a.g, b.g))::DOUBLE / len(list_distinct(list_concat(a.g, b.g))) AS sim, coalesce(fail_reason, 'unknown') AS fail_reason,
+  array_to_string(list_filter({clean('b.ask')}, lambda w: NOT list_contains({clean('a.ask')}, w))[1:30], ' ') AS added_context
+  FROM tg a JOIN tg b ON a.outcome IN ('failure', 'likely_failure') AND b.outcome IN ('success', 'likely_success') AND b.us >= a.us AND b.us - a.us <= 86400000000 AND (b.us > a.us OR b.traj_id > a.traj_id) AND len(a.g) > 0 AND len(b.g) > 0 LEFT JOIN fe ON fe.sid = a.sid)
+SELECT failed_session, success_session, time_gap_sec, {quantised('sim', 3)} AS input_similarity, fail_reason, added_context FROM p WHERE sim >= 0.3"""
     out["parent_links"] = f"""
 WITH s AS (SELECT * FROM (SELECT {_SID} AS sid, parent_session_id, row_number() OVER (PARTITION BY {_SID} ORDER BY ingested_at DESC NULLS LAST, traj_id DESC) AS rn FROM trajectories) WHERE rn = 1 AND sid IS NOT NULL),
 k AS (SELECT sid AS child, nullif(lower(regexp_replace(parent_session_id, '^\\s+|\\s+$', '', 'g')), '') AS parent FROM s)

@@ -111,6 +111,12 @@ def item_resolved(spark, d):
     return sequence.items_resolved(_facts(spark, d))
 
 
+def abort_reasons(spark, d):
+    """What the final outputs of all sessions would be taken for: whether they say that they stop, and why."""
+    out = table(spark, d, "trajectories").select("source", specialist.signals_abort(F.col("final_output")).alias("stops"), specialist.abort_reason(F.coalesce("final_output", F.lit(""))).alias("reason"))
+    return out.groupBy("source", "stops", "reason").agg(F.count("*").alias("n"))
+
+
 def fingerprint_clusters(spark, d):
     c = pairing.candidates(_scored(spark, d))
     return c.groupBy("fp").agg(F.count("*").alias("sessions"), F.count_if(F.col("outcome").isin("success", "likely_success")).alias("good"))
@@ -213,6 +219,13 @@ def retry_sequences(spark, d):
     return specialist.retry_sequences(_scored(spark, d, own), instants.toDF("traj_id", "us"), specialist.first_errors(own))
 
 
+def retry_by_ingestion(spark, d):
+    """Retries by the time a session was ingested, over a day: times that SQL can read as well."""
+    own, sessions = _facts(spark, d), table(spark, d, "trajectories")
+    instants = sessions.select("traj_id", F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("us")).filter("us is not null")
+    return specialist.retry_sequences(_scored(spark, d, own), instants, specialist.first_errors(own), minutes=1440)
+
+
 def sft_messages(spark, d):
     return render.messages(table(spark, d, "steps"))
 
@@ -353,8 +366,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES = (
     error_taxonomy_recovery, error_taxonomy_tools, error_samples, fault_injection_targets, step_type_normalise, status_normalise, outcome_normalise,
     error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
-    diverge_point, item_resolved, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
-    stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, sft_messages,
+    diverge_point, item_resolved, abort_reasons, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
+    stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, retry_by_ingestion, sft_messages,
     sft_rows, export_sft, training_samples, tool_call_samples, long_plan_switches, retry_preferences, subagent_spawns, budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
     structured_sessions, structured_steps, parsed_sessions,
     p2_found, p2_unified, p7_found,
