@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -142,11 +144,14 @@ def tiles(a: list[str], b: list[str], least: int = 3) -> int:
     word before them, so a repetitive text is not met at every place that only continues a run; long runs are measured by hashes of what
     stands before each word, not word by word.
     """
-    ids = {w: n for n, w in enumerate(dict.fromkeys(a + b), 1)}
-    sums = [list(accumulate((ids[w] for w in x), lambda h, v: (h * _BASE + v) % _PRIME, initial=0)) for x in (a, b)]
-    powers = list(accumulate(range(min(len(a), len(b))), lambda h, _: h * _BASE % _PRIME, initial=1))
+    sums: list[list[int]] = []
+    powers: list[int] = []
 
     def alike(i: int, j: int, k: int) -> bool:
+        if not sums:
+            ids = {w: n for n, w in enumerate(dict.fromkeys(a + b), 1)}
+            sums.extend(list(accumulate((ids[w] for w in x), lambda h, v: (h * _BASE + v) % _PRIME, initial=0)) for x in (a, b))
+            powers.extend(accumulate(range(min(len(a), len(b))), lambda h, _: h * _BASE % _PRIME, initial=1))
         return (sums[0][i + k] - sums[1][j + k] - (sums[0][i] - sums[1][j]) * powers[k]) % _PRIME == 0
 
     at: dict[tuple, dict[str | None, list[int]]] = {}
@@ -194,8 +199,19 @@ def copied(request: list[str], text: str) -> bool:
     own = words(_TAG.sub(" ", text))
     if not request or not own or len(own) > 2 * len(request) + 20:
         return False
-    n = tiles(own, request, 2 if len(request) < 8 else 3)
-    return n >= COPY_OF_ANSWER * len(own) and n >= COPY_OF_REQUEST * len(request)
+    enough = max(COPY_OF_ANSWER * len(own), COPY_OF_REQUEST * len(request))
+    # Tiles cover no more words than both have in common, whatever their order.
+    return (Counter(own) & Counter(request)).total() >= enough and tiles(own, request, 2 if len(request) < 8 else 3) >= enough
+
+
+@lru_cache(maxsize=4)
+def _request_words(request: str) -> list[str]:
+    return words(request)
+
+
+@lru_cache(maxsize=4)
+def _wanted_language(request: str) -> str | None:
+    return asked_language(request) or language(request)
 
 
 def defect(request: str | None, text: str | None) -> str | None:
@@ -203,13 +219,13 @@ def defect(request: str | None, text: str | None) -> str | None:
     if text is None or not _ALNUM.search(_TAG.sub(" ", text)):
         return "empty"
     request = request or ""
-    if copied(words(request), text):
+    if copied(_request_words(request), text):
         return "copy_of_prompt"
     if refusal(text):
         return "refusal"
     if truncated(text):
         return "truncated"
-    wanted, own = asked_language(request) or language(request), language(text)
+    wanted, own = _wanted_language(request), language(text)
     return "other_language" if wanted and own and wanted != own else None
 
 
