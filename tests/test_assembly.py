@@ -76,3 +76,17 @@ def test_different_events_under_one_number_are_all_kept(spark):
     assert [(r["step_type"], r["tool_name"] or r["content"]) for r in steps] == [
         ("tool_call", "a"), ("tool_result", "a"), ("output", "x"), ("tool_call", "b"), ("tool_result", "b"), ("output", "y")
     ]
+
+
+def test_long_chains_are_matched_alike_and_in_proportion(spark):
+    import random
+    import time
+
+    rng = random.Random(6)
+    meta, text = {"toolMetas": []}, {"assistantTexts": ["x"]}
+    rows = assembly.event_rows(events(spark, [(rng.randrange(0, 400), *(("trace.artifacts", meta | {"i": i}) if rng.random() < 0.5 else ("model.completed", text | {"i": i}))) for i in range(300)]))
+    short, long = ({tuple(r) for r in assembly.match_artifacts(rows, long_chain=n).collect()} for n in (10**6, 0))
+    assert short == long and len(long) > 100
+    many = spark.range(60_000).selectExpr("'s' sid", "id no", "id row", "if(id % 2 = 0, 'model.completed', 'trace.artifacts') type", "array('t') texts")
+    at = time.time()
+    assert assembly.match_artifacts(many).filter("model_no is not null").count() == 30_000 and time.time() - at < 60

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from tracewright.functions.steps import ERROR_TEXTS
 from tracewright.functions.text import contains_any, filled, fingerprint, is_blank, strip, truthy_coalesce
@@ -89,11 +95,35 @@ def session_attributes(rows: DataFrame, unnamed: str = "unnamed") -> DataFrame:
     )
 
 
-def match_artifacts(rows: DataFrame, window: int = 5) -> DataFrame:
+#: Events of a chain up to which it is folded by built-ins, whose cost grows with the square of the chain; beyond, by a pass whose cost does not.
+LONG_CHAIN = 1_000
+_PLACE = "struct<no:bigint,row:bigint>"
+_MATCHED = f"sid string, artifact {_PLACE}, model {_PLACE}"
+
+
+def _fold_long(window: int):
+    """Greedy matching of the arrays `models` and `arts` of each chain, artifacts looked up by number."""
+    schema = to_arrow_schema(StructType.fromDDL(_MATCHED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sid, models, arts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                numbers, by = [a["no"] for a in arts], [None] * len(arts)
+                for m in models:
+                    lo, hi = bisect_left(numbers, m["no"] - window), bisect_right(numbers, m["no"] + window)
+                    best = min(((abs(numbers[i] - m["no"]), i) for i in range(lo, hi) if by[i] is None), default=None)
+                    if best is not None:
+                        by[best[1]] = m
+                yield pa.RecordBatch.from_pylist([{"sid": sid, "artifact": a, "model": m} for a, m in zip(arts, by, strict=True)], schema)
+
+    return run
+
+
+def match_artifacts(rows: DataFrame, window: int = 5, long_chain: int = LONG_CHAIN) -> DataFrame:
     """`sid`, `artifact_no`, `artifact_row`, `model_no`, `model_row`: each model turn with texts takes the nearest artifact left within `window` numbers; null where none took it.
 
     Turns choose in order and what one takes is gone for the next, so each chain of events is folded in order. A gap of more than
-    `window` numbers parts chains, and only numbers are gathered.
+    `window` numbers parts chains, and only numbers are gathered, 16 bytes an event. The fold of a chain costs in proportion to its events.
     """
     own = rows.filter("type = 'trace.artifacts' or (type = 'model.completed' and size(texts) > 0)").select("sid", "no", "row", (F.col("type") == "model.completed").alias("model"))
     placed = with_position(own, "sid", "no", "row")
@@ -115,11 +145,16 @@ def match_artifacts(rows: DataFrame, window: int = 5) -> DataFrame:
             )
         )
 
-    folded = chains.select("sid", F.aggregate("models", start, take).alias("r"))
+    size = F.size("models") + F.size("arts")
+    chains = chains.select("sid", "models", "arts")
+    # Long chains are emptied, not only filtered: filters that the optimiser infers from what follows may come before.
+    short = chains.select("sid", *[F.when(size <= long_chain, F.col(c)).otherwise(F.slice(c, 1, 0)).alias(c) for c in ("models", "arts")])
+    folded = short.select("sid", F.aggregate("models", start, take).alias("r"))
     taken = folded.select("sid", F.explode("r.taken").alias("t")).select("sid", "t.artifact", "t.model")
     left = folded.select("sid", F.explode("r.left").alias("artifact")).withColumn("model", F.lit(None).cast("struct<no:bigint,row:bigint>"))
     named = [F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("artifact", "model") for c in ("no", "row")]
-    return taken.unionByName(left).select("sid", *named)
+    long = chains.filter(size > long_chain).mapInArrow(_fold_long(window), _MATCHED)
+    return taken.unionByName(left).unionByName(long).select("sid", *named)
 
 
 def assembled_steps(rows: DataFrame) -> DataFrame:
