@@ -16,7 +16,7 @@ from tracewright.functions.text import fingerprint_pair, quantise, truthy_coales
 from tracewright.operators.facts import PIECE
 from tracewright.operators.ordered import with_running_sum
 from tracewright.operators.pairing import capped_groups, jaccard, pools
-from tracewright.sources.tables import lookup
+from tracewright.sources.tables import cut_lineage, lookup
 
 #: What a prompt opens with unless the caller has a text of their own.
 SYSTEM = "You are an agent with skills and tools. Reason step by step, stay within the skill at hand and handle errors with care."
@@ -101,13 +101,14 @@ def error_pairs(cands: DataFrame, facts: DataFrame, steps: DataFrame, diverged:
     """
     good, bad = pools(cands)
     rank = lambda order: F.row_number().over(W.partitionBy("fp").orderBy(order, "sid"))
-    best = lookup(good.withColumn("rank", rank(F.desc("total"))).filter("rank <= 5"))
-    worst = lookup(bad.withColumn("rank", rank(F.asc("total"))).filter("rank <= 10"))
+    # Tables with texts are written once but never broadcast: their rows are few, their size is not bounded.
+    best = cut_lineage(good.withColumn("rank", rank(F.desc("total"))).filter("rank <= 5"))
+    worst = cut_lineage(bad.withColumn("rank", rank(F.asc("total"))).filter("rank <= 10"))
     sides = best.select("sid").unionByName(worst.select("sid")).distinct()
-    text = lookup(head_texts(facts, steps, sides, GLOBAL_STEPS))
+    text = cut_lineage(head_texts(facts, steps, sides, GLOBAL_STEPS))
     errors = diverged.join(worst.select("sid"), "sid", "left_semi").join(resolved.withColumn("item_resolved", F.lit(True)), ["sid", "pos"], "left")
     errors = lookup(errors.withColumn("item_resolved", F.coalesce("item_resolved", F.lit(False))))
-    around = lookup(error_texts(facts, steps, errors))
+    around = cut_lineage(error_texts(facts, steps, errors))
     better = F.col("recovery_kind").isin("adaptive_retry", "backoff_retry")
     quality = (
         F.when(F.col("retry_loop") & ~F.col("resolved"), "low").when(F.col("intent_only"), "high")
@@ -169,7 +170,7 @@ def quality_pairs(cands: DataFrame, facts: DataFrame, steps: DataFrame, error_fo
     """
     good, _ = pools(cands)
     head = heads(facts, good.select("sid"), QUALITY_STEPS).groupBy("sid").agg(F.xxhash64(F.transform(F.array_sort(F.collect_list(F.struct("pos", "mark"))), lambda x: x["mark"])).alias("head"))
-    own = good.join(head, "sid").withColumn("units", F.floor(F.col("total") * 10000 + 0.5)).select("fp", "sid", "tools", "total", "units", "head", "steps", "user_input")
+    own = good.join(head, "sid").withColumn("units", F.floor(F.col("total") * 10000 + 0.5)).select("fp", "sid", "tools", "total", "units", "head", "steps")
     step = int(gap * 10000 + 0.5)
     sets = lookup(_lowest_two(own, ["fp", "tools"]))
     asked = sets.select("fp", "tools").distinct()
@@ -177,7 +178,7 @@ def quality_pairs(cands: DataFrame, facts: DataFrame, steps: DataFrame, error_fo
     floor = _lowest_two(reach.select("fp", "tools", "head", "units"), ["fp", "tools"]).groupBy("fp", "tools").agg(F.array_sort(F.collect_list(F.struct("units", "head"))).alias("low"))
     has = F.exists("low", lambda x: (x["head"] != F.col("head")) & (x["units"] <= F.col("units") - step))
     high = own.join(lookup(floor), ["fp", "tools"]).filter(has).withColumn("k", F.row_number().over(W.partitionBy("fp").orderBy(F.desc("total"), "sid"))).filter(F.col("k") <= cap)
-    h = lookup(high.select("fp", *[F.col(c).alias(f"h_{c}") for c in ("sid", "tools", "total", "units", "head", "steps", "user_input")]))
+    h = lookup(high.select("fp", *[F.col(c).alias(f"h_{c}") for c in ("sid", "tools", "total", "units", "head", "steps")]))
     lo = own.select("fp", *[F.col(c).alias(f"l_{c}") for c in ("sid", "tools", "total", "units", "head", "steps")])
     raw = jaccard(F.col("h_tools"), F.col("l_tools"))
     met = lo.join(h, "fp").filter((F.col("h_units") - F.col("l_units") >= step) & (F.col("h_head") != F.col("l_head"))).withColumn("raw", raw).filter(F.col("raw") >= least)
@@ -185,8 +186,9 @@ def quality_pairs(cands: DataFrame, facts: DataFrame, steps: DataFrame, error_fo
     pairs = met.withColumn("m", F.row_number().over(order)).filter(F.col("m") <= cap)
     taken = error_found.groupBy(F.col("task_type").alias("fp")).agg(F.count("*").alias("taken"))
     kept = lookup(pairs.join(taken, "fp", "left").withColumn("n", F.col("m") + F.coalesce("taken", F.lit(0))).filter(F.col("n") <= cap))
-    text = lookup(head_texts(facts, steps, kept.select(F.col("h_sid").alias("sid")).unionByName(kept.select(F.col("l_sid").alias("sid"))).distinct(), QUALITY_STEPS))
-    j = kept.join(text.toDF("h_sid", "chosen"), "h_sid").join(text.toDF("l_sid", "rejected"), "l_sid")
+    text = cut_lineage(head_texts(facts, steps, kept.select(F.col("h_sid").alias("sid")).unionByName(kept.select(F.col("l_sid").alias("sid"))).distinct(), QUALITY_STEPS))
+    asked = good.join(kept.select(F.col("h_sid").alias("sid")), "sid", "left_semi").select(F.col("sid").alias("h_sid"), F.col("user_input").alias("h_user_input"))
+    j = kept.join(text.toDF("h_sid", "chosen"), "h_sid").join(text.toDF("l_sid", "rejected"), "l_sid").join(asked, "h_sid")
     none = lambda t: F.lit(None).cast(t)
     return j.select(
         F.sha2(F.concat_ws(":", F.lit("quality"), "h_sid", "l_sid"), 256).alias("pair_id"), F.lit("quality_comparison").alias("pair_type"), F.lit("medium").alias("pair_quality"), F.col("fp").alias("task_type"),
@@ -202,7 +204,7 @@ def quality_pairs(cands: DataFrame, facts: DataFrame, steps: DataFrame, error_fo
 
 def run_pairing(cands: DataFrame, facts: DataFrame, steps: DataFrame, diverged: DataFrame, resolved: DataFrame, least: float = 0.5, cap: int = 10) -> DataFrame:
     """All pairs of the candidates, those at errors first: at most `cap` a task."""
-    found = lookup(error_pairs(cands, facts, steps, diverged, resolved, least, cap))
+    found = cut_lineage(error_pairs(cands, facts, steps, diverged, resolved, least, cap))
     return found.unionByName(quality_pairs(cands, facts, steps, found, least, 0.05, cap))
 
 

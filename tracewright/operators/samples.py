@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tracewright.operators.ordered import look_around, with_position
 from tracewright.operators.preferences import head_texts, with_texts
 from tracewright.operators.specialist import abort_reason
-from tracewright.sources.tables import lookup
+from tracewright.sources.tables import cut_lineage, lookup
 
 #: Data sets whose samples hold messages, and the shortest conversation that is exported.
 WITH_MESSAGES, LEAST_MESSAGES = ("sft_positive", "recovery_training", "graceful_abort"), 3
@@ -79,7 +79,7 @@ def tool_call_samples(chosen: DataFrame, facts: DataFrame, steps: DataFrame) ->
 def retry_preferences(sequences: DataFrame, facts: DataFrame, steps: DataFrame, last: int = 10) -> DataFrame:
     """`specialist.retry_sequences` as preferences: `chosen` and `rejected`, the first steps of the later and of the earlier attempt."""
     sids = sequences.select(F.col("failed_session").alias("sid")).unionByName(sequences.select(F.col("success_session").alias("sid"))).distinct()
-    text = lookup(head_texts(facts, steps, sids, last))
+    text = cut_lineage(head_texts(facts, steps, sids, last))
     return (
         sequences.join(text.toDF("success_session", "chosen"), "success_session", "left").join(text.toDF("failed_session", "rejected"), "failed_session", "left")
         .select("failed_session", "success_session", "time_gap_sec", "input_similarity", F.coalesce("chosen", F.lit("")).alias("chosen"), F.coalesce("rejected", F.lit("")).alias("rejected"))
