@@ -118,10 +118,13 @@ def agreement(events: DataFrame, gap_us: int | None = None) -> DataFrame:
     per_silence = placed.groupBy("channel", "session_no").agg(F.count("*").alias("convs"), F.min("conv").alias("conv"))
     per_conv = placed.groupBy("conv").agg(F.count("*").alias("parts"))
     alone = per_silence.filter("convs = 1").join(per_conv.filter("parts = 1"), "conv").agg(F.count("*").alias("equal"))
-    return (
-        per_conv.agg(F.count("*").alias("written")).crossJoin(per_silence.agg(F.count("*").alias("by_silence"))).crossJoin(alone)
-        .select(F.lit(gap_us).cast("bigint").alias("gap_us"), "written", "by_silence", "equal")
-    )
+    none = F.lit(None).cast("bigint")
+    parts = per_conv.agg(F.count("*").alias("written")).select("written", none.alias("by_silence"), none.alias("equal"))
+    parts = parts.unionByName(per_silence.agg(F.count("*").alias("by_silence")).select(none.alias("written"), "by_silence", none.alias("equal")))
+    parts = parts.unionByName(alone.select(none.alias("written"), none.alias("by_silence"), "equal"))
+    return parts.agg(F.max("written").alias("written"), F.max("by_silence").alias("by_silence"), F.max("equal").alias("equal")).select(
+        F.lit(gap_us).cast("bigint").alias("gap_us"), "written", "by_silence", "equal"
+    )
 
 
 def _by_number(turns: DataFrame) -> DataFrame:
