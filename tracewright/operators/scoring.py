@@ -69,3 +69,18 @@ def routed(sessions: DataFrame, min_steps: int = 2, max_steps: int | None = None
     kept = ~unknown | F.lit(include_unknown) | F.col("use").isin("dpo_candidate", "recovery_training", "skill_violation_neg", "graceful_abort")
     bucket = F.when(F.col("use") == "low_value", "rejected").when(kept, F.col("use"))
     return sessions.filter(fits).withColumn("bucket", bucket).withColumn("review", unknown & (F.col("use") != "low_value"))
+
+
+def counters(sessions: DataFrame, min_steps: int = 2) -> DataFrame:
+    """`counter`, `n`, `share` (percent of all) over `scored` sessions: all, filtered by length, per use, put up for review and extracted."""
+    own = routed(sessions, 0).withColumn("short", F.col("steps") < min_steps)
+    kept = ~F.col("short")
+    names = F.array_compact(
+        F.array(
+            F.lit("total"), F.when(F.col("short"), "filtered_min_steps"), F.when(kept, F.concat(F.lit("use."), F.col("use"))), F.when(kept & F.col("review"), "needs_review"),
+            F.when(kept & F.col("bucket").isNotNull() & (F.col("bucket") != "rejected"), "extracted"),
+        )
+    )
+    per = own.select(F.explode(names).alias("counter")).groupBy("counter").agg(F.count("*").alias("n"))
+    total = per.filter("counter = 'total'").select(F.lit(1).alias("_one"), F.col("n").alias("_all"))
+    return per.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select("counter", "n", quantise(F.col("n") * 100 / F.col("_all"), 2).alias("share"))

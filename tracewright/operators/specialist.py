@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import quantise
+from tracewright.operators import taxonomy
 from tracewright.operators.ordered import changes, look_around, with_running_sum
 from tracewright.sources.tables import lookup
 
@@ -178,3 +179,17 @@ def first_errors(facts: DataFrame) -> DataFrame:
     return facts.filter("st = 'error'").groupBy("sid").agg(F.min_by("error_kind", "pos").alias("fail_reason"))
 
 
+
+
+#: The specialist data sets, by name.
+DATA_SETS = ("tool_call_pairs", "long_plan", "graceful_abort", "error_taxonomy", "retry_sequences", "subagent_collab")
+
+
+def run_all(facts: DataFrame, scored: DataFrame, last_outputs: DataFrame, instants: DataFrame, wanted: tuple[str, ...] = DATA_SETS, minutes: int = 15) -> dict[str, DataFrame]:
+    """The `wanted` data sets, by name, over the same facts and scores."""
+    makers = {
+        "tool_call_pairs": lambda: tool_call_pairs(facts, scored), "long_plan": lambda: long_plans(facts, scored), "graceful_abort": lambda: graceful_aborts(last_outputs, scored),
+        "error_taxonomy": lambda: taxonomy.taxonomy(taxonomy.error_events(facts)), "retry_sequences": lambda: retry_sequences(scored, instants, first_errors(facts), minutes),
+        "subagent_collab": lambda: subagent_work(facts, scored),
+    }
+    return {name: make() for name, make in makers.items() if name in wanted}

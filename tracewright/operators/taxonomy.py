@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.text import quantise
 from tracewright.operators.ordered import look_around
+from tracewright.operators.preferences import with_texts
 
 # Advice per class of error, and the remark on classes that recover already.
 ADVICE = {
@@ -105,3 +106,14 @@ def injection_targets(table: DataFrame) -> DataFrame:
         "error_type", F.col("count").alias("occurrence_count"), "session_count", "recovery_rate", "rl_priority", rate.alias("injection_rate"),
         quantise(F.lit(0.8) - F.col("recovery_rate"), 3).alias("gap"),
     ).orderBy(F.when(F.col("rl_priority") == "high", 0).when(F.col("rl_priority") == "medium", 1).otherwise(2), F.desc("occurrence_count"), "error_type")
+
+
+def injection_contexts(events: DataFrame, facts: DataFrame, steps: DataFrame, most: int = 3) -> DataFrame:
+    """The first `most` errors of each class with what they show and the pieces of the two steps before and after, as samples to inject from."""
+    chosen = samples(events, facts, most).select("error_type", "rank", "sid", "pos")
+    around = chosen.select("error_type", "rank", "sid", F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("at"), "pos").withColumn("pos", F.col("pos") + F.col("at"))
+    rows = around.join(facts.select("sid", "pos", "row"), ["sid", "pos"]).select("error_type", "rank", "at", "row")
+    texts = with_texts(rows, steps).groupBy("error_type", "rank").agg(
+        F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("at", "piece")))).alias("p"), F.max(F.when(F.col("at") == 0, F.left("failure", F.lit(300)))).alias("error_text")
+    )
+    return texts.select("error_type", "rank", F.coalesce("error_text", F.lit("")).alias("error_text"), F.array_join(F.transform("p", lambda x: x["piece"]), "\n").alias("context"))

@@ -454,6 +454,16 @@ SELECT record_no, feed, file_no, line_no, pos, step_id, kind AS step_type, s ->>
   CASE WHEN kind = 'tool_result' THEN TRY_CAST(coalesce({_first('s', 'latency_ms')}, {_first('s', 'metadata.latency_ms')}) AS DOUBLE) END AS latency_ms,
   CASE WHEN kind = 'skill_route' THEN {_first('s', 'skill_selected', 'skill')} END AS skill_selected, CASE WHEN kind = 'skill_route' THEN {_first('s', 'routing_reason', 'reason')} END AS routing_reason,
   CASE WHEN kind = 'tool_result' THEN length(o) END AS output_chars FROM s4"""
+    out["loss_weights"] = f"SELECT loss_weight, diverge_reason, count(*) AS n FROM ({out['export_weighted']}) GROUP BY ALL"
+    out["bucket_counters"] = _with(CANON, SESSIONS) + f""",
+c AS (SELECT unnest(list_filter(['total', CASE WHEN steps < 2 THEN 'filtered_min_steps' END, CASE WHEN steps >= 2 THEN 'use.' || use END, CASE WHEN steps >= 2 AND outcome = 'unknown' AND use <> 'low_value' THEN 'needs_review' END,
+  CASE WHEN steps >= 2 AND use <> 'low_value' AND (outcome <> 'unknown' OR use IN ('dpo_candidate', 'recovery_training', 'skill_violation_neg', 'graceful_abort')) THEN 'extracted' END], lambda x: x IS NOT NULL)) AS counter FROM sc)
+SELECT counter, count(*) AS n, {quantised('count(*)::DOUBLE * 100 / (SELECT count(*) FROM sc)', 2)} AS share FROM c GROUP BY counter"""
+    out["fault_injection_contexts"] = _with(CANON, EVENTS) + f""",
+sm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY error_kind ORDER BY sid, pos) AS rank FROM evr) WHERE rank <= 3),
+p AS (SELECT sid, pos, {_PIECE.replace('CUT', '2000')} AS piece, left(coalesce(nullif(output, ''), nullif(error, '')), 300) AS failure FROM f)
+SELECT error_kind AS error_type, rank, coalesce(max(failure) FILTER (p.pos = sm.pos), '') AS error_text, coalesce(string_agg(piece, chr(10) ORDER BY p.pos), '') AS context
+FROM sm JOIN p ON p.sid = sm.sid AND p.pos BETWEEN sm.pos - 2 AND sm.pos + 2 GROUP BY ALL"""
+    sets = {"tool_call_pairs": "tool_call_pairs", "long_plan": "long_plan", "graceful_abort": "graceful_abort", "error_taxonomy": "error_taxonomy_tools", "retry_sequences": "retry_by_ingestion", "subagent_collab": "subagent_collab"}
+    out["extractor_counts"] = " UNION ALL ".join(f"SELECT {_q(name)} AS data_set, count(*) AS n FROM ({out[q]})" for name, q in sets.items())
     return out
-
-

@@ -122,6 +122,31 @@ def fingerprint_clusters(spark, d):
     return c.groupBy("fp").agg(F.count("*").alias("sessions"), F.count_if(F.col("outcome").isin("success", "likely_success")).alias("good"))
 
 
+def bucket_counters(spark, d):
+    return scoring.counters(_scored(spark, d))
+
+
+def fault_injection_contexts(spark, d):
+    own = _facts(spark, d)
+    return taxonomy.injection_contexts(taxonomy.error_events(own), own, table(spark, d, "steps"))
+
+
+def extractor_counts(spark, d):
+    """How many samples each specialist data set has, retries by ingestion over a day."""
+    own, sessions = _facts(spark, d), table(spark, d, "trajectories")
+    instants = sessions.select("traj_id", F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("us")).filter("us is not null")
+    found = specialist.run_all(own, _scored(spark, d, own), render.last_outputs(table(spark, d, "steps")), instants, minutes=1440)
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("data_set"), "n") for name, df in found.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def loss_weights(spark, d):
+    return export_weighted(spark, d).groupBy("loss_weight", "diverge_reason").agg(F.count("*").alias("n"))
+
+
 def _pairs(spark, d):
     own = _facts(spark, d)
     found = sequence.diverge_points(sequence.retries(own))
@@ -366,7 +391,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 _QUERIES = (
     error_taxonomy_recovery, error_taxonomy_tools, error_samples, fault_injection_targets, step_type_normalise, status_normalise, outcome_normalise,
     error_text_inference, call_pairing_check, step_continuity_check, session_stats, value_score, outcome_inference, training_use_buckets, retry_kind,
-    diverge_point, item_resolved, abort_reasons, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
+    diverge_point, item_resolved, abort_reasons, fingerprint_clusters, pair_error_state, pair_quality, pairs_full, pair_dedup_full, export_weighted, loss_weights, bucket_counters, fault_injection_contexts, extractor_counts, session_redeliveries, pair_dedup, export_counts, pair_distribution, strata,
     stratified_sample, label_queue, eval_criteria, tool_call_pairs, long_plan, graceful_abort, subagent_collab, retry_sequences, retry_by_ingestion, sft_messages,
     sft_rows, export_sft, training_samples, tool_call_samples, long_plan_switches, retry_preferences, subagent_spawns, budgeted_render, event_sessions, thinking_split, artifact_match, event_assembly, event_outcomes, nth_occurrence_backfill, call_backfill, parent_links,
     structured_sessions, structured_steps, parsed_sessions,

@@ -58,5 +58,5 @@ def write_array(rows: DataFrame, path: str) -> None:
 def manifest(rows: DataFrame, bucket: str, config: dict) -> DataFrame:
     """One row per bucket with its `rows`, its `share` of all rows and the configuration."""
     counts = rows.groupBy(bucket).agg(F.count("*").alias("rows"))
-    total = rows.agg(F.count("*").alias("_all"))
-    return counts.join(F.broadcast(total)).select(bucket, "rows", (F.col("rows") / F.col("_all")).alias("share"), F.lit(json.dumps(config, sort_keys=True)).alias("config"))
+    total = rows.agg(F.count("*").alias("_all")).withColumn("_one", F.lit(1))
+    return counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select(bucket, "rows", (F.col("rows") / F.col("_all")).alias("share"), F.lit(json.dumps(config, sort_keys=True)).alias("config"))
