@@ -97,7 +97,7 @@ def test_suffixes_are_sorted_and_spans_are_common_prefixes(spark):
         texts.append((sorted((x * 7919) << 20 for x in base), i % 2 == 0))
     rows = [({"a": i, "b": i}, t, h, not h) for i, (t, h) in enumerate(texts)]
     classes = spark.createDataFrame(rows, "cls struct<a:bigint,b:bigint>, tokens array<bigint>, held boolean, train boolean")
-    array = O.suffix_array(classes, np.zeros(O.BUCKETS, np.int64))
+    array = O.suffix_array(classes, np.zeros(O.BUCKETS, np.int64), ordered=True)
     parts = array.withColumn("part", F.spark_partition_id()).select("part", "key", "more").collect()
     for p in {r["part"] for r in parts}:
         own = [(r["key"], r["more"]) for r in parts if r["part"] == p]
@@ -114,6 +114,8 @@ def test_suffixes_are_sorted_and_spans_are_common_prefixes(spark):
                         if n >= 2 and min(x, y) + min(20 - x, 20 - y) >= 16:
                             want.setdefault((i, j), set()).add((x, x + min(n, O.DEPTH + 2)))
     assert want and all(got[p] == s for p, s in want.items())
+    plain = O.shared_spans(O.suffix_array(classes, np.zeros(O.BUCKETS, np.int64))).collect()
+    assert {(r["ca"]["a"], r["cb"]["a"]): {(s["at"], s["till"]) for s in r["spans"]} for r in plain} == got
 
 
 def test_spans_are_merged(spark):

@@ -129,18 +129,22 @@ def _suffixes(shared):
     return run
 
 
-def suffix_array(classes: DataFrame, counts: np.ndarray) -> DataFrame:
-    """The suffixes of all `classes` (`cls`, `train`, `held`, `tokens`) in partitions of equal first words, each in order of its words."""
+def suffix_array(classes: DataFrame, counts: np.ndarray, ordered: bool = False) -> DataFrame:
+    """The suffixes of all `classes` (`cls`, `train`, `held`, `tokens`); `ordered`, in partitions of equal first words, each in order of its words.
+
+    `shared_spans` leaves partitioning and sorting to its merge join, which splits the partition of a hot pair of words; one laid out here it could not split.
+    """
     shared = classes.sparkSession.sparkContext.broadcast(counts)
     rows = classes.select("cls", "train", "held", "tokens").mapInArrow(_suffixes(shared), _SUFFIX)
-    return rows.repartition("key").sortWithinPartitions("key", "more")
+    return rows.repartition("key").sortWithinPartitions("key", "more") if ordered else rows
 
 
 def shared_spans(suffixes: DataFrame) -> DataFrame:
     """`ca` (held), `cb` (training), `spans` of every two classes with a common prefix of two suffixes that may be alike enough.
 
     A span is `at` and `till`, the words of the held sequence that are the common prefix; it ends at DEPTH + 2 words, where the next suffix
-    carries on. Pairs that cannot reach the share by their lengths, by the words left after the span, or by their bitmaps are left out.
+    carries on. The merge join partitions the suffixes of either side by their first two words and sorts them, so that equal beginnings are neighbours; Spark splits partitions
+    that a hot pair of words makes large. Pairs that cannot reach the share by their lengths, by the words left after the span, or by their bitmaps are left out.
     """
     a, b = suffixes.filter("held").alias("a"), suffixes.filter("train").alias("b")
     least = F.expr(f"(greatest(a.n, b.n) * {SHARE_TENTHS} + 9) div 10")
@@ -152,7 +156,7 @@ def shared_spans(suffixes: DataFrame) -> DataFrame:
         & (F.expr("bit_count(a.ba ^ b.ba) + bit_count(a.bb ^ b.bb)") <= F.col("a.n") + F.col("b.n") - 2 * least)
     )
     prefix = F.expr("2" + "".join(f" + int({' and '.join(f'a.more[{j}] = b.more[{j}]' for j in range(i + 1))})" for i in range(DEPTH)))
-    met = a.join(b, possible).select(F.col("a.cls").alias("ca"), F.col("b.cls").alias("cb"), F.col("a.pos").alias("at"), F.least(F.col("a.n"), F.col("b.n") + F.col("a.pos") - F.col("b.pos"), F.col("a.pos") + prefix).alias("till"))
+    met = a.join(b.hint("merge"), possible).select(F.col("a.cls").alias("ca"), F.col("b.cls").alias("cb"), F.col("a.pos").alias("at"), F.least(F.col("a.n"), F.col("b.n") + F.col("a.pos") - F.col("b.pos"), F.col("a.pos") + prefix).alias("till"))
     return met.groupBy("ca", "cb").agg(F.array_sort(F.collect_set(F.struct("at", "till"))).alias("spans"))
 
 
