@@ -15,6 +15,7 @@ from tracewright.functions.steps import ERROR_TEXTS
 from tracewright.functions.text import contains_any, filled, fingerprint, is_blank, strip, truthy_coalesce
 from tracewright.operators.facts import TASK_NOTE, session_name, session_rows
 from tracewright.operators.ordered import look_around, with_position, with_running_sum
+from tracewright.sources.tables import cut_lineage
 
 
 def is_error_result(text: Column) -> Column:
@@ -146,15 +147,18 @@ def match_artifacts(rows: DataFrame, window: int = 5, long_chain: int = LONG_CHA
         )
 
     size = F.size("models") + F.size("arts")
-    chains = chains.select("sid", "models", "arts")
+    # Three branches read the chains: they are written once.
+    chains = cut_lineage(chains.select("sid", "models", "arts"))
     # Long chains are emptied, not only filtered: filters that the optimiser infers from what follows may come before.
     short = chains.select("sid", *[F.when(size <= long_chain, F.col(c)).otherwise(F.slice(c, 1, 0)).alias(c) for c in ("models", "arts")])
     folded = short.select("sid", F.aggregate("models", start, take).alias("r"))
     taken = folded.select("sid", F.explode("r.taken").alias("t")).select("sid", "t.artifact", "t.model")
     left = folded.select("sid", F.explode("r.left").alias("artifact")).withColumn("model", F.lit(None).cast("struct<no:bigint,row:bigint>"))
     named = [F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("artifact", "model") for c in ("no", "row")]
-    long = chains.filter(size > long_chain).mapInArrow(_fold_long(window), _MATCHED)
-    return taken.unionByName(left).unionByName(long).select("sid", *named)
+    long, matched = chains.filter(size > long_chain), taken.unionByName(left)
+    if not long.isEmpty():
+        matched = matched.unionByName(long.mapInArrow(_fold_long(window), _MATCHED))
+    return matched.select("sid", *named)
 
 
 def assembled_steps(rows: DataFrame) -> DataFrame:

@@ -136,9 +136,12 @@ def similar_in_band(a: DataFrame, b: DataFrame, width_us: int, least: float, dir
     x = at(a, "a_us")
     y = b.withColumn("_b", F.explode(F.array(F.expr(f"b_us div {width_us}"), F.expr(f"b_us div {width_us} - 1"))))
     crowd = x.groupBy("_b").agg(F.count("*").alias("m")).join(y.groupBy("_b").agg(F.count("*").alias("n")), "_b").filter(F.col("m") * F.col("n") > direct).select("_b", F.lit(True).alias("_hot"))
+    near = (F.col("b_us") >= F.col("a_us")) & (F.col("b_us") - F.col("a_us") <= width_us)
+    alike = lambda df: df.filter(near).withColumn("sim", _set_similarity("a_grams", "b_grams")).filter(F.col("sim") >= least)
     crowd = lookup(crowd)
+    if crowd.isEmpty():
+        return alike(x.join(y, "_b").drop("_b"))
     x, y = x.join(crowd, "_b", "left"), y.join(crowd, "_b", "left")
-    near = (F.col("b_us") >= F.col("a_us")) & (F.col("b_us") - F.col("a_us") <= width_us)
     plain = x.filter("_hot is null").drop("_hot").join(y.filter("_hot is null").drop("_hot"), "_b").drop("_b")
     hx, hy = x.filter("_hot").drop("_hot"), y.filter("_hot").drop("_hot")
     grams = hx.select(F.explode("a_grams").alias("g")).unionByName(hy.select(F.explode("b_grams").alias("g"))).groupBy("g").agg(F.count("*").alias("c"))
@@ -150,7 +153,7 @@ def similar_in_band(a: DataFrame, b: DataFrame, width_us: int, least: float, dir
 
     met = rare(hx, "a").join(rare(hy, "b"), ["_b", "g"]).select("_b", "a_traj_id", "b_traj_id").distinct()
     crowded = met.join(hx, ["_b", "a_traj_id"]).join(hy, ["_b", "b_traj_id"]).select(*plain.columns)
-    return plain.unionByName(crowded).filter(near).withColumn("sim", _set_similarity("a_grams", "b_grams")).filter(F.col("sim") >= least)
+    return alike(plain.unionByName(crowded))
 
 
 def retry_sequences(scored: DataFrame, instants: DataFrame, first_errors: DataFrame, minutes: int = 15, least: float = 0.3, direct: int = DIRECT_PAIRS) -> DataFrame:
