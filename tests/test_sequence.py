@@ -102,6 +102,55 @@ def test_crowded_blocks_give_the_same_pairs(spark):
     assert got[0] == got[1] == got[2] and len(got[0]) > 20
 
 
+def sessions_at(spark, rows):
+    """Scored sessions and their instants from rows of name, number, outcome, request and time."""
+    scored = spark.createDataFrame([r[:4] for r in rows], "sid string, traj_id bigint, outcome string, user_input string")
+    return scored, spark.createDataFrame([(r[1], r[4]) for r in rows], "traj_id bigint, us bigint"), spark.createDataFrame([], "sid string, fail_reason string")
+
+
+def test_retries_equal_brute_force_on_odd_requests(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    asks = [None, "", "a", "ab", "\u00a0x", "请把报告归档", "请把 报告\t归档了", "\U0001f600\U0001f601\U0001f600", "  copy  the\nreport ", "copy the report the the", "y" * 199 + "zq", "y" * 199 + "zw", "kopiere\u2003den Bericht"]
+    m = 60_000_000
+    rows = [(f"s{i}", i, rng.choice(["failure", "likely_success", "success", "partial"]), rng.choice(asks), rng.choice([-1, 1]) * rng.randrange(0, 40) * m) for i in range(150)]
+
+    def brute():
+        grams = lambda t: {t[:200][i : i + 2] for i in range(len(t[:200]) - 1)}
+        words = lambda t: re.sub(r"[ \t\n\x0b\f\r]+", " ", t).strip(" ").split(" ")
+        for f, fi, fo, fa, fu in rows:
+            for g, gi, go, ga, gu in rows:
+                a, b = grams(fa or ""), grams(ga or "")
+                if fo == "failure" and go in ("success", "likely_success") and 0 <= gu - fu <= 15 * m and (gu > fu or gi > fi) and a and b and len(a & b) / len(a | b) >= 0.3:
+                    yield f, g, (gu - fu) // 1_000_000, int(len(a & b) / len(a | b) * 1000 + 0.5) / 1000, " ".join([w for w in words(ga) if w not in words(fa)][:30])
+
+    want = sorted(brute())
+    for direct in (10**6, 30):
+        found = specialist.retry_sequences(*sessions_at(spark, rows), direct=direct).collect()
+        assert sorted((r["failed_session"], r["success_session"], r["time_gap_sec"], r["input_similarity"], r["added_context"]) for r in found) == want
+    assert len(want) > 30
+
+
+def test_a_crowded_day_of_like_requests_ends(spark):
+    """1,440,000 pairs that are all alike: sessions are compared once, and not by each pair of characters they share."""
+    import random
+    import threading
+
+    rng = random.Random(4)
+    words = "copy the quarterly report to archive before friday and send it again with totals for review by every regional office".split()
+    rows = [(f"s{i}", i, "success" if i % 2 else "failure", " ".join(rng.sample(words, 18)), i // 2 * 1_000 if i % 2 == 0 else 10**9 + i) for i in range(2400)]
+    scored, us, none = sessions_at(spark, rows)
+    ending = threading.Timer(90, spark.sparkContext.cancelAllJobs)
+    ending.start()
+    try:
+        found = specialist.retry_sequences(scored, us, none, minutes=1440).agg(F.count("*"), F.countDistinct("failed_session", "success_session")).first()
+    finally:
+        ending.cancel()
+    assert tuple(found) == (1_440_000, 1_440_000)
+
+
 def test_abort_reasons(spark):
     texts = ["超出范围", "please confirm, waiting", "do it in a batch", "I must WAIT", "bye"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(specialist.abort_reason(F.col("t"))).collect()]

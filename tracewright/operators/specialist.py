@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import quantise
 from tracewright.operators import taxonomy
 from tracewright.operators.ordered import changes, look_around, with_running_sum
-from tracewright.sources.tables import lookup
+from tracewright.sources.tables import cut_lineage, lookup
 
 # What an output says that stops on purpose; case matters.
 ABORT_SIGNALS = [
@@ -104,13 +108,6 @@ def subagent_work(facts: DataFrame, scored: DataFrame) -> DataFrame:
     )
 
 
-def bigrams(c: Column) -> Column:
-    """The distinct pairs of neighbouring characters of the first 200."""
-    s = F.left(c, F.lit(200))
-    at = F.when(F.length(s) >= 2, F.sequence(F.lit(1), F.length(s) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(at, lambda i: F.substr(s, i, F.lit(2))))
-
-
 def band_join(left: DataFrame, right: DataFrame, us_left: str, us_right: str, width_us: int) -> DataFrame:
     """Rows of `left` with the rows of `right` at most `width_us` later, by equi-join on blocks of that width."""
     a = left.withColumn("_b", F.expr(f"{us_left} div {width_us}"))
@@ -118,63 +115,147 @@ def band_join(left: DataFrame, right: DataFrame, us_left: str, us_right: str, wi
     return a.join(b, "_b").filter((F.col(us_right) >= F.col(us_left)) & (F.col(us_right) - F.col(us_left) <= width_us)).drop("_b")
 
 
-#: Pairs of a block beyond which its rows meet by the rare parts of their requests only.
+#: Pairs of a block beyond which its rows are dealt out to tiles.
 DIRECT_PAIRS = 1_000_000
+#: Pairs that a task compares on average.
+_PAIRS_A_TASK = 1_000_000
+#: What one product of a tile takes: pairs of characters, and failures. What one batch of results holds: rows, and characters of words added.
+_GRAMS, _SLICE, _ROWS, _CHARS = 8192, 256, 20_000, 16_000_000
+_TILE = ["_b", "_i", "_j"]
+_ALIKE = "failed_session string, success_session string, time_gap_sec bigint, sim double, fail_reason string, added_context string"
 
 
-def _set_similarity(a: str, b: str) -> Column:
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
-
-
-def similar_in_band(a: DataFrame, b: DataFrame, width_us: int, least: float, direct: int = DIRECT_PAIRS) -> DataFrame:
-    """`a` (`a_us`, `a_grams`, `a_traj_id`, …) with the rows of `b` at most `width_us` later whose sets are alike by `least`, as `sim`.
+def _tiles(timed: DataFrame, width_us: int, direct: int) -> tuple[DataFrame, int]:
+    """The rows of `timed` by tile, and the pairs in all tiles: each failure meets each success of its block of the band's width and of the next in just one tile.
 
-    Both sides meet by blocks of the band's width. Where a block has more than `direct` pairs, its rows meet by the elements among which any two sets that
-    are alike must share one, the rarest of each set, so that not every pair of a crowded block is compared; the pairs found are the same.
+    A block is one tile; where it has too many rows for `direct` pairs, both sides are dealt out by a hash, and every part of one meets every part of the other.
     """
-    at = lambda df, us: df.withColumn("_b", F.expr(f"{us} div {width_us}"))
-    x = at(a, "a_us")
-    y = b.withColumn("_b", F.explode(F.array(F.expr(f"b_us div {width_us}"), F.expr(f"b_us div {width_us} - 1"))))
-    crowd = x.groupBy("_b").agg(F.count("*").alias("m")).join(y.groupBy("_b").agg(F.count("*").alias("n")), "_b").filter(F.col("m") * F.col("n") > direct).select("_b", F.lit(True).alias("_hot"))
-    near = (F.col("b_us") >= F.col("a_us")) & (F.col("b_us") - F.col("a_us") <= width_us)
-    alike = lambda df: df.filter(near).withColumn("sim", _set_similarity("a_grams", "b_grams")).filter(F.col("sim") >= least)
-    crowd = lookup(crowd)
-    if crowd.isEmpty():
-        return alike(x.join(y, "_b").drop("_b"))
-    x, y = x.join(crowd, "_b", "left"), y.join(crowd, "_b", "left")
-    plain = x.filter("_hot is null").drop("_hot").join(y.filter("_hot is null").drop("_hot"), "_b").drop("_b")
-    hx, hy = x.filter("_hot").drop("_hot"), y.filter("_hot").drop("_hot")
-    grams = hx.select(F.explode("a_grams").alias("g")).unionByName(hy.select(F.explode("b_grams").alias("g"))).groupBy("g").agg(F.count("*").alias("c"))
-
-    def rare(df: DataFrame, p: str) -> DataFrame:
-        each = df.select(f"{p}_traj_id", "_b", F.size(f"{p}_grams").alias("size"), F.explode(f"{p}_grams").alias("g")).join(grams, "g")
-        ranked = each.withColumn("k", F.row_number().over(W.partitionBy(f"{p}_traj_id", "_b").orderBy("c", "g")))
-        return ranked.filter(F.col("k") <= F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).select(f"{p}_traj_id", "_b", "g")
-
-    met = rare(hx, "a").join(rare(hy, "b"), ["_b", "g"]).select("_b", "a_traj_id", "b_traj_id").distinct()
-    crowded = met.join(hx, ["_b", "a_traj_id"]).join(hy, ["_b", "b_traj_id"]).select(*plain.columns)
-    return alike(plain.unionByName(crowded))
+    side = max(1, math.isqrt(direct))
+    at = F.expr(f"us div {width_us}")
+    dealt = timed.withColumn("_b", F.explode(F.when(F.col("failed"), F.array(at)).otherwise(F.array(at, at - 1))))
+    blocks = dealt.groupBy("_b").agg(F.count_if("failed").alias("m"), F.count_if(~F.col("failed")).alias("n")).filter("m > 0 and n > 0")
+    blocks = lookup(blocks.withColumns({"_m": F.ceil(F.col("m") / side), "_n": F.ceil(F.col("n") / side)}))
+    pairs = blocks.agg(F.sum(F.col("m").cast("double") * F.col("n"))).first()[0]
+    part = lambda n: F.pmod(F.xxhash64("traj_id"), F.col(n))
+    each = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    met = dealt.join(blocks, "_b")
+    met = met.withColumn("_i", F.explode(F.when(F.col("failed"), F.array(part("_m"))).otherwise(each("_m"))))
+    met = met.withColumn("_j", F.explode(F.when(F.col("failed"), each("_n")).otherwise(F.array(part("_n")))))
+    return met.select(*timed.columns, *_TILE), int(pairs or 0)
+
+
+def _common(texts: list[str], failed: int, spans: list[tuple[int, int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct pairs of neighbouring characters each text has in its first 200, and how many the first `failed` share with each of the others, in `spans` only."""
+    heads = [t[:200] for t in texts]
+    points = np.frombuffer("".join(heads).encode("utf-32-le"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(heads)), [len(h) for h in heads])
+    inner = row[1:] == row[:-1]
+    marks = np.unique((points[:-1] << 42 | points[1:] << 21 | row[:-1])[inner])  # 21 bits each
+    row, code = marks & 0x1FFFFF, marks >> 21
+    sizes = np.bincount(row, minlength=len(heads))
+    col = np.cumsum(np.diff(code, prepend=code[:1]) != 0)
+    bad = row < failed
+    shared = (np.bincount(col[bad], minlength=len(col) + 1) > 0) & (np.bincount(col[~bad], minlength=len(col) + 1) > 0)
+    row, col, bad = row[shared[col]], (np.cumsum(shared) - 1)[col[shared[col]]], bad[shared[col]]
+    common = np.zeros((failed, len(heads) - failed), np.float32)  # exact: counts are below 200
+    for low in range(0, int(shared.sum()), _GRAMS):
+        held = slice(*np.searchsorted(col, (low, low + _GRAMS)))
+        wide = int(col[held][-1]) - low + 1
+        a, b, r, c = np.zeros((failed, wide), np.float32), np.zeros((len(heads) - failed, wide), np.float32), row[held], col[held] - low
+        a[r[bad[held]], c[bad[held]]] = 1
+        b[r[~bad[held]] - failed, c[~bad[held]]] = 1
+        for x, y, u, v in spans:
+            common[x:y, u:v] += a[x:y] @ b[u:v].T
+    return sizes, common
+
+
+def _words(text: str) -> list[str]:
+    return re.sub(r"[ \t\n\x0b\f\r]+", " ", text).strip(" ").split(" ")
+
+
+def _alike_in_tile(a: dict, b: dict, width_us: int, least: float):
+    """Batches of _ALIKE for the failures `a` and successes `b` of one tile, both in order of time."""
+    m = len(a["us"])
+    spans = []
+    for x in range(0, m, _SLICE):
+        y = min(x + _SLICE, m)
+        u, v = np.searchsorted(b["us"], a["us"][x]), np.searchsorted(b["us"], a["us"][y - 1] + width_us, "right")
+        if u < v:
+            spans.append((x, y, u, v))
+    if not spans:
+        return
+    sizes, common = _common(a["ask"] + b["ask"], m, spans)
+    olds, news = {}, {}
+    for x, y, u, v in spans:
+        gap = b["us"][None, u:v] - a["us"][x:y, None]
+        both = common[x:y, u:v].astype(np.float64)
+        sim = both / np.maximum(sizes[x:y, None] + sizes[None, m + u : m + v] - both, 1)
+        later = (gap > 0) | ((gap == 0) & (b["traj_id"][None, u:v] > a["traj_id"][x:y, None]))
+        i, j = np.nonzero(later & (gap <= width_us) & (sim >= least))
+        gap, sim, i, j = gap[i, j], sim[i, j], i + x, j + u
+        added, chars, low = [], 0, 0
+        for k, (p, q) in enumerate(zip(i.tolist(), j.tolist()), 1):
+            old, new = olds.get(p), news.get(q)
+            if old is None:
+                old = olds[p] = frozenset(_words(a["ask"][p]))
+            if new is None:
+                new = news[q] = _words(b["ask"][q])
+            added.append(" ".join([w for w in new if w not in old][:30]))
+            chars += len(added[-1])
+            if k == len(i) or len(added) == _ROWS or chars > _CHARS:
+                failed, good = pa.array(i[low:k]), pa.array(j[low:k])
+                yield pa.RecordBatch.from_arrays(
+                    [a["sid"].take(failed), b["sid"].take(good), pa.array(gap[low:k] // 1_000_000), pa.array(sim[low:k]), a["fail_reason"].take(failed), pa.array(added, pa.string())],
+                    ["failed_session", "success_session", "time_gap_sec", "sim", "fail_reason", "added_context"],
+                )
+                added, chars, low = [], 0, k
+
+
+def _alike(width_us: int, least: float):
+    """Rows of whole tiles, a tile's rows one after the other in order of time, to batches of _ALIKE."""
+
+    def of(t: pa.Table, numbers: dict, rows: np.ndarray) -> dict:
+        own = t.select(["sid", "fail_reason", "ask"]).take(pa.array(rows)).combine_chunks()
+        col = lambda c: own[c].chunk(0)
+        return {c: x[rows] for c, x in numbers.items()} | {"sid": col("sid"), "fail_reason": col("fail_reason"), "ask": col("ask").to_pylist()}
+
+    def tiles(t: pa.Table, starts: list[int]):
+        numbers, failed = {c: t[c].to_numpy() for c in ("us", "traj_id")}, t["failed"].to_numpy()
+        for start, end in zip(starts, starts[1:]):
+            bad = failed[start:end]
+            if bad.any() and not bad.all():
+                at = np.arange(start, end)
+                yield from _alike_in_tile(of(t, numbers, at[bad]), of(t, numbers, at[~bad]), width_us, least)
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            keys = np.stack([t[c].to_numpy() for c in _TILE])
+            starts = [0, *(np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1).tolist()]
+            yield from tiles(t, starts)
+            rest = t.slice(starts[-1])  # the batch may end within its last tile
+        if rest is not None:
+            yield from tiles(rest, [0, rest.num_rows])
+
+    return run
 
 
 def retry_sequences(scored: DataFrame, instants: DataFrame, first_errors: DataFrame, minutes: int = 15, least: float = 0.3, direct: int = DIRECT_PAIRS) -> DataFrame:
     """A failed session and a later success of like request at most `minutes` after it: gap, similarity, reason and words added.
 
     `instants` gives `traj_id` and `us`; sessions without an instant take no part. Of equal instants the smaller `traj_id` comes first.
+    All pairs of the band are compared, as a share of them is the result: tile by tile, common pairs of characters counted by products of matrices.
     """
-    timed = scored.join(instants, "traj_id").select("sid", "traj_id", "us", "outcome", F.coalesce("user_input", F.lit("")).alias("ask"))
-    timed = timed.withColumn("grams", bigrams(F.col("ask")))
-    a = timed.filter(F.col("outcome").isin(*BAD)).select(*[F.col(c).alias(f"a_{c}") for c in timed.columns])
-    b = timed.filter(F.col("outcome").isin(*GOOD)).select(*[F.col(c).alias(f"b_{c}") for c in timed.columns])
-    pairs = similar_in_band(a, b, minutes * 60_000_000, least, direct).filter("b_us > a_us or b_traj_id > a_traj_id")
-    old, new = (F.split(F.trim(F.regexp_replace(F.col(c), r"\s+", " ")), " ") for c in ("a_ask", "b_ask"))
-    added = F.array_join(F.slice(F.filter(new, lambda w: ~F.array_contains(old, w)), 1, 30), " ")
-    return (
-        pairs.join(first_errors.withColumnRenamed("sid", "a_sid"), "a_sid", "left")
-        .select(
-            F.col("a_sid").alias("failed_session"), F.col("b_sid").alias("success_session"), F.expr("(b_us - a_us) div 1000000").alias("time_gap_sec"),
-            quantise(F.col("sim"), 3).alias("input_similarity"), F.coalesce("fail_reason", F.lit("unknown")).alias("fail_reason"), added.alias("added_context"),
-        )
-    )
+    width_us = minutes * 60_000_000
+    ends = scored.filter(F.col("outcome").isin(*GOOD, *BAD)).select("sid", "traj_id", F.col("outcome").isin(*BAD).alias("failed"), F.coalesce("user_input", F.lit("")).alias("ask"))
+    if least > 0:
+        ends = ends.filter(F.length("ask") >= 2)  # others are like none
+    timed = ends.join(instants.select("traj_id", "us").filter("us is not null"), "traj_id").join(first_errors, "sid", "left").withColumn("fail_reason", F.coalesce("fail_reason", F.lit("unknown")))
+    tiles, pairs = _tiles(cut_lineage(timed), width_us, direct)
+    tasks = max(int(timed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pairs // _PAIRS_A_TASK))
+    found = tiles.repartition(tasks, *_TILE).sortWithinPartitions(*_TILE, "us", "traj_id").mapInArrow(_alike(width_us, least), _ALIKE)
+    return found.select("failed_session", "success_session", "time_gap_sec", quantise(F.col("sim"), 3).alias("input_similarity"), "fail_reason", "added_context")
 
 
 def first_errors(facts: DataFrame) -> DataFrame:
