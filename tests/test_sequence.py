@@ -151,6 +151,25 @@ def test_a_crowded_day_of_like_requests_ends(spark):
     assert tuple(found) == (1_440_000, 1_440_000)
 
 
+def test_counting_the_data_sets_of_a_crowded_day_ends(spark):
+    import threading
+
+    like = "copy the quarterly report to archive before friday and send it again with totals"
+    rows = [(f"s{i}", i, "success" if i % 2 else "failure", f"{like} {i}", 10**9 * (i % 2) + i) for i in range(2400)]
+    scored, us, _ = sessions_at(spark, rows)
+    own = facts.step_facts(table(spark, {"s0": [(CALL, "doc", "{}"), BAD]}))
+    ending = threading.Timer(90, spark.sparkContext.cancelAllJobs)
+    ending.start()
+    try:
+        found = specialist.run_all(own, scored, None, us, ("error_taxonomy", "retry_sequences"), minutes=1440)
+        counts = {name: df.count() for name, df in found.items()}
+        told = {r["fail_reason"]: r["count"] for r in found["retry_sequences"].groupBy("fail_reason").count().collect()}
+    finally:
+        ending.cancel()
+    assert counts == {"error_taxonomy": 1, "retry_sequences": 1_440_000}
+    assert sorted(told.values()) == [1_200, 1_438_800] and told["unknown"] == 1_438_800
+
+
 def test_abort_reasons(spark):
     texts = ["超出范围", "please confirm, waiting", "do it in a batch", "I must WAIT", "bye"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(specialist.abort_reason(F.col("t"))).collect()]

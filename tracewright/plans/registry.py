@@ -135,7 +135,8 @@ def extractor_counts(spark, d):
     """How many samples each specialist data set has, retries by ingestion over a day."""
     own, sessions = _facts(spark, d), table(spark, d, "trajectories")
     instants = sessions.select("traj_id", F.unix_micros(F.col("ingested_at").cast("timestamp")).alias("us")).filter("us is not null")
-    found = specialist.run_all(own, _scored(spark, d, own), render.last_outputs(table(spark, d, "steps")), instants, minutes=1440)
+    scored = cut_lineage(_scored(spark, d, own).select("sid", "traj_id", "outcome", "steps", "tools", "tool_calls", "error_steps", "user_input", "final_output"))  # read by five of them
+    found = specialist.run_all(own, scored, render.last_outputs(table(spark, d, "steps")), instants, minutes=1440)
     counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("data_set"), "n") for name, df in found.items()]
     out = counts[0]
     for c in counts[1:]:
